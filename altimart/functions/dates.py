@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -39,11 +39,8 @@ def days_between(start: Column, end: Column) -> Column:
     return F.date_diff(end, start)
 
 
-def date_spine(spark, first: str | dt.date, end: str | dt.date, name: str = "full_date"):
-    """One row per day from ``first`` up to, not including, ``end``."""
-    days = F.sequence(
-        F.lit(first).cast("date"),
-        F.date_sub(F.lit(end).cast("date"), 1),
-        F.expr("interval 1 day"),
-    )
-    return spark.range(1).select(F.explode(days).alias(name))
+def date_spine(bounds: DataFrame, name: str = "full_date") -> DataFrame:
+    """One row per day from column ``first`` up to, not including, column ``end``."""
+    end = F.date_sub(F.col("end").cast("date"), 1)
+    days = F.sequence(F.col("first").cast("date"), end, F.expr("interval 1 day"))
+    return bounds.where(F.col("first") <= end).select(F.explode(days).alias(name))

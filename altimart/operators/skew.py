@@ -3,20 +3,21 @@
 A shuffle join sends every row of a key to one task, so a key with a third of
 all rows makes one task do a third of the work.  ``lookup_join`` avoids that:
 
-1. ``heavy_keys`` counts rows per key (map-side combined) and keeps the keys
-   holding more than ``1/slices`` of all rows.  Fewer than ``slices`` keys can
-   do so, whatever the data, so this table is safe to broadcast.  Each heavy
-   key gets a *fan-out* in proportion to its weight.
+1. ``heavy_keys`` counts rows per key (map-side combined, key columns only) and
+   keeps the keys holding more than ``1/slices`` of all rows.  Fewer than
+   ``slices`` keys can do so, whatever the data: a bounded list, safe to bring
+   to the driver and to broadcast.  Each heavy key gets a *fan-out* in
+   proportion to its weight.  Without heavy keys the plain join is used.
 2. Left rows of a heavy key are spread over that many salts; rows with a NULL
    key, which match nothing, are spread too.
 3. Right rows of a heavy key are repeated once per salt.  The fan-outs of all
    heavy keys add up to less than ``2 * slices``.
 
 Every left row meets every matching right row exactly once, so the result is
-that of the plain left join.  The plain join is used where no single partition
-could be skewed in the first place: when all input below one side is smaller
-than what Spark itself calls one skewed partition, or when the right side is
-small enough for Spark to broadcast it.
+that of the plain left join.  Nothing is counted where no single partition
+could be skewed in the first place: when all input below the left side is
+smaller than what Spark itself calls one skewed partition, or when the right
+side is small enough for Spark to broadcast it.
 """
 
 from __future__ import annotations
@@ -47,8 +48,7 @@ def input_bytes(df: DataFrame) -> float:
     """Bytes of all files and tables below a DataFrame; infinite where unknown."""
     try:
         leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        sizes = [leaves.apply(i).stats().sizeInBytes().toString() for i in range(leaves.size())]
-        return float(sum(int(size) for size in sizes))
+        return float(sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())))
     except Exception:  # no JVM plan at hand (remote sessions): assume it is large
         return float("inf")
 
@@ -76,18 +76,24 @@ def slices(df: DataFrame) -> int:
     return max(1024, int(_setting(df, "spark.sql.shuffle.partitions", "200")))
 
 
-def heavy_from_counts(counts: DataFrame, keys: Sequence[str], count: str, n: int) -> DataFrame:
-    """Heavy keys and their fan-out, from a table with one row and its count per key."""
-    total = counts.agg(F.sum(count)).scalar()
-    share = F.col(count) * F.lit(n)
-    return counts.where((share > total) & F.col(keys[0]).isNotNull()).select(
-        *keys, F.ceil(share / total).cast("int").alias("__fanout")
-    )
-
+def heavy_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """Keys above one slice with their fan-out, or None when there are none.
 
-def heavy_keys(rows: DataFrame, keys: Sequence[str], n: int | None = None) -> DataFrame:
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    return heavy_from_counts(counts, keys, "__rows", n or slices(rows))
+    Runs one job over the key columns.  The answer has fewer than ``slices``
+    rows, one of which may be the NULL key.
+    """
+    n = slices(rows)
+    rows = rows.select(*keys)
+    total = rows.agg(F.count(F.lit(1))).scalar()
+    share = F.col("__rows") * F.lit(n)
+    heavy = (
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+        .where(share > total)
+        .select(*keys, F.ceil(share / total).cast("int").alias("__fanout"))
+    )
+    found = heavy.collect()  # fewer than n rows: more keys cannot each hold over 1/n of the rows
+    return rows.sparkSession.createDataFrame(found, heavy.schema) if found else None
 
 
 def lookup_join(
@@ -96,33 +102,29 @@ def lookup_join(
     keys: Sequence[str],
     spread_by: Sequence[str],
     count_from: DataFrame | None = None,
-    heavy: DataFrame | None = None,
     guard: bool | None = None,
 ) -> DataFrame:
     """``left`` left-joined with one or several right sides on equally named columns.
 
     ``spread_by`` names left columns that tell rows of one key apart.
     ``count_from`` is a cheaper table with the same keys and rows as ``left``
-    to count keys on; ``heavy`` passes heavy keys found already.  Several right
-    sides share one shuffle of ``left``.
+    to count keys on.  Several right sides share one shuffle of ``left``.
     """
     keys = list(keys)
     rights = [right] if isinstance(right, DataFrame) else list(right)
     if guard is None:
         guard = any(needs_guard(left, r) for r in rights)
-    if not guard:
+    heavy = heavy_keys(left if count_from is None else count_from, keys) if guard else None
+    if heavy is None:
         for r in rights:
             left = left.join(r, keys, "left")
         return left
-    n = slices(left)
-    if heavy is None:
-        heavy = heavy_keys(left if count_from is None else count_from, keys, n)
-    heavy = F.broadcast(heavy)  # fewer than n rows by construction
+    heavy = F.broadcast(heavy)  # bounded, see heavy_keys
 
     dice = F.xxhash64(*[F.col(c) for c in spread_by], F.spark_partition_id())
     some_null = reduce(or_, [F.col(k).isNull() for k in keys])
     left_salt = (
-        F.when(some_null, F.pmod(dice, F.lit(n)))
+        F.when(some_null, F.pmod(dice, F.lit(slices(left))))
         .when(F.col("__fanout") > 1, F.pmod(dice, F.col("__fanout").cast("long")))
         .otherwise(F.lit(0))
     )
@@ -148,10 +150,7 @@ def with_group_totals(
     map-side first and the one-row-per-key result is joined back.  Rows with a
     NULL key belong to no group: callers drop them first.
     """
-    per_key = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("__rows"), *[c.alias(name) for name, c in totals.items()]
-    )
+    per_key = df.groupBy(key).agg(*[c.alias(name) for name, c in totals.items()])
     if guard is None:
         guard = needs_guard(df)
-    heavy = heavy_from_counts(per_key, [key], "__rows", slices(df)) if guard else None
-    return lookup_join(df, per_key.drop("__rows"), [key], spread_by, heavy=heavy, guard=guard)
+    return lookup_join(df, per_key, [key], spread_by, guard=guard)

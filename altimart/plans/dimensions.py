@@ -21,11 +21,20 @@ def _or_zero(name: str, digits: bool = False):
 
 def dim_date(spark: SparkSession, first: str = "2024-01-01", end: str = "2025-12-31") -> DataFrame:
     """One row per day from ``first`` up to, not including, ``end``."""
+    return calendar(spark.range(1).select(F.lit(first).alias("first"), F.lit(end).alias("end")))
+
+
+def dim_date_of(df: DataFrame, day: str) -> DataFrame:
+    """The calendar from the earliest day of a column up to, not including, the latest."""
+    return calendar(df.agg(F.min(day).alias("first"), F.max(day).alias("end")))
+
+
+def calendar(bounds: DataFrame) -> DataFrame:
     day = col("full_date")
     weekday = F.dayofweek(day) - 1  # Sunday 0 .. Saturday 6
     quarter = F.quarter(day).cast("string")
     demand = {m: "peak" for m in (12, 1, 2)} | {m: "high" for m in (6, 7, 8)}
-    return date_spine(spark, first, end).select(
+    return date_spine(bounds).select(
         date_key(day).alias("date_id"),
         day,
         F.year(day).alias("year"),

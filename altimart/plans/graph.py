@@ -232,10 +232,10 @@ def labelled(graph: DataFrame, entity: str, ns: str = NAMESPACE) -> DataFrame:
 
 def inferred(graph: DataFrame, entity: str, ns: str = NAMESPACE) -> DataFrame:
     """Type triples for the classes the rules infer."""
-    return labelled(graph, entity, ns).select(
+    return labelled(graph, entity, ns).select("s", F.explode("labels").alias("label")).select(
         "s",
         lit(V.RDF_TYPE).alias("p"),
-        F.concat(lit(ns), F.explode("labels")).alias("o"),
+        F.concat(lit(ns), "label").alias("o"),
         lit(None).cast("string").alias("dtype"),
         lit(True).alias("is_iri"),
     )

@@ -6,6 +6,8 @@ at every scale.  Blank, padded and mixed-case cells are put in on purpose.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,30 +32,71 @@ def _pick(index: Column, values: list[str], default: str) -> Column:
     return mapped(index, dict(enumerate(values)), default)
 
 
+_TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_brand string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "events": "event_id bigint, user_id bigint, event_type string, value double",
+}
+
+
+class RawSheets(Mapping[str, DataFrame]):
+    """Sheets by name, each built when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = _SHEETS[name](self)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(_SHEETS)
+
+    def __len__(self) -> int:
+        return len(_SHEETS)
+
+    def table(self, name: str) -> DataFrame:
+        return self._spark.read.schema(_TABLES[name]).parquet(f"{self._folder}/{name}.parquet")
+
+    def size(self, name: str) -> Column:
+        return self.table(name).agg(F.count(lit(1))).scalar()
+
+
 def _booking_id() -> Column:
     parts = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return F.concat(lit("B"), F.concat_ws("-", *[_text(col(p)) for p in parts]))
 
 
-def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+def _part_day() -> Column:
+    days = (col("p_partkey") * 7) % 1200
+    return F.date_add(lit("1998-01-01").cast("date"), days.cast("int"))
 
-    def size(name: str) -> Column:
-        return table(name).agg(F.count(lit(1))).scalar()
 
-    nation, supplier, part = table("nation"), table("supplier"), table("part")
-    key, nat, supp = col("p_partkey"), col("n_nationkey"), col("s_suppkey")
-    part_day = F.date_add(lit("1998-01-01").cast("date"), ((key * 7) % 1200).cast("int"))
-    part_route = F.concat(lit("R"), _pad(key % size("supplier"), 5))
+def _part_route(sheets: RawSheets) -> Column:
+    return F.concat(lit("R"), _pad(col("p_partkey") % sheets.size("supplier"), 5))
 
-    def at(clock: Column) -> Column:
-        return F.concat(_text(part_day), lit(" "), clock).cast("timestamp_ntz")
 
-    minute = _pad(col("p_size"), 2)
-    late = (key % 20 == 6) | (key % (3 + key % 4) == 0)
+def _part_at(clock: Column) -> Column:
+    return F.concat(_text(_part_day()), lit(" "), clock).cast("timestamp_ntz")
+
+
+def _sold(sheets: RawSheets) -> DataFrame:
+    orders = sheets.table("orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    return sheets.table("lineitem").join(orders, "l_orderkey")
 
-    airports = nation.select(
+
+def _airports(sheets: RawSheets) -> DataFrame:
+    nat = col("n_nationkey")
+    return sheets.table("nation").select(
         F.concat(lit("N"), _pad(nat, 2)).alias("airport_code"),
         F.when(nat % 2 == 0, F.concat("n_name", lit(" International")))
         .otherwise(col("n_name")).alias("airport_name"),
@@ -67,7 +110,11 @@ def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         (nat * 8 - 90).cast("double").alias("latitude"),
         (nat * 16 - 180).cast("double").alias("longitude"),
     )
-    routes = supplier.select(
+
+
+def _routes(sheets: RawSheets) -> DataFrame:
+    supp = col("s_suppkey")
+    return sheets.table("supplier").select(
         F.concat(lit("R"), _pad(supp, 5)).alias("route_id"),
         F.concat(lit("N"), _pad(col("s_nationkey"), 2)).alias("origin_airport_code"),
         F.concat(lit(" N"), _pad((col("s_nationkey") + 1 + supp % 24) % 25, 2))
@@ -76,24 +123,33 @@ def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         (200 + (supp * 37) % 1800).cast("int").alias("distance_km"),
         (40 + (supp * 53) % 120).cast("int").alias("block_time_min"),
     )
-    flights = part.select(
+
+
+def _flights(sheets: RawSheets) -> DataFrame:
+    key, minute = col("p_partkey"), _pad(col("p_size"), 2)
+    late = (key % 20 == 6) | (key % (3 + key % 4) == 0)
+    return sheets.table("part").select(
         F.concat(lit("F"), _text(key)).alias("flight_id"),
         F.concat(lit("HF"), _text(key)).alias("flight_number"),
-        part_route.alias("route_id"),
-        part_day.alias("flight_date"),
-        at(lit("08:00:30")).alias("scheduled_departure"),
-        at(F.concat(lit("08:"), minute, lit(":10"))).alias("actual_departure"),
-        at(lit("11:00:00")).alias("scheduled_arrival"),
-        at(F.concat(lit("11:"), minute, lit(":00"))).alias("actual_arrival"),
+        _part_route(sheets).alias("route_id"),
+        _part_day().alias("flight_date"),
+        _part_at(lit("08:00:30")).alias("scheduled_departure"),
+        _part_at(F.concat(lit("08:"), minute, lit(":10"))).alias("actual_departure"),
+        _part_at(lit("11:00:00")).alias("scheduled_arrival"),
+        _part_at(F.concat(lit("11:"), minute, lit(":00"))).alias("actual_arrival"),
         col("p_brand").alias("aircraft_type"),
         (20 + (key % 5) * 15).cast("int").alias("seat_capacity"),
         F.when(key % 40 == 0, "Cancelled").otherwise(" Landed ").alias("flight_status"),
         F.when(late, col("p_size") * 2).otherwise(col("p_size") % 12).cast("int").alias("delay_min"),
     )
-    flight_costs = part.select(
+
+
+def _flight_costs(sheets: RawSheets) -> DataFrame:
+    key = col("p_partkey")
+    return sheets.table("part").select(
         F.concat(lit("F"), _text(key)).alias("flight_id"),
-        part_route.alias("route_id"),
-        part_day.alias("flight_date"),
+        _part_route(sheets).alias("route_id"),
+        _part_day().alias("flight_date"),
         (2000 + (key % 10) * 1900 + F.when(key % 20 == 6, 20000).otherwise(0))
         .cast("double").alias("fuel_cost_usd"),
         (900 + col("p_size") * 10).cast("double").alias("airport_fees_usd"),
@@ -101,12 +157,10 @@ def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         (700 + col("p_size")).cast("double").alias("maintenance_cost_usd"),
         (col("p_size") * 12).cast("double").alias("catering_cost_usd"),
     )
-    lines = table("lineitem")
-    orders = table("orders").select(
-        col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority"
-    )
-    sold = lines.join(orders, "l_orderkey")
-    bookings = sold.select(
+
+
+def _bookings(sheets: RawSheets) -> DataFrame:
+    return _sold(sheets).select(
         _booking_id().alias("booking_id"),
         F.concat(lit("C"), _text(col("o_custkey"))).alias("customer_id"),
         F.concat(lit(" F"), _text(col("l_partkey"))).alias("flight_id"),
@@ -121,8 +175,11 @@ def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         mapped(col("l_returnflag"), {"R": "Cancelled", "A": "Flown"}, "Confirmed")
         .alias("booking_status"),
     )
+
+
+def _customers(sheets: RawSheets) -> DataFrame:
     cust = col("c_custkey")
-    customers = table("customer").select(
+    return sheets.table("customer").select(
         F.concat(lit("C"), _text(cust)).alias("customer_id"),
         col("c_name").alias("first_name"),
         F.concat(lit("N"), _text(col("c_nationkey"))).alias("last_name"),
@@ -148,11 +205,14 @@ def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.when(cust % 2 == 0, "Web").otherwise("MOBILE").alias("preferred_channel"),
         F.date_add(lit("1999-01-01").cast("date"), (cust % 1200).cast("int")).alias("signup_date"),
     )
+
+
+def _tickets(sheets: RawSheets) -> DataFrame:
     event, value = col("event_id"), col("value")
-    tickets = table("events").where(col("event_type") == "error").select(
+    return sheets.table("events").where(col("event_type") == "error").select(
         F.concat(lit("T"), _text(event)).alias("ticket_id"),
         F.concat(lit("C"), _text(col("user_id") * 3)).alias("customer_id"),
-        F.concat(lit("F"), _text(event % size("part"))).alias("flight_id"),
+        F.concat(lit("F"), _text(event % sheets.size("part"))).alias("flight_id"),
         _pick(event % 3, ["Retard de vol", "Annulation"], "Autre").alias("ticket_category"),
         _pick(
             event % 13,
@@ -176,10 +236,13 @@ def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         _pick(event % 4, ["Ouvert", "En cours"], "Résolu").alias("resolution_status"),
         (event % 10).cast("int").alias("resolution_time_days"),
     )
+
+
+def _ancillary(sheets: RawSheets) -> DataFrame:
     k, line = col("k"), col("l_linenumber")
-    ancillary = (
-        sold.withColumn("k", F.explode(F.array(lit(0), lit(1))))
-        .where(col("l_discount") >= 0.02 + 0.06 * k + 0.01 * (col("o_custkey") % 8))
+    return (
+        _sold(sheets).withColumn("k", F.explode(F.array(lit(0), lit(1))))
+        .where(col("l_discount") >= (2 + 6 * k + col("o_custkey") % 8) / 100)
         .select(
             F.concat(lit("A"), F.substring(_booking_id(), 2, 100), lit("-"), _text(k))
             .alias("ancillary_id"),
@@ -200,11 +263,15 @@ def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             _cents(col("l_tax") * 300 + k).alias("item_revenue_usd"),
         )
     )
+
+
+def _competitors(sheets: RawSheets) -> DataFrame:
+    supp, nat = col("s_suppkey"), col("n_nationkey")
     rivals = ((supp * 7) % 5).cast("int")  # nations 0 .. rivals-1 compete on the route
-    competitors = (
-        supplier.where(rivals > 0)
+    return (
+        sheets.table("supplier").where(rivals > 0)
         .withColumn("n_nationkey", F.explode(F.sequence(lit(0), rivals - 1)))
-        .join(nation.select("n_nationkey", "n_name"), "n_nationkey")
+        .join(sheets.table("nation").select("n_nationkey", "n_name"), "n_nationkey")
         .select(
             F.concat(lit("M"), _text(supp), lit("-"), _text(nat)).alias("market_id"),
             F.concat(lit("R"), _pad(supp, 5)).alias("route_id"),
@@ -214,11 +281,15 @@ def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             .alias("competitor_average_fare_usd"),
         )
     )
+
+
+def _weather(sheets: RawSheets) -> DataFrame:
+    nat = col("n_nationkey")
     day, dom = col("date"), F.dayofmonth("date")
-    weather = (
-        part.select(part_day.alias("date")).distinct()  # at most 1200 days
+    return (
+        sheets.table("part").select(_part_day().alias("date")).distinct()  # at most 1200 days
         .withColumn("n_nationkey", F.explode(F.sequence(lit(0), lit(24))))
-        .join(nation.select("n_nationkey"), "n_nationkey")
+        .join(sheets.table("nation").select("n_nationkey"), "n_nationkey")
         .where((nat + dom) % 3 != 0)
         .select(
             F.concat(lit("W"), _text(nat), lit("-"), _text(day)).alias("weather_id"),
@@ -236,7 +307,11 @@ def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
             ((nat * 5 + dom * 3) % 60).cast("int").alias("average_delay_caused_min"),
         )
     )
-    cargo = lines.where(col("l_quantity") >= 48).select(
+
+
+def _cargo(sheets: RawSheets) -> DataFrame:
+    line = col("l_linenumber")
+    return sheets.table("lineitem").where(col("l_quantity") >= 48).select(
         F.concat(lit("G"), F.substring(_booking_id(), 2, 100)).alias("cargo_shipment_id"),
         F.concat(lit("F"), _text(col("l_partkey"))).alias("flight_id"),
         mapped(
@@ -251,7 +326,11 @@ def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         _cents(col("l_extendedprice") / 40).alias("cargo_revenue_usd"),
         (col("l_discount") * 1000).alias("space_utilization_pct"),
     )
-    loyalty = table("events").where(col("event_type") != "error").select(
+
+
+def _loyalty(sheets: RawSheets) -> DataFrame:
+    event, value = col("event_id"), col("value")
+    return sheets.table("events").where(col("event_type") != "error").select(
         F.concat(lit("L"), _text(event)).alias("activity_id"),
         F.concat(lit("C"), _text(col("user_id") * 3 + event % 2)).alias("customer_id"),
         _pick(
@@ -265,17 +344,19 @@ def raw_sheets(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         F.floor(value * 10).cast("int").alias("miles_amount"),
         _cents(value / 8).alias("estimated_value_usd"),
     )
-    return {
-        "flights": flights,
-        "airports": airports,
-        "routes": routes,
-        "customers": customers,
-        "bookings": bookings,
-        "flight_costs": flight_costs,
-        "customer_service_tickets": tickets,
-        "ancillary_details": ancillary,
-        "competitor_context": competitors,
-        "weather_impact": weather,
-        "cargo_operations": cargo,
-        "loyalty_activity": loyalty,
-    }
+
+
+_SHEETS = {
+    "flights": _flights,
+    "airports": _airports,
+    "routes": _routes,
+    "customers": _customers,
+    "bookings": _bookings,
+    "flight_costs": _flight_costs,
+    "customer_service_tickets": _tickets,
+    "ancillary_details": _ancillary,
+    "competitor_context": _competitors,
+    "weather_impact": _weather,
+    "cargo_operations": _cargo,
+    "loyalty_activity": _loyalty,
+}
