@@ -34,17 +34,21 @@ class Marts(Mapping[str, DataFrame]):
         tables: Iterable[str] = (),
         strict: bool = False,
         namespace: str = graph.NAMESPACE,
+        base: Marts | None = None,
     ):
+        """``base`` lends its models for everything that does not build on ``tables``."""
         self.sheets = sheets
         self.as_of = as_of
         self.tables = set(tables)
         self.strict = strict
         self.namespace = namespace
+        self._base = base
         self._models: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._models:
-            df = self._compose(name)
+            lent = self._base is not None and not self.tables & {name, *_upstream(name)}
+            df = self._base[name] if lent else self._compose(name)
             if name in self.tables:
                 df = materialised(df, name)
             self._models[name] = df
@@ -67,6 +71,8 @@ class Marts(Mapping[str, DataFrame]):
 
     def rows_only(self, sheet: str) -> DataFrame:
         """A staging model without its per-group totals, for users that only need the rows."""
+        if self._base is not None:
+            return self._base.rows_only(sheet)
         model = staging.MODELS[sheet]
         return model(self.sheets[sheet], as_of=self.as_of, strict=self.strict, totals=False)
 
@@ -130,3 +136,24 @@ _BUILDERS = {
     ),
     "classified_graph": lambda m: graph.classify(m["graph"], m.namespace),
 }
+
+# marts each mart reads, directly or not
+_READS = {
+    "fct_flights": ("dim_routes",),
+    "fct_bookings": ("fct_flights", "dim_customers"),
+    "fct_tickets": ("fct_flights", "dim_customers"),
+    "route_decisions": ("dim_routes", "fct_flights", "fct_tickets"),
+    "customer_decisions": ("dim_customers", "fct_bookings"),
+    "decision_layer": ("route_decisions", "customer_decisions"),
+    "route_metrics": ("dim_routes", "fct_flights", "fct_tickets"),
+    "customer_metrics": ("dim_customers", "fct_bookings", "fct_tickets"),
+    "route_triples": ("route_metrics",),
+    "customer_triples": ("customer_metrics",),
+    "graph": ("route_triples", "customer_triples"),
+    "classified_graph": ("graph",),
+}
+
+
+def _upstream(name: str) -> set[str]:
+    direct = _READS.get(name, ())
+    return set(direct).union(*[_upstream(d) for d in direct])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,8 +30,15 @@ KPI_GRAIN = {
 }
 
 
+@functools.lru_cache(maxsize=8)
+def plans(spark: SparkSession, folder: str) -> Marts:
+    """The models over one folder, as plans: queries share them, no data is kept."""
+    return Marts(RawSheets(spark, folder), as_of=AS_OF)
+
+
 def marts(spark: SparkSession, folder: str, tables=()) -> Marts:
-    return Marts(RawSheets(spark, folder), as_of=AS_OF, tables=tables)
+    base = plans(spark, folder)
+    return Marts(base.sheets, as_of=AS_OF, tables=tables, base=base) if tables else base
 
 
 def _over(make: Callable[[Marts], DataFrame], tables=()) -> Query:
