@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from altimart.functions.exact import rounded
 from altimart.functions.tagging import first_true, mapped
 
 col, lit = F.col, F.lit
@@ -25,7 +26,7 @@ def _pad(c: Column, width: int) -> Column:
 
 
 def _cents(c: Column) -> Column:
-    return F.round(c.cast("decimal(20,8)"), 2).cast("double")
+    return rounded(c, 2)
 
 
 def _pick(index: Column, values: list[str], default: str) -> Column:
