@@ -47,7 +47,7 @@ class Marts(Mapping[str, DataFrame]):
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._models:
-            lent = self._base is not None and not self.tables & {name, *_upstream(name)}
+            lent = self._base is not None and not self.tables & _upstream(name)
             df = self._base[name] if lent else self._compose(name)
             if name in self.tables:
                 df = materialised(df, name)
@@ -135,6 +135,11 @@ _BUILDERS = {
         m["customer_triples"],
     ),
     "classified_graph": lambda m: graph.classify(m["graph"], m.namespace),
+    # the two halves of the classified graph, for questions about one kind of entity
+    "classified_routes": lambda m: graph.classify(m["route_triples"], m.namespace, ["route"]),
+    "classified_customers": lambda m: graph.classify(
+        m["customer_triples"], m.namespace, ["customer"]
+    ),
 }
 
 # marts each mart reads, directly or not
@@ -151,6 +156,8 @@ _READS = {
     "customer_triples": ("customer_metrics",),
     "graph": ("route_triples", "customer_triples"),
     "classified_graph": ("graph",),
+    "classified_routes": ("route_triples",),
+    "classified_customers": ("customer_triples",),
 }
 
 

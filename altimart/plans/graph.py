@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -241,9 +243,11 @@ def inferred(graph: DataFrame, entity: str, ns: str = NAMESPACE) -> DataFrame:
     )
 
 
-def classify(graph: DataFrame, ns: str = NAMESPACE) -> DataFrame:
-    """The graph with all inferred types added."""
-    return T.union_graphs(graph, *[inferred(graph, entity, ns) for entity in ENTITIES])
+def classify(
+    graph: DataFrame, ns: str = NAMESPACE, entities: Sequence[str] = tuple(ENTITIES)
+) -> DataFrame:
+    """The graph with the inferred types of these kinds of entities added."""
+    return T.union_graphs(graph, *[inferred(graph, entity, ns) for entity in entities])
 
 
 def rule_counts(graph: DataFrame, ns: str = NAMESPACE) -> DataFrame:

@@ -19,8 +19,11 @@ AS_OF = dt.date(2001, 6, 30)  # the driver's tables end in 2001
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Models that several branches of a query read; written once instead of computed per branch.
-SHARED = ("fct_flights",)
-SHARED_GRAPH = ("fct_flights", "graph", "classified_graph")
+FLIGHTS = ("fct_flights",)
+SHARED = (*FLIGHTS, "dim_customers")
+SHARED_GRAPH = (*SHARED, "graph", "classified_graph")
+SHARED_ROUTES = (*SHARED, "route_triples", "classified_routes")
+SHARED_CUSTOMERS = (*SHARED, "customer_triples", "classified_customers")
 
 KPI_GRAIN = {
     "fct_flights": "route_id",
@@ -130,10 +133,10 @@ QUERIES: dict[str, Query] = {
         lambda m: decisions.customer_performance(m["fct_bookings"], m.as_of)
     ),
     "route_flags": _over(
-        lambda m: m["route_decisions"].select("route_id", *_FLAGS, "recommendation"), SHARED
+        lambda m: m["route_decisions"].select("route_id", *_FLAGS, "recommendation"), FLIGHTS
     ),
     "route_labels": _over(
-        lambda m: m["route_decisions"].select("route_id", "ontology_label"), SHARED
+        lambda m: m["route_decisions"].select("route_id", "ontology_label"), FLIGHTS
     ),
     "customer_flags": _over(
         lambda m: m["customer_decisions"].select("customer_id", *_FLAGS, "recommendation")
@@ -157,23 +160,23 @@ QUERIES: dict[str, Query] = {
     ),
     "q_get_complaints_by_route": _over(tools.get_complaints_by_route),
     "q_top_complaints": _over(tools.top_complaints),
-    "q_compare_routes": _over(tools.route_comparison, SHARED),
+    "q_compare_routes": _over(tools.route_comparison, FLIGHTS),
     "q_get_high_value_at_risk_customers": _over(tools.get_high_value_at_risk_customers),
     "q_get_upsell_segments": _over(tools.get_upsell_segments),
     "q_get_unstructured_insights": _over(tools.get_unstructured_insights),
     "q_get_owl_route_classification": _over(
-        lambda m: tools.get_owl_route_classification(m["classified_graph"], m.namespace),
-        SHARED_GRAPH,
+        lambda m: tools.get_owl_route_classification(m["classified_routes"], m.namespace),
+        SHARED_ROUTES,
     ),
     "q_get_owl_customer_classification": _over(
         lambda m: tools.get_owl_customer_classification(
-            m["classified_graph"], limit=None, ns=m.namespace
+            m["classified_customers"], limit=None, ns=m.namespace
         ),
-        SHARED_GRAPH,
+        SHARED_CUSTOMERS,
     ),
     "q_owl_customers_first_50": _over(
-        lambda m: tools.get_owl_customer_classification(m["classified_graph"], ns=m.namespace),
-        SHARED_GRAPH,
+        lambda m: tools.get_owl_customer_classification(m["classified_customers"], ns=m.namespace),
+        SHARED_CUSTOMERS,
     ),
     "q_owl_cross_query": _over(
         lambda m: tools.owl_cross_query(m["classified_graph"], ns=m.namespace), SHARED_GRAPH
