@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from altimart.llm import bpe, exact_dedup, sharding
-from altimart.llm.common import table
+from altimart.llm import bpe, exact_dedup, langid, quality, sharding, toxicity
+from altimart.llm.common import remainder, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 
@@ -38,10 +38,59 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(remainder("doc_id", 3) != 1)
+    scored = quality.score(docs, quality.train(docs, labels))
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+# Plain insults, which tell open from veiled abuse among the labelled rows.
+INSULTS = (
+    "clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash",
+    "worthless",
+)
+CATEGORIES = ("poor", "open", "veiled", "toxic")
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Poor text, abuse in plain insults, abuse in other words, and toxicity as a whole."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").where(remainder("doc_id", 3) != 1)
+    labels = labels.select("doc_id", (1 - F.col("quality")).alias("poor"), "toxic")
+    plain = F.lower("__text").rlike(rf"\b({'|'.join(INSULTS)})\b")
+    toxic = F.col("toxic") == 1
+    derived = {"open": toxic & plain, "veiled": toxic & ~plain}
+    chain = toxicity.train(docs, labels, CATEGORIES, derived=derived)
+    scored = toxicity.score(docs, chain, CATEGORIES)
+    return scored.select(
+        "doc_id",
+        (remainder("doc_id", 3) == 1).alias("held_out"),
+        *[f"p_{c}" for c in CATEGORIES],
+        F.col("p_toxic").alias("score"),
+        (F.col("p_toxic") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs, remainder("doc_id", 3) != 1)
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op4_quality": op4_quality,
     "op6_sharding": op6_sharding,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe": op8_bpe,
+    "op9_toxicity": op9_toxicity,
+    "op10_language_id": op10_language_id,
 }
 
 SQL = {
