@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from altimart.llm import bpe, exact_dedup, langid, quality, sharding, toxicity
+from altimart.llm import bpe, decontaminate, exact_dedup, langid, quality, sharding, toxicity
 from altimart.llm.common import remainder, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -38,6 +38,12 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contained_items(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").where(remainder("doc_id", 3) != 1)
@@ -85,6 +91,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op4_quality": op4_quality,
     "op6_sharding": op6_sharding,
     "op7_exact_dedup": op7_exact_dedup,
@@ -94,6 +101,26 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_decontamination": r"""
+        with words as (
+            select doc_id as id, 'd' as kind, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as w from documents
+            union all
+            select item_id, 'i', regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') from benchmark
+        ),
+        shingles as (
+            select distinct id, kind, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as s
+            from words
+        ),
+        sizes as (select id, count(*) as q from shingles where kind = 'i' group by id),
+        shared as (
+            select d.id as doc_id, i.id as item_id, count(*) as n
+            from shingles d join shingles i on d.s = i.s and d.kind = 'd' and i.kind = 'i'
+            group by 1, 2
+        )
+        select doc_id, item_id, q as n_item_shingles, n as n_shared, n / q as containment
+        from shared join sizes on id = item_id
+        where 100 * n >= 80 * q
+    """,
     "op6_sharding": """
         with steps as (  -- crc32 of each byte value, by eight shifts
             select list(list_reduce(list_prepend(b, range(8)),
