@@ -6,11 +6,14 @@ import base64
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from altimart.llm.text import small
+
 #: Texts above this many characters are cut into pieces of at least this length before encoding.
 PIECE = 1 << 16
 _EDGE = re.compile(r"(?<=\S)(?=\s)")
@@ -58,13 +61,14 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = encoding(ranks.value, pattern)
-        for batch in batches:
-            ids, ends = [], [0]
+        for batch in small(batches, text_column):
+            ids, sizes = [np.zeros(0, np.int32)], [0]
             for text in batch.column(text_column).to_pylist():
-                for piece in pieces(text or ""):
-                    ids.extend(tokenizer.encode_ordinary(piece))
-                ends.append(len(ids))
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+                own = [np.array(tokenizer.encode_ordinary(p), np.int32) for p in pieces(text or "")]
+                ids += own
+                sizes.append(sum(map(len, own)))
+            ends = np.cumsum(sizes, dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
             yield _with(batch, ids_column, lists)
 
     return docs.mapInArrow(run, _plus(docs, ids_column, T.ArrayType(T.IntegerType())))
@@ -81,7 +85,7 @@ def decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = {rank: token for token, rank in ranks.value.items()}.__getitem__
-        for batch in batches:
+        for batch in small(batches, ids_column, 1 << 20):
             lists = batch.column(ids_column)
             out = [b"".join(map(tokens, ids or ())) for ids in lists.to_pylist()]
             yield _with(batch, bytes_column, pa.array(out, pa.binary()))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from altimart.llm.fitting import sampled, with_texts
-from altimart.llm.text import Remembered
+from altimart.llm.text import Remembered, small
 
 UNKNOWN = "und"
 #: Labelled documents learnt from; words and n-grams kept: the bounds of the broadcast model.
@@ -38,7 +38,7 @@ def _counts(docs: DataFrame, of_text: bool) -> DataFrame:
     """(lang, item, n): words of texts, or n-grams of counted words; combined before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches, "__text" if of_text else "item"):
             found: Counter = Counter()
             langs, items = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             if of_text:
@@ -131,7 +131,7 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shipped.value
         memory = Remembered(known.of_word, 100_000)
-        for batch in batches:
+        for batch in small(batches, text_column):
             texts = batch.column(text_column).to_pylist()
             found = [known.predict(t, memory) for t in texts]
             added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]

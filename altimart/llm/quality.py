@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from altimart.llm.fitting import fit_in_task, sampled, with_texts
-from altimart.llm.text import Remembered, raw_texts
+from altimart.llm.text import Remembered, raw_texts, small
 
 #: Labelled documents learnt from at most.
 SAMPLE = 3000
@@ -116,7 +116,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_column: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         odds, bias = shipped.value
         memory = Remembered(lambda word: float(odds[features(word)].mean()))
-        for batch in batches:
+        for batch in small(batches, text_column):
             out = []
             for text in raw_texts(batch.column(text_column)):
                 words = tokens(text)

@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(29)
 
 
+def small(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``most`` bytes of text (or list values), or of one row.
+
+    Python objects take many times the room of Arrow's, so few texts are unpacked at a time.
+    """
+    for batch in batches:
+        values = batch.column(column)
+        count = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+        ends = np.cumsum(count(values).fill_null(0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(ends):
+            before = ends[start - 1] if start else 0
+            end = max(int(np.searchsorted(ends, before + most, "right")), start + 1)
+            yield batch.slice(start, end - start)
+            start = end
+
+
 def raw_texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of every text; NULL is empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]

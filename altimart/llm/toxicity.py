@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from altimart.llm.fitting import fit_in_task, sampled, with_texts
-from altimart.llm.text import Remembered
+from altimart.llm.text import Remembered, small
 
 #: Labelled rows learnt from at most, with and without the last category of the chain.
 POSITIVE, NEGATIVE = 1500, 2500
@@ -173,7 +173,7 @@ def score(
         models = shipped.value
         useful = {int(i) for m in models for i in m.ids}
         memory = Remembered(lambda word: [i for i in features(word) if i in useful])
-        for batch in batches:
+        for batch in small(batches, text_column):
             ids = [_ids(t, memory) for t in batch.column(text_column).to_pylist()]
             found = run_chain(models, ids) if models else np.zeros((len(ids), len(names)))
             added = [pa.array(found[:, k], pa.float64()) for k in range(len(names))]
