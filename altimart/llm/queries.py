@@ -6,12 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from altimart.llm import bpe, decontaminate, exact_dedup, langid, quality, sharding, toxicity
+from altimart.llm import bpe, decontaminate, exact_dedup, langid, quality, sharding, substring, toxicity
 from altimart.llm.common import remainder, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = substring.repeated_passages(table(spark, folder, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return done.select(
+        "doc_id",
+        "n_words",
+        gone.alias("n_removed"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
     shards = sharding.byte_shards(table(spark, folder, "documents"), 16)
     return shards.select(
@@ -93,6 +104,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op4_quality": op4_quality,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_sharding": op6_sharding,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe": op8_bpe,
@@ -101,6 +113,27 @@ QUERIES = {
 }
 
 SQL = {
+    "op5_substring_dedup": r"""
+        with texts as (
+            select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+        ),
+        windows as (
+            select doc_id, i, md5(array_to_string(w[i:i + 12], ' ')) as run
+            from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from texts)
+        ),
+        judged as (select doc_id, i, min(doc_id) over (partition by run) < doc_id as gone from windows),
+        gone as (
+            select distinct doc_id, i + k as i
+            from (select doc_id, i from judged where gone), range(13) r(k)
+        ),
+        words as (select doc_id, unnest(range(1, len(w) + 1)) as i, unnest(w) as word from texts),
+        kept as (
+            select doc_id, count(*) as n_kept, string_agg(word, ' ' order by i) as kept
+            from words anti join gone using (doc_id, i) group by doc_id
+        )
+        select doc_id, len(w) as n_words, len(w) - coalesce(n_kept, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+        from texts left join kept using (doc_id)
+    """,
     "op2_decontamination": r"""
         with words as (
             select doc_id as id, 'd' as kind, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') as w from documents
