@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from altimart.llm import bpe, decontaminate, exact_dedup, langid, quality, sharding, substring, toxicity
+from altimart.llm import bpe, decontaminate, exact_dedup, langid, ngram_join, quality, sharding, substring, toxicity
 from altimart.llm.common import remainder, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -49,6 +49,10 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.alike(table(spark, folder, "documents"), width=4, percent=85)
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contained_items(
         table(spark, folder, "documents"), table(spark, folder, "benchmark")
@@ -102,6 +106,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
     "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
@@ -113,6 +118,31 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_ngram_join": r"""
+        with recursive words as (
+            select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+        ),
+        shingles as (
+            select distinct doc_id, md5(array_to_string(w[i:i + 3], ' ')) as s
+            from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) as i from words where len(w) > 0)
+        ),
+        sizes as (select doc_id, count(*) as n from shingles group by 1),
+        shared as (
+            select a.doc_id as a, b.doc_id as b, count(*) as n
+            from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2
+        ),
+        links as (
+            select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+            where 100 * shared.n >= 85 * (x.n + y.n - shared.n)
+        ),
+        reach(doc_id, other) as (
+            select doc_id, doc_id from documents
+            union
+            select reach.doc_id, b from reach join links on a = other
+        )
+        select doc_id, coalesce(any_value(n), 0) as n_shingles, min(other) as component_id
+        from reach left join sizes using (doc_id) group by doc_id
+    """,
     "op5_substring_dedup": r"""
         with texts as (
             select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
