@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from altimart.llm.common import spread_join
+from altimart.llm.common import cut, spread_join
 
 WIDTH, PERCENT = 5, 80
 #: Documents above 2**24 shingles share one size class.
@@ -20,7 +20,16 @@ _SALTS = 16
 
 def words(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"([\p{L}\p{N}]+)"), 1)
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+
+
+def _once(value: Column, make) -> Column:
+    """``make(value)`` with the value computed once a row.
+
+    A lambda that names a computed column would get its whole expression inlined, and run it for
+    every element, where the optimizer pushes a filter below the projection.
+    """
+    return F.element_at(F.transform(F.array(value), make), 1)
 
 
 def _per_shingle(of: Column, width: int, make) -> Column:
@@ -29,16 +38,18 @@ def _per_shingle(of: Column, width: int, make) -> Column:
     return F.slice(each, 1, F.greatest(F.size(of) - (width - 1), F.lit(0)))
 
 
-def _hashes(of: Column, width: int) -> Column:
-    return F.array_distinct(_per_shingle(of, width, F.xxhash64))
+def _hashes(text: Column, width: int) -> Column:
+    return _once(words(text), lambda w: F.array_distinct(_per_shingle(w, width, F.xxhash64)))
 
 
-def _strings(of: Column, width: int) -> Column:
-    return F.array_distinct(_per_shingle(of, width, lambda *w: F.concat_ws(" ", *w)))
+def _strings(text: Column, width: int) -> Column:
+    join = lambda *w: F.concat_ws(" ", *w)
+    return _once(words(text), lambda w: F.array_distinct(_per_shingle(w, width, join)))
 
 
 def _size_class(size: Column) -> Column:
-    return F.least(F.floor(F.log2(F.greatest(size, F.lit(1)))), F.lit(LAST_CLASS)).cast("int")
+    """The bits of the size."""
+    return F.least(F.length(F.bin(size.cast("long"))), F.lit(LAST_CLASS))
 
 
 def contained_items(
@@ -71,15 +82,16 @@ def contained_items(
     no rows.  Texts are read whole.
     """
     need = F.ceil(F.col("q") * percent / 100).cast("int")
-    item_words = items.where(F.col(item_column).isNotNull()).select(
-        F.col(item_column).alias("__item"), words(F.col(item_text_column)).alias("words")
+    named_items = items.where(F.col(item_column).isNotNull()).select(
+        F.col(item_column).alias("__item"), F.col(item_text_column).alias("__wanted")
     )
-    tests = (
-        item_words.withColumn("hashes", _hashes(F.col("words"), width))
+    tests = cut(  # read by each step below
+        named_items.withColumn("hashes", _hashes(F.col("__wanted"), width))
         .withColumn("q", F.size("hashes"))
         .where("q > 0")
         .withColumn("need", need)
         .withColumn("sketch", F.slice(F.array_sort("hashes"), 1, F.col("q") - F.col("need") + 1))
+        .select("__item", "need", "sketch", _strings(F.col("__wanted"), width).alias("wanted"))
     )
     ceilings = (
         tests.select(F.element_at("sketch", -1).alias("top"), F.explode(F.sequence(_size_class(F.col("need")), F.lit(LAST_CLASS))).alias("class"))
@@ -91,28 +103,25 @@ def contained_items(
     buckets = sketches.select(bucket.alias("bucket")).distinct()
 
     named = docs.where(F.col(id_column).isNotNull())
-    hashed = (
-        named.select(F.col(id_column).alias("__doc"), words(F.col(text_column)).alias("words"))
-        .select("__doc", _hashes(F.col("words"), width).alias("hashes"))
-        .withColumn("class", _size_class(F.size("hashes")))
-    )
+    hashed = named.select(
+        F.col(id_column).alias("__doc"), _hashes(F.col(text_column), width).alias("hashes")
+    ).withColumn("class", _size_class(F.size("hashes")))
     probes = (
         hashed.join(F.broadcast(ceilings), "class")
-        .select("__doc", F.explode(F.filter("hashes", lambda h: h <= F.col("ceiling"))).alias("hash"))
+        .select("__doc", F.explode_outer(F.filter("hashes", lambda h: h <= F.col("ceiling"))).alias("hash"))
         .withColumn("bucket", bucket)
         .join(F.broadcast(buckets), "bucket", "left_semi")
         .withColumn("salt", F.pmod(F.xxhash64("__doc"), F.lit(_SALTS)).cast("int"))
     )
     salted = sketches.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    candidates = probes.join(salted, ["hash", "salt"]).select("__doc", "__item").distinct()
+    candidates = cut(probes.join(salted, ["hash", "salt"]).select("__doc", "__item").distinct())
 
-    full = tests.select("__item", "q", _strings(F.col("words"), width).alias("wanted"))
+    full = tests.select("__item", "wanted")
     asked = spread_join(candidates, full, ["__item"], F.col("__doc"), "inner")
     texts = named.select(F.col(id_column).alias("__doc"), F.col(text_column).alias("__text"))
     shared = (
         asked.join(texts, "__doc")
-        .withColumn("words", words(F.col("__text")))
-        .withColumn("shared", F.size(F.array_intersect("wanted", _strings(F.col("words"), width))))
+        .withColumn("shared", F.size(F.array_intersect("wanted", _strings(F.col("__text"), width))))
         .withColumn("q", F.size("wanted"))
         .where(F.col("shared") * 100 >= F.col("q") * percent)
     )
