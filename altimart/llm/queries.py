@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from altimart.llm import bpe, decontaminate, exact_dedup, langid, ngram_join, quality, sharding, substring, toxicity
+from altimart.llm import bpe, decontaminate, exact_dedup, langid, lm, ngram_join, quality, sharding, substring, toxicity
 from altimart.llm.common import remainder, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -59,6 +59,15 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    scored = lm.text_scores(table(spark, folder, "documents"), remainder("doc_id", 5) != 1)
+    return scored.select(
+        "doc_id",
+        (~F.col("learnt")).alias("held_out"),
+        "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte",
+    )
+
+
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").where(remainder("doc_id", 3) != 1)
@@ -108,6 +117,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality": op4_quality,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_sharding": op6_sharding,
