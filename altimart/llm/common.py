@@ -15,19 +15,28 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows from the checkpoint folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, named by the cluster in ``spark.checkpoint.dir``.
 
-    The cluster names the folder in ``spark.checkpoint.dir``.  Only a local session without that
-    setting, as in tests, gets a temporary folder: its executors are this process.
+    Only a local session without that setting, as in tests, gets a temporary folder: its executors
+    are this process.
     """
-    spark = df.sparkSession
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    if named:
+        return named
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", "")
-        if not named and not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="altimart-llm-"))
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="altimart-llm-"))
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows from a checkpoint in the shared folder."""
+    folder, context = shared_folder(df.sparkSession), df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
 

@@ -1,12 +1,82 @@
-"""A corpus pipeline: five stages, each an operator of ``altimart.llm``."""
+"""A corpus pipeline: five stages, each an operator of ``altimart.llm``.
 
-STAGES = []
+A stage takes (spark, docs, sf_dir) and returns a DataFrame.  It works on all rows its predecessor
+kept; ``run`` and whoever else applies STAGES write its result as Parquet and read it as the next
+stage's docs.  All but the last return the columns of ``documents``.  Rows are told apart by doc_id;
+a row with a NULL doc_id is never dropped as a copy or as contaminated.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from altimart.llm import bpe, decontaminate, exact_dedup, langid, ngram_join
+from altimart.llm.common import shared_folder, table
+
+#: A document whose language is surer than this stays.
+SURE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without a letter and those in which no language has half of the score."""
+    model = langid.train(docs, F.lit(True))
+    found = langid.identify(docs.withColumnRenamed("score", "__score"), model)
+    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE))
+    return kept.drop("lang_pred", "score").withColumnRenamed("__score", "score")
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the longest original of texts equal but for white space, then the smallest id."""
+    rows = exact_dedup.exact_duplicates(docs)
+    return docs.join(rows.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the smallest id of each component at a Jaccard similarity of 0.8 of five-word shingles."""
+    rows = ngram_join.alike(docs, width=5, percent=80)
+    copies = rows.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold at least 80 % of the five-word shingles of a benchmark item."""
+    found = decontaminate.contained_items(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each text, and whether their bytes are the text's again."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", "lang", "source", "ids",
+        F.size("ids").cast("long").alias("n_tokens"),
+        (F.col("decoded") == text).alias("round_trip"),
+    )
+
+
+STAGES = [
+    ("language", identify_language),
+    ("exact_dedup", drop_exact_copies),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", decontaminate_benchmark),
+    ("encoding", encode_tokens),
+]
+
+#: SQL cannot express the first stage's learnt model nor the last stage's merges.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """STAGES applied to the documents in turn."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STAGES applied to the documents in turn, each written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs
