@@ -9,8 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from altimart.llm.common import total_of
-from altimart.llm.routing import joined, packed, table_of
+from altimart.llm.routing import groups_for, joined, owners_for, packed, table_of
 from altimart.llm.text import hash_memory, word_hashes
 
 #: Bytes of context of each predictor; the longest comes first in a gram of six bytes.
@@ -233,8 +232,8 @@ def text_scores(
     learnt rows nothing is known: every bit costs one bit.  Rows that repeat give a row each; an
     empty table gives none.
     """
-    size = total_of(docs, F.sum(F.octet_length(text_column)))
-    groups = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2, size // group_bytes, 1)
+    owners = owners_for(docs) // 2  # a group sends each two rows
+    groups = groups_for(docs, text_column, group_bytes)
     dice = F.xxhash64(F.col(id_column), F.octet_length(text_column))
     texts = docs.select(
         F.pmod(dice, F.lit(groups)).cast("int").alias("grp"),
@@ -259,7 +258,7 @@ def text_scores(
     def send(key: tuple, table: pa.Table) -> pa.Table:
         rows, grp = [], key[0].as_py()
         for kind, (keys, n) in enumerate(distinct(table)):
-            for owner, _, own, counts in packed(grp, _mixed(keys), groups, np.arange(len(keys))):
+            for owner, _, own, counts in packed(grp, _mixed(keys), owners, np.arange(len(keys))):
                 at = np.frombuffer(counts, np.int64)
                 rows.append((owner, grp, kind, keys[at].tobytes(), n[at].astype(np.uint32).tobytes()))
         return table_of(rows, _SENT)
@@ -287,7 +286,7 @@ def text_scores(
             return table_of([], _SCORED)
         mixer = Mixer(np.array(trained.column("model").to_pylist()[0]))
         logs = mixer.log10(keys, n).astype(np.float32)
-        owner = ((_mixed(keys) >> np.uint64(33)) % np.uint64(groups)).astype(np.int64)
+        owner = ((_mixed(keys) >> np.uint64(33)) % np.uint64(owners)).astype(np.int64)
         return table_of([(o, k.tobytes(), v.tobytes()) for o, (k, v) in _split(owner, keys, logs)], _SCORED)
 
     def answer(key: tuple, table: pa.Table, scored: pa.Table) -> pa.Table:
@@ -320,7 +319,7 @@ def text_scores(
         values = []
         for kind, (keys, _) in enumerate(distinct(table)):
             held = np.zeros(len(keys), (np.float32, np.int64)[kind])
-            for owner, _, _, at in packed(0, _mixed(keys), groups, np.arange(len(keys))):
+            for owner, _, _, at in packed(0, _mixed(keys), owners, np.arange(len(keys))):
                 held[np.frombuffer(at, np.int64)] = np.frombuffer(given[kind, owner], held.dtype)
             values.append((pd.Index(keys), held))
         memory, rows = hash_memory(), []

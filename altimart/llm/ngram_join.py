@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from altimart.llm.common import cut, spread_join
 from altimart.llm.components import components
-from altimart.llm.routing import grouped, groups_for, joined, owners_of, packed, table_of
+from altimart.llm.routing import grouped, groups_for, joined, owners_for, owners_of, table_of
 from altimart.llm.text import Remembered, hash_memory, shingle_set, small
 
 #: A token in more sets than this is frequent and is indexed in combinations of two.
@@ -118,7 +118,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, "grp int, id long, n long, sig binary")
 
 
-def _indexed(texts: DataFrame, nodes: DataFrame, groups: int, width: int, percent: int) -> DataFrame:
+def _indexed(texts: DataFrame, nodes: DataFrame, owners: int, width: int, percent: int) -> DataFrame:
     """(node, n, sigs, tokens) of the sets that may be alike to another."""
     home = nodes.select("grp", "sig", "node")
 
@@ -136,7 +136,7 @@ def _indexed(texts: DataFrame, nodes: DataFrame, groups: int, width: int, percen
         return {sig: node for sig, node in found if sig is not None}
 
     def send(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
-        all_ = [_names(tokens, groups) for _, tokens in own(table, named(known))]
+        all_ = [_names(tokens, owners) for _, tokens in own(table, named(known))]
         if not all_:
             return table_of([], _SENT)
         names, n = np.unique(np.concatenate(all_), return_counts=True)
@@ -174,7 +174,7 @@ def _indexed(texts: DataFrame, nodes: DataFrame, groups: int, width: int, percen
         order = np.argsort(found, kind="stable")
         found, often, rows = found[order], often[order], []
         for node, tokens in own(table, mine) if len(found) else ():
-            names = _names(tokens, groups)
+            names = _names(tokens, owners)
             place = np.minimum(np.searchsorted(found, names), len(found) - 1)
             kinds = np.where(found[place] == names, 1 + often[place], 0)
             sigs = signatures(names, kinds, len(tokens), percent)
@@ -235,14 +235,13 @@ def alike(
        nodes of different components, every pair across components is compared.  So no two nodes
        are left apart that link; links inside a component are not listed one by one.
     """
-    groups = groups_for(docs, text_column)
-    texts = grouped(docs, id_column, text_column, groups)
+    texts = grouped(docs, id_column, text_column, groups_for(docs, text_column))
     sets = cut(_sets(texts, width))
     nodes = cut(
         sets.where("n > 0").groupBy("sig").agg(F.min("grp").alias("grp"), F.min("id").alias("least"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    index = cut(_indexed(texts, nodes, groups, width, percent))
+    index = cut(_indexed(texts, nodes, owners_for(docs), width, percent))
     signed = cut(index.select("node", "n", F.explode("sigs").alias("sig")))
     first = signed.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last")
     pairs = spread_join(signed, first.drop("last"), ["sig"], F.col("node"), "inner").where("a < node")

@@ -20,10 +20,17 @@ from altimart.llm.common import total_of
 GROUP_BYTES = 4 << 20
 
 
+def owners_for(docs: DataFrame) -> int:
+    """How many hash ranges: two per shuffle partition.
+
+    A group sends a row to each, so rows grow with the number of groups, not with its square.
+    """
+    return 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def groups_for(docs: DataFrame, text_column: str, group_bytes: int = GROUP_BYTES) -> int:
-    """How many groups: texts of ``group_bytes`` each, but four per shuffle partition at least."""
-    size = total_of(docs, F.sum(F.octet_length(text_column)))
-    return max(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // group_bytes, 1)
+    """How many groups: texts of ``group_bytes`` each, but two per shuffle partition at least."""
+    return max(owners_for(docs), total_of(docs, F.sum(F.octet_length(text_column))) // group_bytes)
 
 
 def grouped(docs: DataFrame, id_column: str, text_column: str, groups: int) -> DataFrame:

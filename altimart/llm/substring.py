@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from altimart.llm.routing import grouped, groups_for, joined, owners_of, packed, table_of
+from altimart.llm.routing import grouped, groups_for, joined, owners_for, owners_of, packed, table_of
 from altimart.llm.text import hash_memory, runs, word_hashes
 
 WINDOW = 13
@@ -56,8 +56,8 @@ def repeated_passages(
     smaller nor larger than another.  Repeated rows each give a row; an empty table gives none.
     """
     block = (window + 1) // 2
-    groups = groups_for(docs, text_column)
-    texts = grouped(docs, id_column, text_column, groups)
+    owners = owners_for(docs)
+    texts = grouped(docs, id_column, text_column, groups_for(docs, text_column))
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
         memory, all_, starts, doc_of = hash_memory(), [], [], []
@@ -76,7 +76,7 @@ def repeated_passages(
         mark = np.bitwise_or.reduceat(mark, at)
         mark[np.minimum.reduceat(doc, at) != np.maximum.reduceat(doc, at)] |= _TWICE
         own = hashes[at]
-        rows = packed(key[0].as_py(), own, groups, _low(own), mark)
+        rows = packed(key[0].as_py(), own, owners, _low(own), mark)
         return table_of([(o, g, low, m) for o, g, _, low, m in rows], _SENT)
 
     def find(key: tuple, table: pa.Table) -> pa.Table:
@@ -108,7 +108,7 @@ def repeated_passages(
     def candidates(hashes: np.ndarray, found: np.ndarray) -> np.ndarray:
         """Starts of the runs that hold an anchor."""
         rolling = runs(hashes, block)
-        names = owners_of(rolling, groups).astype(np.uint64) << np.uint64(32) | _low(rolling).astype(np.uint64)
+        names = owners_of(rolling, owners).astype(np.uint64) << np.uint64(32) | _low(rolling).astype(np.uint64)
         place = np.minimum(np.searchsorted(found, names), len(found) - 1)
         sums = np.concatenate([[0], np.cumsum(found[place] == names)])
         span = window - block + 1
@@ -133,7 +133,7 @@ def repeated_passages(
         run, check, id_ = run[order], check[order], id_[order]
         new = np.flatnonzero((np.diff(run, prepend=~run[:1]) != 0) | (np.diff(check, prepend=~check[:1]) != 0))
         last = id_[np.append(new[1:], len(run)) - 1]
-        return table_of(list(packed(key[0].as_py(), run[new], groups, check[new], id_[new], last)), _RUNS)
+        return table_of(list(packed(key[0].as_py(), run[new], owners, check[new], id_[new], last)), _RUNS)
 
     def first(key: tuple, table: pa.Table) -> pa.Table:
         run, row = joined(table.column("run"), np.uint64)
