@@ -2,7 +2,9 @@
 
 Money and percentages arrive as doubles.  Adding doubles in a different order
 (another partitioning, a retried task) changes the last digits, so aggregates
-add whole millionths and go back to a double once, at the end.
+add decimals and go back to a double once, at the end.  A double becomes the
+decimal that its shortest text shows.  No value is passed over: one that a
+type cannot hold (too large, NaN, infinite) raises an error.
 """
 
 from __future__ import annotations
@@ -10,35 +12,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WIDE = "decimal(38,8)"
-FAST_BELOW = 1e7  # |x| up to which x * 1e8 is exact enough in a double and fits a long
+#: Summands: up to 1e17, to ten decimals.  Sums have ten more digits and can be
+#: multiplied by a whole COUNT without losing any.
+AMOUNT = "decimal(27,10)"
+COUNT = "decimal(10,0)"
+#: What is rounded is read to eight decimals first, which drops the noise of double arithmetic.
+READ = "decimal(38,8)"
 
 
 def rounded(c: Column, digits: int) -> Column:
-    """Half-away-from-zero rounding of the value read to eight decimals.
+    """Half-away-from-zero rounding of the value read to eight decimals."""
+    return F.round(c.cast(READ), digits).cast("double")
 
-    Values up to ten million are rounded in long arithmetic, which stays inside
-    generated code; larger ones take the slower decimal way to the same result.
-    """
-    step = 10 ** (8 - digits)
-    units = F.rint(c * 1e8).try_cast("long")
-    whole = F.call_function("div", F.abs(units) + step // 2, F.lit(step))
-    near = F.when(units < 0, -whole).otherwise(whole).cast("double") / float(10**digits)
-    far = F.round(c.try_cast(WIDE), digits).cast("double")
-    return F.when(F.abs(c) < FAST_BELOW, near).otherwise(far)
 
-
-def millionths(c: Column) -> Column:
-    """A value as a whole number of millionths, in a type whose sum does not overflow."""
-    return F.rint(c * 1e6).try_cast("long").cast("decimal(19,0)")
-
-
-def from_millionths(total: Column) -> Column:
-    return total.cast("double") / 1e6
+def amount(c: Column) -> Column:
+    """A value as a decimal whose sum is exact."""
+    return c.cast(AMOUNT)
 
 
 def exact_sum(c: Column) -> Column:
-    return from_millionths(F.sum(millionths(c)))
+    return F.sum(amount(c)).cast("double")
 
 
 def exact_mean(c: Column) -> Column:

@@ -1,23 +1,20 @@
 """Left joins and per-group totals that survive hot keys.
 
 A shuffle join sends every row of a key to one task, so a key with a third of
-all rows makes one task do a third of the work.  ``lookup_join`` avoids that:
+all rows makes one task do a third of the work.  ``lookup_join`` avoids that,
+by the same plan at every size:
 
 1. ``heavy_keys`` counts rows per key (map-side combined, key columns only) and
-   keeps the keys holding more than ``1/slices`` of all rows.  Fewer than
-   ``slices`` keys can do so, whatever the data: a bounded list, safe to bring
-   to the driver and to broadcast.  Each heavy key gets a *fan-out* in
-   proportion to its weight.  Without heavy keys the plain join is used.
-2. Left rows of a heavy key are spread over that many salts; rows with a NULL
-   key, which match nothing, are spread too.
-3. Right rows of a heavy key are repeated once per salt.  The fan-outs of all
-   heavy keys add up to less than ``2 * slices``.
+   keeps those above ``rows_per_task``, by default a million; of more than 65536
+   such keys the heaviest, which bounds the broadcast.  (From there on, 65 billion
+   rows, no other key holds over one 65536th of all rows.)  The list is a part of
+   the query: composing it runs nothing.
+2. Left rows of a heavy key are spread over as many salts as it has tasks' worth
+   of rows.  Rows with a NULL key, which match nothing, are always spread.
+3. Right rows of a heavy key are repeated once per salt.
 
 Every left row meets every matching right row exactly once, so the result is
-that of the plain left join.  Nothing is counted where no single partition
-could be skewed in the first place: when all input below the left side is
-smaller than what Spark itself calls one skewed partition, or when the right
-side is small enough for Spark to broadcast it.
+that of the plain left join.
 """
 
 from __future__ import annotations
@@ -29,71 +26,25 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-GUARD_SETTING = "spark.altimart.skew.minBytes"
-SLICES_SETTING = "spark.altimart.skew.slices"
-_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+ROWS_SETTING = "spark.altimart.skew.rowsPerTask"
+ROWS_PER_TASK = 1_000_000
+MOST_KEYS = 1 << 16
+NULL_SALTS = 1 << 10
 
 
-def _bytes(text: str) -> int:
-    text = text.strip().lower()
-    digits = text.rstrip("bkmgt")
-    return int(digits) * _UNITS[text[len(digits):][:1] or "b"]
+def rows_per_task(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(ROWS_SETTING, str(ROWS_PER_TASK)))
 
 
-def _setting(df: DataFrame, name: str, default: str) -> str:
-    return df.sparkSession.conf.get(name, default)
+def heavy_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys above the limit and how many tasks' worth of rows each has; lazy.
 
-
-def input_bytes(df: DataFrame) -> float:
-    """Bytes of all files and tables below a DataFrame; infinite where unknown."""
-    try:
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        return float(sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())))
-    except Exception:  # no JVM plan at hand (remote sessions): assume it is large
-        return float("inf")
-
-
-def needs_guard(left: DataFrame, right: DataFrame | None = None) -> bool:
-    forced = _setting(left, GUARD_SETTING, "")
-    if forced:
-        return input_bytes(left) >= _bytes(forced)
-    skewed = _setting(
-        left, "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256MB"
-    )
-    if input_bytes(left) < _bytes(skewed):
-        return False
-    if right is None:
-        return True
-    small = _setting(left, "spark.sql.autoBroadcastJoinThreshold", "10MB")
-    return input_bytes(right) > max(_bytes(small), 0)
-
-
-def slices(df: DataFrame) -> int:
-    """How many even slices a table is cut into; a key above one slice is heavy."""
-    fixed = _setting(df, SLICES_SETTING, "")
-    if fixed:
-        return int(fixed)
-    return max(1024, int(_setting(df, "spark.sql.shuffle.partitions", "200")))
-
-
-def heavy_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """Keys above one slice with their fan-out, or None when there are none.
-
-    Runs one job over the key columns.  The answer has fewer than ``slices``
-    rows, one of which may be the NULL key.
+    NULL keys are left out: they are spread without being counted.
     """
-    n = slices(rows)
-    rows = rows.select(*keys)
-    total = rows.agg(F.count(F.lit(1))).scalar()
-    share = F.col("__rows") * F.lit(n)
-    heavy = (
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__rows"))
-        .where(share > total)
-        .select(*keys, F.ceil(share / total).cast("int").alias("__fanout"))
-    )
-    found = heavy.collect()  # fewer than n rows: more keys cannot each hold over 1/n of the rows
-    return rows.sparkSession.createDataFrame(found, heavy.schema) if found else None
+    limit, n = rows_per_task(rows), F.col("__rows")
+    counts = rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    heavy = counts.where(n > limit).orderBy(n.desc(), *keys).limit(MOST_KEYS)
+    return heavy.select(*keys, F.ceil(n / limit).cast("int").alias("__fanout"))
 
 
 def lookup_join(
@@ -102,7 +53,6 @@ def lookup_join(
     keys: Sequence[str],
     spread_by: Sequence[str],
     count_from: DataFrame | None = None,
-    guard: bool | None = None,
 ) -> DataFrame:
     """``left`` left-joined with one or several right sides on equally named columns.
 
@@ -112,19 +62,12 @@ def lookup_join(
     """
     keys = list(keys)
     rights = [right] if isinstance(right, DataFrame) else list(right)
-    if guard is None:
-        guard = any(needs_guard(left, r) for r in rights)
-    heavy = heavy_keys(left if count_from is None else count_from, keys) if guard else None
-    if heavy is None:
-        for r in rights:
-            left = left.join(r, keys, "left")
-        return left
-    heavy = F.broadcast(heavy)  # bounded, see heavy_keys
+    heavy = F.broadcast(heavy_keys(left if count_from is None else count_from, keys))
 
     dice = F.xxhash64(*[F.col(c) for c in spread_by], F.spark_partition_id())
     some_null = reduce(or_, [F.col(k).isNull() for k in keys])
     left_salt = (
-        F.when(some_null, F.pmod(dice, F.lit(slices(left))))
+        F.when(some_null, F.pmod(dice, F.lit(NULL_SALTS)))
         .when(F.col("__fanout") > 1, F.pmod(dice, F.col("__fanout").cast("long")))
         .otherwise(F.lit(0))
     )
@@ -138,11 +81,7 @@ def lookup_join(
 
 
 def with_group_totals(
-    df: DataFrame,
-    key: str,
-    totals: dict[str, Column],
-    spread_by: Sequence[str],
-    guard: bool | None = None,
+    df: DataFrame, key: str, totals: dict[str, Column], spread_by: Sequence[str]
 ) -> DataFrame:
     """Each row with aggregates over all rows of its key (a window without order).
 
@@ -151,6 +90,4 @@ def with_group_totals(
     NULL key belong to no group: callers drop them first.
     """
     per_key = df.groupBy(key).agg(*[c.alias(name) for name, c in totals.items()])
-    if guard is None:
-        guard = needs_guard(df)
-    return lookup_join(df, per_key, [key], spread_by, guard=guard)
+    return lookup_join(df, per_key, [key], spread_by)

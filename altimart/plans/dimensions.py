@@ -25,8 +25,8 @@ def dim_date(spark: SparkSession, first: str = "2024-01-01", end: str = "2025-12
 
 
 def dim_date_of(df: DataFrame, day: str) -> DataFrame:
-    """The calendar from the earliest day of a column up to, not including, the latest."""
-    return calendar(df.agg(F.min(day).alias("first"), F.max(day).alias("end")))
+    """The calendar from the earliest to the latest day of a column, both included."""
+    return calendar(df.agg(F.min(day).alias("first"), F.date_add(F.max(day), 1).alias("end")))
 
 
 def calendar(bounds: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from altimart import fixed_values as V
 from altimart.functions.clean import flag
 from altimart.functions.dates import as_of_date, date_key, days_between
 from altimart.functions.exact import (
+    amount,
     count_if,
     exact_sum,
     percent,
@@ -122,9 +123,8 @@ def fct_flights(
     has_seat_km = (seats > 0) & (km > 0)
     # revenue as an exact decimal, so that ties between revenue and cost are real ties
     parts = ("total_ticket_revenue_usd", "total_ancillary_revenue_usd", "total_cargo_revenue_usd")
-    exact = sum((_zero_usd(p).try_cast("decimal(30,6)") for p in parts[1:]),
-                _zero_usd(parts[0]).try_cast("decimal(30,6)"))
-    df = df.withColumn("__income", exact.cast("double"))
+    first, *rest = [amount(_zero_usd(p)) for p in parts]
+    df = df.withColumn("__income", sum(rest, first).cast("double"))
     return df.select(
         "flight_id",
         "route_id",

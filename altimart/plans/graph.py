@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from altimart import fixed_values as V
-from altimart.functions.exact import count_if, from_millionths, millionths, percent, rounded
+from altimart.functions.exact import AMOUNT, COUNT, amount, count_if, percent, rounded
 from altimart.operators import triples as T
 from altimart.operators.rules import Rule, all_labels, rule, trace
 
@@ -58,7 +58,7 @@ def route_metrics(
     """
     per_flight = tickets.groupBy("flight_id").agg(
         F.count(lit(1)).alias("__n"),
-        F.sum(millionths(col("sentiment_score"))).alias("__mood"),
+        F.sum(amount(col("sentiment_score"))).alias("__mood"),
         F.count("sentiment_score").alias("__moods"),
     )
     weight = lit(1).cast("long") if fanout_safe else F.greatest(_nz(col("__n")), lit(1))
@@ -70,16 +70,16 @@ def route_metrics(
 
     def mean(name: str) -> Column:
         # both sums skip rows without a value
-        total = F.sum(millionths(col(name)) * col("__w").cast("decimal(18,0)"))
+        total = F.sum(amount(col(name)) * col("__w").cast(COUNT))
         known = F.sum(F.when(col(name).isNotNull(), col("__w")))
-        return rounded(F.try_divide(from_millionths(total), known), 2)
+        return rounded(F.try_divide(total.cast("double"), known), 2)
 
     rates = weighed.groupBy("route_id").agg(
         mean("load_factor_pct").alias("avg_load_factor_pct"),
         mean("flight_margin_pct").alias("avg_margin_pct"),
         percent(F.sum(F.when(col("is_delayed"), col("__w")).otherwise(0)), F.sum("__w"))
         .alias("delay_rate_pct"),
-        rounded(F.try_divide(from_millionths(F.sum("__mood")), F.sum("__moods")), 2)
+        rounded(F.try_divide(F.sum("__mood").cast("double"), F.sum("__moods")), 2)
         .alias("avg_sentiment_score"),
     )
     keys = ("route_id", "route_key", "origin_airport_code", "destination_airport_code",
@@ -112,7 +112,7 @@ def customer_metrics(
     bought = bookings.groupBy("customer_id").agg(
         F.count(lit(1)).alias("__rows"),
         F.count("booking_id").alias("__bookings"),
-        F.sum(millionths(col("total_revenue_usd"))).alias("__revenue"),
+        F.sum(amount(col("total_revenue_usd"))).alias("__revenue"),
         count_if(col("has_ancillary_purchase")).alias("__with_extras"),
         F.max("days_since_last_booking").alias("__idle"),
     )
@@ -126,7 +126,7 @@ def customer_metrics(
     else:
         by_ticket = F.greatest(_nz(col("__tickets")), lit(1)) * col("__copies")
         by_booking = F.greatest(_nz(col("__rows")), lit(1)) * col("__copies")
-    revenue = from_millionths(col("__revenue") * by_ticket.cast("decimal(20,0)"))
+    revenue = (col("__revenue").cast(AMOUNT) * by_ticket.cast(COUNT)).cast("double")
     return df.select(
         "customer_id",
         "is_high_value",

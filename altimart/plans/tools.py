@@ -157,7 +157,7 @@ def get_owl_route_classification(g: DataFrame, ns: str = NAMESPACE) -> DataFrame
 
 
 def get_owl_customer_classification(
-    g: DataFrame, label: str | None = None, limit: int | None = 50, ns: str = NAMESPACE
+    g: DataFrame, label: str | None = None, limit: int | None = None, ns: str = NAMESPACE
 ) -> DataFrame:
     df = (
         graph.classified(g, "customer", label, ns)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,15 +32,9 @@ KPI_GRAIN = {
 }
 
 
-@functools.lru_cache(maxsize=8)
-def plans(spark: SparkSession, folder: str) -> Marts:
-    """The models over one folder, as plans: queries share them, no data is kept."""
-    return Marts(RawSheets(spark, folder), as_of=AS_OF)
-
-
 def marts(spark: SparkSession, folder: str, tables=()) -> Marts:
-    base = plans(spark, folder)
-    return Marts(base.sheets, as_of=AS_OF, tables=tables, base=base) if tables else base
+    """The models over one folder, listed anew: files added meanwhile are seen."""
+    return Marts(RawSheets(spark, folder), as_of=AS_OF, tables=tables)
 
 
 def _over(make: Callable[[Marts], DataFrame], tables=()) -> Query:
@@ -175,7 +168,9 @@ QUERIES: dict[str, Query] = {
         SHARED_CUSTOMERS,
     ),
     "q_owl_customers_first_50": _over(
-        lambda m: tools.get_owl_customer_classification(m["classified_customers"], ns=m.namespace),
+        lambda m: tools.get_owl_customer_classification(
+            m["classified_customers"], limit=50, ns=m.namespace
+        ),
         SHARED_CUSTOMERS,
     ),
     "q_owl_cross_query": _over(

@@ -114,11 +114,11 @@ def _airports(sheets: RawSheets) -> DataFrame:
 
 
 def _routes(sheets: RawSheets) -> DataFrame:
-    supp = col("s_suppkey")
+    supp, last = col("s_suppkey"), _last_nation(sheets)
     return sheets.table("supplier").select(
         F.concat(lit("R"), _pad(supp, 5)).alias("route_id"),
         F.concat(lit("N"), _pad(col("s_nationkey"), 2)).alias("origin_airport_code"),
-        F.concat(lit(" N"), _pad((col("s_nationkey") + 1 + supp % 24) % 25, 2))
+        F.concat(lit(" N"), _pad((col("s_nationkey") + 1 + supp % last) % (last + 1), 2))
         .alias("destination_airport_code"),
         mapped(supp % 4, {0: "Domestic", 3: " INTERNATIONAL"}, "Regional").alias("route_type"),
         (200 + (supp * 37) % 1800).cast("int").alias("distance_km"),
@@ -243,6 +243,7 @@ def _ancillary(sheets: RawSheets) -> DataFrame:
     k, line = col("k"), col("l_linenumber")
     return (
         _sold(sheets).withColumn("k", F.explode(F.array(lit(0), lit(1))))
+        # an item was bought where the row's discount reaches a bound of the customer; else there is none
         .where(col("l_discount") >= (2 + 6 * k + col("o_custkey") % 8) / 100)
         .select(
             F.concat(lit("A"), F.substring(_booking_id(), 2, 100), lit("-"), _text(k))
@@ -284,14 +285,17 @@ def _competitors(sheets: RawSheets) -> DataFrame:
     )
 
 
+def _last_nation(sheets: RawSheets):
+    return sheets.table("nation").agg(F.max("n_nationkey")).scalar()
+
+
 def _weather(sheets: RawSheets) -> DataFrame:
     nat = col("n_nationkey")
     day, dom = col("date"), F.dayofmonth("date")
     return (
         sheets.table("part").select(_part_day().alias("date")).distinct()  # at most 1200 days
-        .withColumn("n_nationkey", F.explode(F.sequence(lit(0), lit(24))))
+        .withColumn("n_nationkey", F.explode(F.sequence(lit(0), _last_nation(sheets))))
         .join(sheets.table("nation").select("n_nationkey"), "n_nationkey")
-        .where((nat + dom) % 3 != 0)
         .select(
             F.concat(lit("W"), _text(nat), lit("-"), _text(day)).alias("weather_id"),
             F.concat(lit("N"), _pad(nat, 2)).alias("airport_code"),
@@ -312,7 +316,7 @@ def _weather(sheets: RawSheets) -> DataFrame:
 
 def _cargo(sheets: RawSheets) -> DataFrame:
     line = col("l_linenumber")
-    return sheets.table("lineitem").where(col("l_quantity") >= 48).select(
+    return sheets.table("lineitem").select(
         F.concat(lit("G"), F.substring(_booking_id(), 2, 100)).alias("cargo_shipment_id"),
         F.concat(lit("F"), _text(col("l_partkey"))).alias("flight_id"),
         mapped(

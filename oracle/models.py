@@ -178,7 +178,7 @@ select {_texts("market_id route_id competitor_name")},
            "is_fare_invalid": "competitor_average_fare_usd <= 0"})}
 from (select *, count(*) over w as nb_competitors_on_route,
     cast(sum(competitor_frequency_weekly) over w as bigint) as total_competitor_frequency,
-    {rnd("cast(sum(cast(competitor_average_fare_usd as decimal(24,6))) over w as double)"
+    {rnd("fsum(competitor_average_fare_usd) over w"
          " / count(competitor_average_fare_usd) over w", 2)} as avg_competitor_fare_on_route,
     min(competitor_average_fare_usd) over w as min_competitor_fare_on_route,
     max(competitor_average_fare_usd) over w as max_competitor_fare_on_route
@@ -233,7 +233,7 @@ select {_texts("activity_id customer_id activity_type")}, miles_amount, estimate
            "is_value_per_mile_suspect":
                "estimated_value_usd / nullif(miles_amount, 0) not between 0.001 and 0.10"})}
 from (select *, cast(sum(miles_amount) over w as bigint) as customer_total_miles,
-    {rnd("cast(sum(cast(estimated_value_usd as decimal(24,6))) over w as double)", 2)}
+    {rnd("fsum(estimated_value_usd) over w", 2)}
       as customer_total_value_usd,
     count(*) over w as customer_activity_count,
     cast(sum(case when {_flown_miles} then miles_amount else 0 end) over w as bigint)
@@ -255,7 +255,7 @@ def _z(c: str, zero: str = "0") -> str:
 
 
 _income = "(" + " + ".join(
-    f"coalesce(cast({c} as decimal(30,6)), 0)"
+    f"coalesce(cast({c} as decimal(30,10)), 0)"
     for c in ("bk.tickets", "bk.extras", "cg.cargo_usd")
 ) + ")"
 _usd = f"cast({_income} as double)"
@@ -272,7 +272,7 @@ select cast(strftime(d, '%Y%m%d') as int) as date_id, d as full_date, cast(year(
   strftime(d, '%Y-%m') as year_month, dayofweek(d) in (0, 6) as is_weekend,
   case when month(d) in (12, 1, 2) then 'peak' when month(d) in (6, 7, 8) then 'high' else 'normal' end
     as season_demand, concat('FY-Q', quarter(d)) as fiscal_quarter
-from (select cast(unnest(range(min(flight_date), max(flight_date), interval 1 day)) as date) as d
+from (select cast(unnest(range(min(flight_date), max(flight_date) + interval 1 day, interval 1 day)) as date) as d
   from stg_flights)""",
     "dim_routes": f"""
 select {columns("r", "route_id route_key origin_airport_code destination_airport_code route_type distance_km "

@@ -27,7 +27,7 @@ from nation""",
     "raw_routes": """
 select concat('R', lpad(cast(s_suppkey as varchar), 5, '0')) as route_id,
   concat('N', lpad(cast(s_nationkey as varchar), 2, '0')) as origin_airport_code,
-  concat(' N', lpad(cast((s_nationkey + 1 + s_suppkey % 24) % 25 as varchar), 2, '0'))
+  concat(' N', lpad(cast((s_nationkey + 1 + s_suppkey % (select max(n_nationkey) from nation)) % (select max(n_nationkey) + 1 from nation) as varchar), 2, '0'))
     as destination_airport_code,
   case s_suppkey % 4 when 0 then 'Domestic' when 3 then ' INTERNATIONAL' else 'Regional' end
     as route_type,
@@ -124,15 +124,14 @@ select concat('W', n_nationkey, '-', cast(d.day as varchar)) as weather_id,
   case (n_nationkey + day(d.day)) % 4 when 0 then 'Élevé' when 1 then 'Moyen' when 2 then 'Faible'
     else '' end as disruption_risk_level,
   cast((n_nationkey * 5 + day(d.day) * 3) % 60 as int) as average_delay_caused_min
-from nation cross join (select distinct {_DAY} as day from part) d
-where (n_nationkey + day(d.day)) % 3 <> 0""",
+from nation cross join (select distinct {_DAY} as day from part) d""",
     "raw_cargo": f"""
 select concat('G', {_LINE}) as cargo_shipment_id, concat('F', l_partkey) as flight_id,
   case l_linenumber when 1 then 'Documents urgents' when 2 then 'Pharma' when 3 then 'Périssable'
     when 4 then 'Textile' when 5 then 'Électronique' else 'Divers' end as cargo_type,
   l_quantity * 22.5 as weight_kg, {_cents('l_extendedprice / 40')} as cargo_revenue_usd,
   l_discount * 1000 as space_utilization_pct
-from lineitem where l_quantity >= 48""",
+from lineitem""",
     "raw_loyalty": f"""
 select concat('L', event_id) as activity_id, concat('C', user_id * 3 + event_id % 2) as customer_id,
   case event_id % 7 when 0 then 'Miles gagnés sur vol' when 1 then 'Partenaire hôtel'

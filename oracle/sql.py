@@ -26,7 +26,7 @@ def rnd(expression: str, digits: int) -> str:
 
 
 def total(expression: str) -> str:
-    return f"cast(sum(cast({expression} as decimal(24,6))) as double)"
+    return f"fsum(cast({expression} as double))"  # compensated: right to the last digit
 
 
 def mean(expression: str) -> str:

@@ -4,14 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from altimart.operators import skew
-from altimart.operators.skew import heavy_keys, lookup_join, needs_guard, with_group_totals
+from altimart.operators.skew import heavy_keys, lookup_join, with_group_totals
 
 
 @pytest.fixture
 def sliced(spark):
-    spark.conf.set(skew.SLICES_SETTING, "8")
+    spark.conf.set(skew.ROWS_SETTING, "1250")
     yield
-    spark.conf.unset(skew.SLICES_SETTING)
+    spark.conf.unset(skew.ROWS_SETTING)
 
 
 @pytest.fixture(scope="module")
@@ -30,35 +30,42 @@ def _same(a, b):
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_heavy_keys_are_the_ones_above_one_slice(spark, hot, sliced):
+def test_heavy_keys_are_the_ones_above_one_task(spark, hot, sliced):
     found = {r["key"]: r["__fanout"] for r in heavy_keys(hot, ["key"]).collect()}
-    assert found == {"A": 3, None: 2}  # 3334 and 1666 of 10,000 rows, slices of 1250
+    assert found == {"A": 3}  # 3334 rows; rows without a key are spread uncounted
 
 
 def test_no_heavy_keys(spark, sliced):
     flat = spark.range(1000).select((F.col("id") % 100).alias("key"))
-    assert heavy_keys(flat, ["key"]) is None
+    assert heavy_keys(flat, ["key"]).isEmpty()
 
 
 @pytest.mark.parametrize("copies", [1, 3])
-def test_guarded_join_equals_plain_join(spark, hot, sliced, copies):
+def test_spread_join_equals_plain_join(spark, hot, sliced, copies):
     right = (
         spark.range(400)
         .select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") * 2).alias("w"))
         .unionByName(spark.createDataFrame([("A", 1), (None, 5)], "key string, w long"))
         .crossJoin(spark.range(copies).select(F.col("id").alias("copy")))
     )
-    plain = lookup_join(hot, right, ["key"], ["id"], guard=False)
-    guarded = lookup_join(hot, right, ["key"], ["id"], guard=True)
-    _same(plain, guarded)
+    _same(hot.join(right, "key", "left"), lookup_join(hot, right, ["key"], ["id"]))
 
 
-def test_guarded_join_on_two_keys_and_two_right_sides(spark, hot, sliced):
+def test_spread_join_on_two_keys_and_two_right_sides(spark, hot, sliced):
     left = hot.withColumn("k2", F.col("id") % 2)
     first = left.groupBy("key", "k2").agg(F.sum("v").alias("s"))
     second = left.groupBy("key", "k2").agg(F.max("v").alias("m"))
-    args = (left, [first, second], ["key", "k2"], ["id"])
-    _same(lookup_join(*args, guard=False), lookup_join(*args, guard=True))
+    keys = ["key", "k2"]
+    plain = left.join(first, keys, "left").join(second, keys, "left")
+    _same(plain, lookup_join(left, [first, second], keys, ["id"]))
+
+
+def test_composing_runs_no_job(spark, hot):
+    context = spark.sparkContext
+    context.setJobGroup("composing", "")
+    lookup_join(hot, hot.groupBy("key").agg(F.sum("v").alias("s")), ["key"], ["id"])
+    assert not context.statusTracker().getJobIdsForGroup("composing")
+    context.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_hot_key_is_spread(spark, hot, sliced):
@@ -67,7 +74,7 @@ def test_hot_key_is_spread(spark, hot, sliced):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         right = hot.groupBy("key").agg(F.sum("v").alias("s"))
-        out = lookup_join(hot, right, ["key"], ["id"], guard=True).where("key = 'A'")
+        out = lookup_join(hot, right, ["key"], ["id"]).where("key = 'A'")
         sizes = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -76,11 +83,10 @@ def test_hot_key_is_spread(spark, hot, sliced):
     assert len(sizes) > 1
 
 
-@pytest.mark.parametrize("guard", [False, True])
-def test_group_totals_equal_a_window(spark, hot, sliced, guard):
+def test_group_totals_equal_a_window(spark, hot, sliced):
     rows = hot.where("key is not null")
     out = with_group_totals(
-        rows, "key", {"n": F.count(F.lit(1)), "top": F.max("v")}, ["id"], guard=guard
+        rows, "key", {"n": F.count(F.lit(1)), "top": F.max("v")}, ["id"]
     )
     window = rows.selectExpr(
         "key", "id", "v", "count(*) over (partition by key) n", "max(v) over (partition by key) top"
@@ -88,16 +94,6 @@ def test_group_totals_equal_a_window(spark, hot, sliced, guard):
     _same(out, window)
 
 
-def test_guard_is_off_for_small_input_and_can_be_forced(spark, hot):
-    small = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    assert not needs_guard(small, small)
-    spark.conf.set(skew.GUARD_SETTING, "0")
-    try:
-        assert needs_guard(small, small)
-    finally:
-        spark.conf.unset(skew.GUARD_SETTING)
-
-
 @pytest.fixture(scope="module")
 def skewed_tables(tmp_path_factory):
     """The tiny tables with a third of all bookings on one customer and one flight."""
@@ -125,13 +121,5 @@ def test_queries_on_skewed_tables(spark, sliced, skewed_tables, name):
     from compare import differences, open_tables
 
     from __spark_entry__ import oracle_sql, queries
-    from altimart.queries import plans
-
-    spark.conf.set(skew.GUARD_SETTING, "0")
-    plans.cache_clear()
-    try:
-        df = queries()[name](spark, skewed_tables)
-    finally:
-        spark.conf.unset(skew.GUARD_SETTING)
-        plans.cache_clear()
+    df = queries()[name](spark, skewed_tables)
     assert differences(df, open_tables(skewed_tables), oracle_sql()[name]) == []

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from altimart.plans import dimensions, staging
 from altimart.sources.schemas import SHEETS, schema
@@ -194,3 +195,43 @@ def test_default_calendar(spark):
 
 def test_every_sheet_has_a_model():
     assert set(SHEETS) == set(staging.MODELS)
+
+
+def test_sums_and_rounding_lose_nothing(spark):
+    from altimart.functions.exact import exact_mean, exact_sum, rounded
+
+    def over(values, make):
+        rows = spark.createDataFrame([(v,) for v in values], "x double")
+        return rows.agg(make(F.col("x"))).first()[0]
+
+    assert over([1e13, 1.0, 2.0], exact_sum) == 10000000000003.0
+    assert spark.range(1_000_000).agg(exact_sum(F.lit(4e-7))).first()[0] == 0.4
+    assert over([1e13, None, 1.0], exact_mean) == 5000000000000.5
+    assert [over([x], lambda c: rounded(F.max(c), 2)) for x in (2.675, -2.675, 1e7 + 0.125, 1e20)] == [2.68, -2.68, 10000000.13, 1e20]
+    for bad in (1e18, float("nan"), float("inf")):
+        with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|CAST|overflow|NaN|Infinity"):
+            over([bad], exact_sum)
+
+
+def test_added_files_are_seen(spark, tmp_path):
+    import shutil
+
+    from conftest import TINY
+
+    from altimart.queries import QUERIES
+
+    for name in ("part", "supplier", "nation", "orders", "lineitem", "customer", "events"):
+        (tmp_path / f"{name}.parquet").mkdir()
+        shutil.copy(f"{TINY}/{name}.parquet", tmp_path / f"{name}.parquet" / "a.parquet")
+    before = QUERIES["stg_flights"](spark, str(tmp_path)).count()
+    shutil.copy(f"{TINY}/part.parquet", tmp_path / "part.parquet" / "b.parquet")
+    assert QUERIES["stg_flights"](spark, str(tmp_path)).count() == 2 * before
+
+
+def test_calendar_ends_with_the_last_flight(spark):
+    from conftest import TINY
+
+    from altimart.queries import QUERIES
+
+    last = QUERIES["stg_flights"](spark, TINY).agg(F.max("flight_date")).first()[0]
+    assert QUERIES["dim_date"](spark, TINY).agg(F.max("full_date")).first()[0] == last
