@@ -20,14 +20,21 @@ COUNT = "decimal(10,0)"
 READ = "decimal(38,8)"
 
 
+def _decimal(c: Column, kind: str) -> Column:
+    """A cast that fails on NaN and infinity too, which a plain one turns into NULL."""
+    endless = ~(F.abs(c.cast("double")) < float("inf"))  # NaN is above infinity in comparisons
+    refuse = F.raise_error(F.lit("not a finite number")).cast(kind)
+    return F.when(endless, refuse).otherwise(c.cast(kind))
+
+
 def rounded(c: Column, digits: int) -> Column:
     """Half-away-from-zero rounding of the value read to eight decimals."""
-    return F.round(c.cast(READ), digits).cast("double")
+    return F.round(_decimal(c, READ), digits).cast("double")
 
 
 def amount(c: Column) -> Column:
     """A value as a decimal whose sum is exact."""
-    return c.cast(AMOUNT)
+    return _decimal(c, AMOUNT)
 
 
 def exact_sum(c: Column) -> Column:

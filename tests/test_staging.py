@@ -209,7 +209,7 @@ def test_sums_and_rounding_lose_nothing(spark):
     assert over([1e13, None, 1.0], exact_mean) == 5000000000000.5
     assert [over([x], lambda c: rounded(F.max(c), 2)) for x in (2.675, -2.675, 1e7 + 0.125, 1e20)] == [2.68, -2.68, 10000000.13, 1e20]
     for bad in (1e18, float("nan"), float("inf")):
-        with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|CAST|overflow|NaN|Infinity"):
+        with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE|not a finite number"):
             over([bad], exact_sum)
 
 
