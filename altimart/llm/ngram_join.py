@@ -21,11 +21,13 @@ FREQUENT = 24
 SINGLES_BELOW = 32
 #: Tokens of a frequent class that a prefix holds, about: sets the number of classes by set size.
 PER_CLASS = 8
+#: Bits of the parity sketch of a set.
+SKETCH = 512
 _MIX, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(31)
 _BITS = np.uint64(24)
 _SENT = pa.schema([("owner", pa.int32()), ("grp", pa.int32()), ("low", pa.binary()), ("n", pa.binary())])
 _KNOWN = pa.schema([("grp", pa.int32()), ("owner", pa.int32()), ("low", pa.binary()), ("frequent", pa.binary())])
-_INDEX = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("sigs", pa.list_(pa.int64())), ("tokens", pa.binary())])
+_INDEX = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("sigs", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64())), ("tokens", pa.binary())])
 
 
 def allowance(n: int, percent: int) -> int:
@@ -95,6 +97,16 @@ def signatures(names: np.ndarray, kinds: np.ndarray, n: int, percent: int) -> np
     return np.unique(np.concatenate(out))
 
 
+def parity(tokens: np.ndarray) -> np.ndarray:
+    """Per bit, whether an odd number of tokens falls on it.
+
+    Tokens that two sets share cancel out, so the sketches of two sets differ in no more bits than
+    the sets in tokens.
+    """
+    odd = np.bincount((tokens >> np.uint64(20)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _lowered(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
@@ -179,14 +191,14 @@ def _indexed(texts: DataFrame, nodes: DataFrame, owners: int, width: int, percen
             kinds = np.where(found[place] == names, 1 + often[place], 0)
             sigs = signatures(names, kinds, len(tokens), percent)
             if sigs is not None:
-                rows.append((node, len(tokens), sigs.view(np.int64), tokens.tobytes()))
+                rows.append((node, len(tokens), sigs.view(np.int64), parity(tokens), tokens.tobytes()))
         return table_of(rows, _INDEX)
 
     by_group = texts.groupBy("grp")
     sent = by_group.cogroup(home.groupBy("grp")).applyInArrow(send, "owner int, grp int, low binary, n binary")
     known = sent.groupBy("owner").applyInArrow(count, "grp int, owner int, low binary, frequent binary")
     answers = known.unionByName(home, allowMissingColumns=True)
-    return by_group.cogroup(answers.groupBy("grp")).applyInArrow(index, "node long, n long, sigs array<long>, tokens binary")
+    return by_group.cogroup(answers.groupBy("grp")).applyInArrow(index, "node long, n long, sigs array<long>, sketch array<long>, tokens binary")
 
 
 def _verified(pairs: DataFrame, index: DataFrame, percent: int) -> DataFrame:
@@ -232,8 +244,10 @@ def alike(
     3. The others get ``signatures``: rare tokens one by one, frequent ones in pairs, and go to the
        checkpoint folder with their sets.
     4. Under each signature the first node is compared with the others.  Where a signature still has
-       nodes of different components, every pair across components is compared.  So no two nodes
-       are left apart that link; links inside a component are not listed one by one.
+       nodes of different components, every pair across components is compared: those whose parity
+       sketches differ in more bits than alike sets may differ in tokens are out, the others are
+       compared in full.  So no two nodes are left apart that link; links inside a component are not
+       listed one by one.
     """
     texts = grouped(docs, id_column, text_column, groups_for(docs, text_column))
     sets = cut(_sets(texts, width))
@@ -251,10 +265,14 @@ def alike(
     labels = components(links)
     placed = signed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = placed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    left = spread_join(placed, open_.select("sig"), ["sig"], F.col("node"), "inner")
-    right = left.select("sig", F.col("node").alias("b"), F.col("n").alias("m"), F.col("label").alias("other"))
-    similar = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-    across = left.join(right, "sig").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")) & similar)
+    words = SKETCH // 64
+    sketches = index.select("node", *[F.col("sketch")[i].alias(f"s{i}") for i in range(words)])
+    left = spread_join(placed, open_.select("sig"), ["sig"], F.col("node"), "inner").join(sketches, "node")
+    names = {"node": "b", "n": "m", "label": "other"} | {f"s{i}": f"t{i}" for i in range(words)}
+    right = left.withColumnsRenamed(names)
+    differ = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"t{i}"))) for i in range(words)), F.lit(0))
+    near = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
+    across = left.join(right, "sig").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")) & near)
     rest = across.select(F.col("node").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti")
     labels = components(links.unionByName(_verified(rest, index, percent)))
 

@@ -116,6 +116,15 @@ def test_signatures_are_shared_by_all_alike():
         assert len(np.intersect1d(*found))
 
 
+def test_sketches_differ_no_more_than_sets():
+    rng = np.random.default_rng(4)
+    for n in (1, 30, 3000):
+        x = np.unique(rng.integers(0, 1 << 60, n, dtype=np.uint64))
+        y = np.unique(np.append(x[n // 5 :], rng.integers(0, 1 << 60, n // 7 + 1, dtype=np.uint64)))
+        bits = np.unpackbits((ngram_join.parity(x) ^ ngram_join.parity(y)).view(np.uint8)).sum()
+        assert bits <= len(np.setxor1d(x, y))
+
+
 def test_components(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 200)]
     got = dict(components.components(spark.createDataFrame(links, "a long, b long")).collect())
