@@ -141,7 +141,26 @@ RDFS = "http://www.w3.org/2000/01/rdf-schema#"
 OWL = "http://www.w3.org/2002/07/owl#"
 XSD = "http://www.w3.org/2001/XMLSchema#"
 
-BASE_CLASSES = ("Route", "Customer", "Airport", "Airline")
+BASE_CLASSES = {  # class: label
+    "Route": "Route aérienne",
+    "Customer": "Client",
+    "Airport": "Aéroport",
+    "Airline": "Compagnie aérienne",
+}
+CLASS_TEXTS = {  # inferred class: label
+    "GrowthOpportunity": "Route à fort potentiel de croissance",
+    "StrategicUnderperformer": "Route stratégique sous-performante",
+    "OperationallyUnprofitable": "Route non rentable par problèmes opérationnels",
+    "DemandUnprofitable": "Route non rentable par manque de demande",
+    "RouteToDefend": "Route rentable sous pression concurrentielle",
+    "StableRoute": "Route stable sans signal particulier",
+    "HighValueAtRisk": "Client haute valeur à risque de churn",
+    "LoyaltyConversionTarget": "Client à convertir au programme fidélité",
+    "PremiumUpgradeCandidate": "Client éligible à une offre premium",
+    "AncillaryOfferTarget": "Client cible pour les offres ancillaires",
+    "ReactivationTarget": "Client inactif à réactiver",
+    "StableCustomer": "Client stable sans signal particulier",
+}
 ROUTE_PROPERTIES = {  # property: (xsd type, metric column)
     "hasLoadFactorPct": ("decimal", "avg_load_factor_pct"),
     "hasMarginPct": ("decimal", "avg_margin_pct"),
@@ -177,6 +196,8 @@ DISJOINT_PAIRS = (
 )
 NEVER_FLEW_DAYS = 999  # days since last flight for customers without a booking
 INFERENCE_SOURCE = "OWL inference"
+RULE_SOURCE = "OWL inference — règles SPARQL CONSTRUCT"
+CROSS_SOURCE = "OWL cross-domain inference"
 DEFAULT_REASON = "Aucun signal particulier — label par défaut"
 CROSS_INSIGHT = (
     "Ces routes sous-performantes affectent probablement la satisfaction des clients à risque."

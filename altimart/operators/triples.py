@@ -2,7 +2,7 @@
 
 Columns: ``s``, ``p``, ``o`` (text), ``dtype`` (datatype IRI of a literal, NULL
 for links and plain text) and ``is_iri`` (``o`` names a node).  A graph is a
-set: ``union_graphs`` removes duplicates, map-side first.
+set: ``union_graphs`` removes duplicates.  ``dtype`` of a text with a language is ``@`` and its tag.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ COLUMNS = ("s", "p", "o", "dtype", "is_iri")
 
 
 def union_graphs(*graphs: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, graphs).distinct()
+    """Set union, dealt by subject: grouping the result by subject needs no further shuffle."""
+    return reduce(DataFrame.unionByName, graphs).repartition("s").distinct()
 
 
 def local_name(iri: Column) -> Column:
@@ -88,18 +89,21 @@ def star(
     rdf_type: str,
     properties: Mapping[str, tuple[str, str]],
     marks: Mapping[str, str] = {},
+    types_in: str | None = None,
 ) -> DataFrame:
     """One row per subject of a type, with properties as columns.
 
     ``properties`` maps a column to (predicate, kind), ``marks`` a boolean column
     to a class: is the subject of that class too?  A subject with several values
     of one property shows the greatest text.  Missing properties are NULL.
+    ``types_in`` adds ``types``, every class of that namespace a subject has.
     """
     classes = [rdf_type, *marks.values()]
-    wanted = graph.where(
-        col("p").isin(*[p for p, _ in properties.values()])
-        | ((col("p") == RDF_TYPE) & col("o").isin(*classes))
-    )
+    typing = col("p") == RDF_TYPE
+    of_namespace = typing & F.startswith(col("o"), lit(types_in or ""))
+    kinds = of_namespace if types_in else typing & col("o").isin(*classes)
+    wanted = graph.where(col("p").isin(*[p for p, _ in properties.values()]) | kinds)
+    types = [F.collect_set(F.when(of_namespace, col("o"))).alias("types")] if types_in else []
 
     def is_a(name: str) -> Column:
         return F.coalesce(F.bool_or((col("p") == RDF_TYPE) & (col("o") == name)), lit(False))
@@ -108,18 +112,13 @@ def star(
         is_a(rdf_type).alias("__is_a"),
         *[F.max(F.when(col("p") == p, col("o"))).alias(name) for name, (p, _) in properties.items()],
         *[is_a(iri).alias(name) for name, iri in marks.items()],
+        *types,
     )
     return rows.where("__is_a").select(
         "s",
         *[typed(col(name), kind).alias(name) for name, (_, kind) in properties.items()],
         *marks,
-    )
-
-
-def types_of(graph: DataFrame, namespace: str) -> DataFrame:
-    """(subject, class) rows for classes of a namespace."""
-    return graph.where((col("p") == RDF_TYPE) & F.startswith(col("o"), lit(namespace))).select(
-        "s", col("o").alias("rdf_class")
+        *(["types"] if types_in else []),
     )
 
 

@@ -150,14 +150,17 @@ def schema_triples(spark: SparkSession, ns: str = NAMESPACE) -> DataFrame:
     def link(s: str, p: str, o: str):
         rows.append((s, p, o, None, True))
 
-    for name in V.BASE_CLASSES:
+    def said(s: str, text: str):
+        rows.append((s, V.RDFS + "label", text, "@fr", False))
+
+    for name, text in V.BASE_CLASSES.items():
         link(ns + name, kind, V.OWL + "Class")
-        rows.append((ns + name, V.RDFS + "label", name, None, False))
+        said(ns + name, text)
     for base, properties, rules, default in ENTITIES.values():
         for label in [*(r.name for r in rules), default]:
             link(ns + label, kind, V.OWL + "Class")
             link(ns + label, V.RDFS + "subClassOf", ns + base)
-            rows.append((ns + label, V.RDFS + "label", label, None, False))
+            said(ns + label, V.CLASS_TEXTS[label])
         for name, (xsd, _) in properties.items():
             link(ns + name, kind, V.OWL + "DatatypeProperty")
             link(ns + name, V.RDFS + "domain", ns + base)
@@ -209,14 +212,15 @@ def customer_triples(metrics: DataFrame, ns: str = NAMESPACE) -> DataFrame:
         metrics, F.concat(lit(ns), "customer_id"), ns + "Customer",
         _literals(V.CUSTOMER_PROPERTIES, ns),
     )
-    return facts.distinct()
+    return T.union_graphs(facts)
 
 
 def _star(graph: DataFrame, entity: str, ns: str, marks: bool = False) -> DataFrame:
+    """One row per entity: with ``marks`` its rules' classes, else all its classes."""
     base, properties, rules, _ = ENTITIES[entity]
     labels = {f"__is_{r.name}": ns + r.name for r in rules} if marks else {}
     columns = {name: (ns + name, kind) for name, (kind, _) in properties.items()}
-    return T.star(graph, ns + base, columns, labels)
+    return T.star(graph, ns + base, columns, labels, None if marks else ns)
 
 
 def labelled(graph: DataFrame, entity: str, ns: str = NAMESPACE) -> DataFrame:
@@ -273,16 +277,22 @@ def classified(
     Without ``label``: every class but the base class; with it: that class.
     """
     base = ENTITIES[entity][0]
-    types = T.types_of(graph, ns)
+    rows = _star(graph, entity, ns).withColumn("rdf_class", F.explode("types"))
     wanted = col("rdf_class") != ns + base if label is None else col("rdf_class") == ns + label
-    rows = _star(graph, entity, ns).join(types.where(wanted), "s")
-    return rows.select(
+    return rows.where(wanted).select(
         T.local_name(col("s")).alias("entity_id"),
         T.local_name(col("rdf_class")).alias("owl_label"),
         *ENTITIES[entity][1],
     )
 
 
+def label_facts(models, ns: str = NAMESPACE) -> DataFrame:
+    """Type triples of all entities by their rules, without the rest of the graph."""
+    return inferred(models["route_triples"], "route", ns).unionByName(
+        inferred(models["customer_triples"], "customer", ns)
+    )
+
+
 def violations(graph: DataFrame, ns: str = NAMESPACE) -> DataFrame:
     """Entities labelled with two classes that are declared disjoint."""
     pairs = [(ns + a, ns + b) for a, b in V.DISJOINT_PAIRS]
@@ -375,5 +385,5 @@ def explanations(
                 F.transform(empty_trace, lambda t: t.withField("label", lit(default))),
             )
         ).alias("trace"),
-        lit(V.INFERENCE_SOURCE).alias("source"),
+        lit(V.RULE_SOURCE).alias("source"),
     )

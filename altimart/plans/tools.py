@@ -153,6 +153,7 @@ def get_owl_route_classification(g: DataFrame, ns: str = NAMESPACE) -> DataFrame
             col("hasMarginPct").alias("margin_pct"),
             lit(V.INFERENCE_SOURCE).alias("source"),
         )
+        .orderBy("route_id", "owl_label")
     )
 
 
@@ -172,7 +173,8 @@ def get_owl_customer_classification(
             lit(V.INFERENCE_SOURCE).alias("source"),
         )
     )
-    return df if limit is None else df.orderBy("customer_id", "owl_label").limit(limit)
+    df = df.orderBy("customer_id", "owl_label")
+    return df if limit is None else df.limit(limit)
 
 
 def explain_why_classified(
@@ -192,7 +194,7 @@ def _routes_vs_customers(g: DataFrame, ns: str, worst: int) -> DataFrame:
         .orderBy("hasSentimentScore", "entity_id")
         .limit(worst)
     )
-    return routes.select(
+    both = routes.select(
         lit("underperforming_routes").alias("section"),
         "entity_id",
         col("hasRouteKey").alias("route_key"),
@@ -207,6 +209,7 @@ def _routes_vs_customers(g: DataFrame, ns: str, worst: int) -> DataFrame:
             col("hasDaysSinceLastFlight").alias("days_inactive"),
         )
     )
+    return both.select("*", lit(V.CROSS_INSIGHT).alias("insight"), lit(V.CROSS_SOURCE).alias("source"))
 
 
 def owl_cross_query(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +13,16 @@ from altimart.operators import triples
 from altimart.plans import decisions, dimensions, facts, graph, kpis, staging, tools
 from altimart.plans.build import Marts
 from altimart.sources.fixtures import RawSheets
-from altimart.sources.sinks import ntriples_lines
+from altimart.sources.readers import read_ntriples, read_sheet
+from altimart.sources.sinks import json_rows, materialised, ntriples_lines, shared_folder, write_ntriples
 
 AS_OF = dt.date(2001, 6, 30)  # the driver's tables end in 2001
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Models that several branches of a query read; written once instead of computed per branch.
 FLIGHTS = ("fct_flights",)
-SHARED = (*FLIGHTS, "dim_customers")
+BOOKINGS = ("stg_bookings",)  # read for the fact, per flight and per customer
+SHARED = (*BOOKINGS, *FLIGHTS, "dim_customers")
 SHARED_GRAPH = (*SHARED, "graph", "classified_graph")
 SHARED_ROUTES = (*SHARED, "route_triples", "classified_routes")
 SHARED_CUSTOMERS = (*SHARED, "customer_triples", "classified_customers")
@@ -62,11 +65,48 @@ def _explain(m: Marts) -> DataFrame:
 def _trace(m: Marts) -> DataFrame:
     def rows(entity: str) -> DataFrame:
         found = graph.explanations(m["classified_graph"], entity)
-        return found.select("entity_type", "entity_id", F.inline("trace")).drop("value")
+        return found.select("entity_type", "entity_id", F.inline("trace"))
 
     return _both_entities(rows)
 
 
+def _raw_metrics(m: Marts) -> DataFrame:
+    """Every property an explanation shows, as text and as a number where it is one."""
+
+    def rows(entity: str) -> DataFrame:
+        found = graph.explanations(m["classified_graph"], entity)
+        return found.select("entity_type", "entity_id", "source", F.explode("raw_metrics").alias("metric", "text"))
+
+    return _both_entities(rows).withColumn("number", F.col("text").try_cast("double"))
+
+
+def _owl_labels(m: Marts) -> DataFrame:
+    def rows(entity: str) -> DataFrame:
+        found = graph.explanations(m["classified_graph"], entity)
+        return found.select("entity_type", "entity_id", "source", F.explode("owl_labels").alias("label"))
+
+    return _both_entities(rows)
+
+
+def _sheet(name: str, fmt: str) -> Query:
+    """A sheet written in a format, read back by its declared schema and staged."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        m = marts(spark, folder)
+        path = f"{shared_folder(spark)}/sheets-{uuid.uuid4().hex}/{name}.{fmt}"
+        m.sheets[name].write.options(header=True).format(fmt).save(path)
+        return staging.MODELS[name](read_sheet(spark, name, path, fmt), as_of=AS_OF)
+
+    return query
+
+
+def _triples_read_back(m: Marts) -> DataFrame:
+    facts_ = m["route_triples"]
+    path = f"{shared_folder(facts_.sparkSession)}/triples-{uuid.uuid4().hex}"
+    write_ntriples(facts_, path)
+    return read_ntriples(facts_.sparkSession, path)
+
+
 def _labels(entity: str) -> Query:
     def make(m: Marts) -> DataFrame:
         rows = graph.labelled(m[f"{entity}_triples"], entity, m.namespace)
@@ -117,7 +157,7 @@ QUERIES: dict[str, Query] = {
     "dim_routes": _model("dim_routes"),
     "dim_customers": _model("dim_customers"),
     "fct_flights": _model("fct_flights"),
-    "fct_bookings": _model("fct_bookings"),
+    "fct_bookings": _model("fct_bookings", BOOKINGS),
     "fct_tickets": _model("fct_tickets"),
     **{f"agg_{name}": _over(make) for name, make in _AGGREGATES.items()},
     "route_performance": _over(lambda m: decisions.route_performance(m["fct_flights"])),
@@ -191,11 +231,45 @@ QUERIES: dict[str, Query] = {
     "graph_customer_labels": _labels("customer"),
     "graph_rule_counts": _over(lambda m: graph.rule_counts(m["graph"], m.namespace), SHARED_GRAPH),
     "graph_disjoint_violations": _over(
-        lambda m: graph.violations(m["classified_graph"], m.namespace), SHARED_GRAPH
+        lambda m: graph.violations(graph.label_facts(m, m.namespace), m.namespace), SHARED
     ),
     "graph_explain": _over(_explain, SHARED_GRAPH),
     "graph_explain_trace": _over(_trace, SHARED_GRAPH),
     "graph_same_as": _over(_same_as, (*SHARED, "customer_triples")),
+    "graph_explain_metrics": _over(_raw_metrics, SHARED_GRAPH),
+    "graph_explain_labels": _over(_owl_labels, SHARED_GRAPH),
+    "graph_explain_one": _over(
+        lambda m: tools.explain_why_classified(m["classified_graph"], "C3", "customer").select(
+            "entity_id", "entity_type", F.explode("owl_labels").alias("label"), "source"
+        ),
+        SHARED_GRAPH,
+    ),
+    "q_one_route_performance": _over(lambda m: tools.get_route_performance(m, route_id="R00002")),
+    "q_one_route_complaints": _over(lambda m: tools.get_complaints_by_route(m, route_id="R00002")),
+    "q_compare_two_routes": _over(lambda m: tools.compare_routes(m, "R00001", "R00002"), FLIGHTS),
+    "q_one_category_insights": _over(
+        lambda m: tools.get_unstructured_insights(m, category="bagage")
+    ),
+    "q_owl_customers_of_label": _over(
+        lambda m: tools.get_owl_customer_classification(
+            m["classified_customers"], label="ReactivationTarget", ns=m.namespace
+        ),
+        SHARED_CUSTOMERS,
+    ),
+    "q_top_high_value_at_risk": _over(
+        lambda m: tools.get_high_value_at_risk_customers(m, limit=3), SHARED
+    ),
+    "kpi_load_factor_of_delayed": _over(
+        lambda m: kpis.metric(m, "load_factor", ["route_id"], where=F.col("is_delayed"))
+    ),
+    "sheet_bookings_parquet": _sheet("bookings", "parquet"),
+    "sheet_bookings_csv": _sheet("bookings", "csv"),
+    "sheet_flights_json": _sheet("flights", "json"),
+    "table_dim_routes": _over(lambda m: materialised(m["dim_routes"], "dim_routes")),
+    "sink_json_rows": _over(
+        lambda m: json_rows(m["stg_routes"].select("route_id", "route_type", "distance_km"))
+    ),
+    "ntriples_read_back": _over(_triples_read_back, SHARED),
     "sink_ntriples": _over(
         lambda m: ntriples_lines(m["route_triples"]).toDF("line"), SHARED
     ),

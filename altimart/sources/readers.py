@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from altimart.sources.schemas import SHEETS, schema
@@ -48,23 +48,40 @@ def read_triples(spark: SparkSession, *paths: str) -> DataFrame:
     return union_graphs(*[spark.read.parquet(p) for p in paths])
 
 
+def _unescaped(text: Column) -> Column:
+    """Escapes undone in one pass: what follows an escaped backslash is not an escape."""
+
+    def plain(part: Column) -> Column:
+        for escaped, char in (("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ('\\"', '"')):
+            part = F.replace(part, F.lit(escaped), F.lit(char))
+        return part
+
+    return F.array_join(F.transform(F.split(text, r"\\\\"), plain), "\\")
+
+
 def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
-    """Triples from N-Triples lines written by ``sinks.write_ntriples``."""
-    line = F.col("value")
-    parts = r'^<([^>]*)> <([^>]*)> (?:<([^>]*)>|"(.*)"(?:\^\^<([^>]*)>)?) \.$'
+    """Triples from N-Triples lines; blank lines and comments are skipped.
+
+    Nodes are IRIs; texts may have a datatype or a language.  Other lines, such as ones with blank
+    nodes or numeric escapes, are an error.
+    """
+    line = F.trim("value")
+    parts = r'^<([^>]*)>\s+<([^>]*)>\s+(?:<([^>]*)>|"((?:[^"\\]|\\[nrt"\\])*)"(?:\^\^<([^>]*)>|(@[A-Za-z0-9-]+))?)\s*\.$'
 
-    def part(i: int):
+    def part(i: int) -> Column:
         return F.regexp_extract(line, parts, i)
 
-    iri = part(3)
-    text = part(4)
-    for escaped, plain in (("\\n", "\n"), ("\\r", "\r"), ('\\"', '"')):
-        text = F.replace(text, F.lit(escaped), F.lit(plain))
-    text = F.replace(text, F.lit("\\\\"), F.lit("\\"))
-    return spark.read.text(path).select(
-        part(1).alias("s"),
-        part(2).alias("p"),
-        F.when(iri != "", iri).otherwise(text).alias("o"),
-        F.nullif(part(5), F.lit("")).alias("dtype"),
-        (iri != "").alias("is_iri"),
+    bad = F.raise_error(F.concat(F.lit("not a readable triple: "), line)).cast("string")
+    subject = F.when(F.rlike(line, F.lit(parts)), part(1)).otherwise(bad)
+    kind = F.nullif(F.concat(part(5), part(6)), F.lit(""))
+    return (
+        spark.read.text(path)
+        .where((line != "") & ~F.startswith(line, F.lit("#")))
+        .select(
+            subject.alias("s"),
+            part(2).alias("p"),
+            F.when(part(3) != "", part(3)).otherwise(_unescaped(part(4))).alias("o"),
+            kind.alias("dtype"),
+            (part(3) != "").alias("is_iri"),
+        )
     )

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import functools
-import logging
 import shutil
 import tempfile
 import uuid
@@ -13,8 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-log = logging.getLogger(__name__)
-
 
 def write_model(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), files_by: Sequence[str] = ()
@@ -33,12 +30,6 @@ def write_model(
     return df.sparkSession.read.parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
-    """Full refresh as a managed table bucketed by a join key, so joins on it do not shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
-    return df.sparkSession.table(table)
-
-
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder every executor can reach for intermediate tables.
 
@@ -63,17 +54,16 @@ def _local_folder() -> str:
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """The same rows read back from a written table: cuts lineage, shares work.
 
-    On a cluster that names no shared folder the DataFrame is returned as it is.
+    On a cluster that names no shared folder this is an error.
     """
     folder = shared_folder(df.sparkSession)
     if folder is None:
-        log.warning("spark.checkpoint.dir is not set: %s is recomputed where it is used", name)
-        return df
+        raise ValueError(f"set spark.checkpoint.dir: table {name} needs a folder that all executors share")
     return write_model(df, f"{folder}/{name}-{uuid.uuid4().hex}")
 
 
 def _escaped(c: Column) -> Column:
-    for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r")):
+    for plain, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         c = F.replace(c, F.lit(plain), F.lit(escaped))
     return c
 
@@ -84,7 +74,8 @@ def ntriples_lines(triples: DataFrame) -> DataFrame:
     def iri(c: Column) -> Column:
         return F.concat(F.lit("<"), c, F.lit(">"))
 
-    kind = F.coalesce(F.concat(F.lit("^^"), iri(F.col("dtype"))), F.lit(""))
+    tag = F.when(F.startswith("dtype", F.lit("@")), F.col("dtype"))
+    kind = F.coalesce(tag, F.concat(F.lit("^^"), iri(F.col("dtype"))), F.lit(""))
     literal = F.concat(F.lit('"'), _escaped(F.col("o")), F.lit('"'), kind)
     value = F.when(F.col("is_iri"), iri(F.col("o"))).otherwise(literal)
     return triples.select(F.concat_ws(" ", iri(F.col("s")), iri(F.col("p")), value, F.lit(".")))

@@ -425,6 +425,7 @@ def _pct(condition: str) -> str:
 
 
 # decision rules, written out independently of the rule objects of the package
+# FIXED VALUES: the rules of the decision layer
 _R = {
     "grow": "avg_load_factor_pct >= 80 and avg_margin_pct >= 15 and nb_competitors <= 1",
     "weak": "is_strategic_route and (avg_margin_pct < 10 or delay_rate_pct > 30)",
@@ -554,6 +555,7 @@ union select '{NS}' || replace(competitor_name, ' ', '_'), {_A}, '{NS}Airline',
 from stg_competitor_context""",
 }
 
+# FIXED VALUES: the rules of the graph
 _G = {
     "GrowthOpportunity": "avg_load_factor_pct >= 80 and avg_margin_pct >= 15 and nb_competitors <= 1",
     "StrategicUnderperformer": "is_strategic_route and (avg_margin_pct < 10 or delay_rate_pct > 30)",

@@ -77,7 +77,7 @@ def _shown(p: str) -> str:
     return f"cast({c} as varchar)" if p.startswith("is") or "Segment" in p else _num(c)
 
 
-# what the explanation of each label says, and the tests behind it
+# FIXED VALUES: what the explanation of each label says, and the tests behind it
 _REASONS = {
     "GrowthOpportunity": "'LF=' || {hasLoadFactorPct} || '>=80 ET Marge=' || {hasMarginPct} "
                          "|| '>=15 ET Concurrents=' || {hasNbCompetitors} || '<=1'",
@@ -115,6 +115,7 @@ def _explained(entity: str) -> str:
             f"from {entity}_labels l join {view} m on m.{key} = l.entity_id")
 
 
+# FIXED VALUES: the tests of each label
 _TESTS = {
     "GrowthOpportunity": ["hasLoadFactorPct >= 80", "hasMarginPct >= 15", "hasNbCompetitors <= 1"],
     "StrategicUnderperformer": ["isStrategicRoute = true", "hasMarginPct < 10", "hasDelayRatePct > 30"],
@@ -140,13 +141,32 @@ def _traced(entity: str) -> str:
             p, op, bound = test.split()
             parts.append(
                 f"select '{entity}' as entity_type, entity_id, label, '{p}' as metric, '{op}' as op, "
-                f"{quoted(bound.strip(chr(39)))} as threshold, {_route_facts[p]} {op} {bound} as ok "
+                f"{quoted(bound.strip(chr(39)))} as threshold, cast({_route_facts[p]} as varchar) as value, "
+                f"{_route_facts[p]} {op} {bound} as ok "
                 f"from {entity}_labels join {entity}_metrics on {entity}_id = entity_id "
                 f"where label = '{label}'"
             )
     return " union all ".join(parts)
 
 
+_rules = "'OWL inference — règles SPARQL CONSTRUCT'"
+_route_names = ", ".join(quoted(n) for n in V.ROUTE_LABELS)
+
+
+def _metric_rows(entity: str) -> str:
+    """One row per property that is there; entities with a label are all entities with a key."""
+    kinds = V.ROUTE_PROPERTIES if entity == "route" else V.CUSTOMER_PROPERTIES
+    parts = []
+    for name, (kind, column) in kinds.items():
+        text = _num(column) if kind in ("decimal", "integer") else f"cast({column} as varchar)"
+        parts.append(
+            f"select '{entity}' as entity_type, {entity}_id as entity_id, {_rules} as source, '{name}' as metric, "
+            f"{text} as text, try_cast({text} as double) as number from {entity}_metrics "
+            f"where {column} is not null and {entity}_id is not null"
+        )
+    return " union all ".join(parts)
+
+
 _all_labels = list(V.ROUTE_LABELS) + list(V.CUSTOMER_LABELS)
 _rule_rows = ", ".join(
     f"({quoted('route' if n in V.ROUTE_LABELS else 'customer')}, {quoted(n)})" for n in _all_labels
@@ -252,13 +272,15 @@ select entity_id as route_id, route_key, label as owl_label, avg_load_factor_pct
     "q_get_owl_customer_classification": _owl_customers,
     "q_owl_customers_first_50": f"select * from ({_owl_customers}) order by customer_id, owl_label limit 50",
     "q_owl_cross_query": """
+select *, 'Ces routes sous-performantes affectent probablement la satisfaction des clients à risque.' as insight,
+  'OWL cross-domain inference' as source from (
 select 'underperforming_routes' as section, entity_id, route_key, null::double as sentiment,
   null::bigint as days_inactive from route_labels join route_metrics on route_id = entity_id
 where label = 'StrategicUnderperformer'
 union all select * from (
   select 'high_value_at_risk_customers', entity_id, null, avg_sentiment_score, days_since_last_flight
   from customer_labels join customer_metrics on customer_id = entity_id where label = 'HighValueAtRisk'
-  order by avg_sentiment_score, entity_id limit 10)""",
+  order by avg_sentiment_score, entity_id limit 10))""",
     "graph_route_metrics": "select * from route_metrics",
     "graph_customer_metrics": "select * from customer_metrics",
     "triples_routes": "select * from route_triples",
@@ -277,6 +299,42 @@ select a.entity_id, a.label as class_1, b.label as class_2 from {_both_labels} a
     "graph_same_as": f"""
 select * from customer_triples union
 select '{NS}' || 'ext-' || substr(s, {len(NS) + 1}) as s, p, o, dtype, is_iri from customer_triples""",
+    "graph_explain_metrics": " union all ".join(_metric_rows(e) for e in ("route", "customer")),
+    "graph_explain_labels": f"""
+select case when label in ({_route_names}) then 'route' else 'customer' end as entity_type, entity_id, label,
+  {_rules} as source from {_both_labels}""",
+    "graph_explain_one": f"""
+select entity_id, 'customer' as entity_type, label, {_rules} as source from customer_labels where entity_id = 'C3'""",
+    "q_one_route_performance": "select * from route_performance where route_id = 'R00002'",
+    "q_one_route_complaints": f"""
+select route_id, primary_complaint_category, count(*) as nb_tickets,
+  {rnd(mean("sentiment_score"), 3)} as avg_sentiment from fct_tickets where route_id = 'R00002' group by all""",
+    "q_compare_two_routes": f"""
+select f.route_id, route_key, {rnd(mean("load_factor_pct"), 2)} as load_factor,
+  {rnd(mean("flight_margin_pct"), 2)} as margin_pct, {rnd(mean("delay_minutes"), 1)} as avg_delay,
+  coalesce(nb_tickets, 0) as nb_tickets, avg_sentiment_score,
+  coalesce(nb_critical_tickets, 0) as nb_critical_tickets
+from fct_flights f left join dim_routes r on r.route_id = f.route_id
+  left join route_sentiment s on s.route_id = f.route_id where f.route_id in ('R00001', 'R00002') group by all""",
+    "q_one_category_insights": f"""
+select primary_complaint_category, count(*) as nb_tickets, {rnd(mean("sentiment_score"), 3)} as avg_sentiment,
+  {", ".join(f"{n_if(f'urgency_level = {quoted(u)}')} as nb_{u}" for u in ("critical", "high", "medium", "low"))},
+  {n_if("is_high_value_critical_ticket")} as nb_high_value_critical from fct_tickets
+where primary_complaint_category = 'bagage' group by all""",
+    "q_owl_customers_of_label": f"select * from ({_owl_customers}) where owl_label = 'ReactivationTarget'",
+    "q_top_high_value_at_risk": f"""
+select entity_id, entity_label, ontology_label, metric_4 as sentiment, recommendation from decision_layer
+where decision_entity_type = 'customer' and ontology_label = {quoted(V.CUSTOMER_LABELS["HighValueAtRisk"])}
+order by sentiment nulls last, entity_id limit 3""",
+    "kpi_load_factor_of_delayed": _kpi("load_factor", "route_id").replace(" group by", " where is_delayed group by"),
+    "sheet_bookings_parquet": "select * from stg_bookings",
+    "sheet_bookings_csv": "select * from stg_bookings",
+    "sheet_flights_json": "select * from stg_flights",
+    "table_dim_routes": "select * from dim_routes",
+    "sink_json_rows": """
+select cast(to_json({'route_id': route_id, 'route_type': route_type, 'distance_km': distance_km}) as varchar) as json
+from stg_routes""",
+    "ntriples_read_back": "select * from route_triples",
     "sink_ntriples": """
 select concat('<', s, '> <', p, '> ', case when is_iri then concat('<', o, '>')
   else concat('"', o, '"^^<', dtype, '>') end, ' .') as line from route_triples""",
