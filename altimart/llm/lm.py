@@ -242,22 +242,29 @@ def text_scores(
         F.col(text_column).alias("text"),
     )
 
-    def distinct(table: pa.Table) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Grams and words of a group with their learnt counts."""
-        memory, found_grams, found_words = hash_memory(), [], []
+    def read(table: pa.Table) -> tuple[list, list[tuple[np.ndarray, np.ndarray]]]:
+        """A group's slices, and its distinct grams and words with their learnt counts.
+
+        A slice: (id, learnt, bytes) per text; for grams and for words, how many each text has,
+        the place of each among the slice's distinct ones, and these.
+        """
+        memory, slices, found = hash_memory(), [], ([], [])
         for held in _slices(table):
-            keys, lengths = grams([d[2] for d in held])
             use = np.array([d[1] for d in held], float)
-            slot, some = pd.factorize(keys)
-            found_grams.append((some, np.bincount(slot, np.repeat(use, lengths), len(some))))
             words = [_words(d[2], memory) for d in held]
-            slot, some = pd.factorize(np.concatenate(words))
-            found_words.append((some, np.bincount(slot, np.repeat(use, [len(w) for w in words]), len(some))))
-        return [_counted(found_grams), _counted(found_words)]
+            own = []
+            for kind, (keys, sizes) in enumerate(
+                (grams([d[2] for d in held]), (np.concatenate(words), np.array([len(w) for w in words])))
+            ):
+                slot, some = pd.factorize(keys)
+                found[kind].append((some, np.bincount(slot, np.repeat(use, sizes), len(some))))
+                own.append((sizes, slot.astype(np.int32), some))
+            slices.append(([(i, learnt_, len(text)) for i, learnt_, text in held], own))
+        return slices, [_counted(f) for f in found]
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
         rows, grp = [], key[0].as_py()
-        for kind, (keys, n) in enumerate(distinct(table)):
+        for kind, (keys, n) in enumerate(read(table)[1]):
             for owner, _, own, counts in packed(grp, _mixed(keys), owners, np.arange(len(keys))):
                 at = np.frombuffer(counts, np.int64)
                 rows.append((owner, grp, kind, keys[at].tobytes(), n[at].astype(np.uint32).tobytes()))
@@ -316,23 +323,24 @@ def text_scores(
             (kind, owner): values
             for owner, kind, values in zip(*[answers.column(c).to_pylist() for c in ("owner", "kind", "logs")])
         }
+        slices, distinct = read(table)
         values = []
-        for kind, (keys, _) in enumerate(distinct(table)):
+        for kind, (keys, _) in enumerate(distinct):
             held = np.zeros(len(keys), (np.float32, np.int64)[kind])
             for owner, _, _, at in packed(0, _mixed(keys), owners, np.arange(len(keys))):
                 held[np.frombuffer(at, np.int64)] = np.frombuffer(given[kind, owner], held.dtype)
-            values.append((pd.Index(keys), held))
-        memory, rows = hash_memory(), []
-        (gram_index, logs), (word_index, counts) = values
-        word_logs = np.log10(counts + 0.5)
-        for held in _slices(table):
-            keys, lengths = grams([d[2] for d in held])
-            slot, some = pd.factorize(keys)
-            each = logs[gram_index.get_indexer(some)].astype(np.float64)[slot]
-            scores = np.add.reduceat(each, np.concatenate([[0], np.cumsum(lengths)[:-1]]))
-            for (i, use, text), value in zip(held, scores.tolist()):
-                at = word_index.get_indexer(_words(text, memory))
-                rows.append((i, use, len(text), len(at), int((counts[at] > 0).sum()), float(word_logs[at].sum()), value))
+            values.append(held)
+        logs, counts = values[_GRAM].astype(np.float64), values[_WORD]
+        rows = []
+        for texts_, ((lengths, gram, some), (sizes, word, words)) in slices:
+            each = logs[np.searchsorted(distinct[_GRAM][0], some)][gram]
+            count = counts[np.searchsorted(distinct[_WORD][0], words)][word]
+            starts, at = (np.concatenate([[0], np.cumsum(n)[:-1]]) for n in (lengths, sizes))
+            columns = (
+                sizes, np.add.reduceat((count > 0).astype(np.int64), at),
+                np.add.reduceat(np.log10(count + 0.5), at), np.add.reduceat(each, starts),
+            )
+            rows += [(*t, *values_) for t, values_ in zip(texts_, zip(*[c.tolist() for c in columns]))]
         return table_of(rows, out)
 
     by_group = texts.groupBy("grp")

@@ -22,7 +22,7 @@ SHORTEST, LONGEST = 3, 6
 #: A feature counts for a category if at least so many documents have it and its log odds stand
 #: this many standard errors from zero.
 SUPPORT, SURE = 3, 2.5
-FOLDS, STEPS, RATE, PENALTY = 3, 150, 0.3, 1e-3
+FOLDS, STEPS, RATE, PENALTY = 3, 100, 0.3, 1e-3
 _WORD = re.compile(r"[^\W_]+")
 
 

@@ -305,3 +305,18 @@ def test_bits_are_a_distribution():
 )
 def test_empty_tables(empty, operator):
     assert operator(empty).count() == 0
+
+
+def test_null_ids(spark, rows):
+    """Rows without an id take part, and never win over rows with one."""
+    docs = frame(spark, [(None, rows[8][1]), (None, None), (7, rows[8][1]), (9, rows[8][1] + " end")])
+    kept = {(r.doc_id, r.keep_id, r.kept) for r in exact_dedup.exact_duplicates(docs).collect()}
+    assert kept == {(None, 7, False), (None, None, True), (7, 7, True), (9, 9, True)}
+    linked = {(r.doc_id, r.component_id) for r in ngram_join.alike(docs).collect()}
+    assert linked == {(None, 7), (None, None), (7, 7), (9, 7)}
+    gone = {(r.doc_id, len(r.spans)) for r in substring.repeated_passages(docs).collect()}
+    assert gone == {(None, 0), (7, 0), (9, 1)}
+    assert [r.doc_id for r in sharding.byte_shards(docs, 2).orderBy("shard", "slot").collect()] == [None, None, 7, 9]
+    assert lm.text_scores(docs, F.lit(True)).count() == 4
+    items = spark.createDataFrame([(1, rows[8][1])], "item_id long, text string")
+    assert {r.doc_id for r in decontaminate.contained_items(docs, items).collect()} == {7, 9}
