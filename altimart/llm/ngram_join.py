@@ -23,6 +23,8 @@ SINGLES_BELOW = 32
 PER_CLASS = 8
 #: Bits of the parity sketch of a set.
 SKETCH = 512
+#: Signatures before one that are looked at to tell whether a pair was met already.
+EARLIER = 8
 _MIX, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(31)
 _BITS = np.uint64(24)
 _SENT = pa.schema([("owner", pa.int32()), ("grp", pa.int32()), ("low", pa.binary()), ("n", pa.binary())])
@@ -256,9 +258,9 @@ def alike(
         .withColumn("node", F.monotonically_increasing_id())
     )
     index = cut(_indexed(texts, nodes, owners_for(docs), width, percent))
-    signed = cut(index.select("node", "n", F.explode("sigs").alias("sig")))
+    signed = cut(index.select("node", "n", F.posexplode("sigs").alias("pos", "sig")))
     first = signed.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last")
-    pairs = spread_join(signed, first.drop("last"), ["sig"], F.col("node"), "inner").where("a < node")
+    pairs = spread_join(signed.drop("pos"), first.drop("last"), ["sig"], F.col("node"), "inner").where("a < node")
     tried = cut(pairs.select("a", F.col("node").alias("b")).distinct())
     links = cut(_verified(tried, index, percent))
 
@@ -266,13 +268,18 @@ def alike(
     placed = signed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = placed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     words = SKETCH // 64
-    sketches = index.select("node", *[F.col("sketch")[i].alias(f"s{i}") for i in range(words)])
+    sketches = index.select("node", "sigs", *[F.col("sketch")[i].alias(f"s{i}") for i in range(words)])
     left = spread_join(placed, open_.select("sig"), ["sig"], F.col("node"), "inner").join(sketches, "node")
-    names = {"node": "b", "n": "m", "label": "other"} | {f"s{i}": f"t{i}" for i in range(words)}
+    # a pair is passed over where both nodes have one of their last few signatures before this one in
+    # common: it is met there, or at a still earlier one, and never passed over at its first
+    before = F.slice("sigs", F.greatest(F.col("pos") + 1 - EARLIER, F.lit(1)), F.least("pos", F.lit(EARLIER)))
+    left = left.withColumn("before", before).drop("sigs", "pos")
+    names = {"node": "b", "n": "m", "label": "other", "before": "earlier"} | {f"s{i}": f"t{i}" for i in range(words)}
     right = left.withColumnsRenamed(names)
     differ = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"t{i}"))) for i in range(words)), F.lit(0))
     near = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
-    across = left.join(right, "sig").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")) & near)
+    new = ~F.arrays_overlap("before", "earlier")
+    across = left.join(right, "sig").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")) & near & new)
     rest = across.select(F.col("node").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti")
     labels = components(links.unionByName(_verified(rest, index, percent)))
 
