@@ -23,6 +23,8 @@ SINGLES_BELOW = 32
 PER_CLASS = 8
 #: Bits of the parity sketch of a set.
 SKETCH = 512
+#: First nodes that a node is compared with before components are formed, at most.
+FIRSTS = 8
 #: Signatures before one that are looked at to tell whether a pair was met already.
 EARLIER = 8
 _MIX, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(31)
@@ -245,7 +247,8 @@ def alike(
        its own than a similar set may lack is done: it links with nothing.
     3. The others get ``signatures``: rare tokens one by one, frequent ones in pairs, and go to the
        checkpoint folder with their sets.
-    4. Under each signature the first node is compared with the others.  Where a signature still has
+    4. A node is compared with the first nodes of its signatures, of these with eight that it meets
+       most often; this forms most of the components.  Where a signature still has
        nodes of different components, every pair across components is compared: those whose parity
        sketches differ in more bits than alike sets may differ in tokens are out, the others are
        compared in full.  So no two nodes are left apart that link; links inside a component are not
@@ -261,7 +264,11 @@ def alike(
     signed = cut(index.select("node", "n", F.posexplode("sigs").alias("pos", "sig")))
     first = signed.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last")
     pairs = spread_join(signed.drop("pos"), first.drop("last"), ["sig"], F.col("node"), "inner").where("a < node")
-    tried = cut(pairs.select("a", F.col("node").alias("b")).distinct())
+    met = pairs.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("times"))
+    side = F.pmod(F.xxhash64("a"), F.lit(FIRSTS))
+    best = [F.max_by(F.when(side == k, F.col("a")), F.when(side == k, F.col("times"))) for k in range(FIRSTS)]
+    tried = met.groupBy("b").agg(F.array_compact(F.array(*best)).alias("a"))
+    tried = cut(tried.select(F.explode("a").alias("a"), "b"))
     links = cut(_verified(tried, index, percent))
 
     labels = components(links)
