@@ -17,7 +17,7 @@ from altimart.llm.text import Remembered, small
 
 UNKNOWN = "und"
 #: Labelled documents learnt from; words and n-grams kept: the bounds of the broadcast model.
-SAMPLE, WORDS, GRAMS = 6000, 150_000, 60_000
+SAMPLE, WORDS, GRAMS = 6000, 100_000, 40_000
 LONGEST = 5
 #: Words after which more words make the score no surer.
 ENOUGH = 25
@@ -130,8 +130,8 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shipped.value
-        memory = Remembered(known.of_word, 100_000)
-        for batch in small(batches, text_column):
+        memory = Remembered(known.of_word, 50_000)
+        for batch in small(batches, text_column, 1 << 20):
             texts = batch.column(text_column).to_pylist()
             found = [known.predict(t, memory) for t in texts]
             added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
