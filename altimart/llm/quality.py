@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,13 +13,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from altimart.llm.fitting import fit_in_task, sampled, with_texts
-from altimart.llm.text import Remembered, raw_texts, small
+from altimart.llm.text import raw_texts, small
 
 #: Labelled documents learnt from at most.
 SAMPLE = 3000
 BUCKETS, DIMENSIONS = 1 << 17, 8
 SHORTEST, LONGEST = 3, 5
 EPOCHS, BATCH, RATE = 4, 32, 0.3
+#: Words whose odds a task remembers.
+REMEMBERED = 300_000
+_MIX, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 
 
 #: Stands in a text's words once for each word that repeats the one before it.
@@ -30,13 +34,32 @@ def tokens(text: bytes) -> list[bytes]:
     return words + [AGAIN] * sum(map(bytes.__eq__, words, words[1:]))
 
 
-def features(word: bytes) -> np.ndarray:
-    """Buckets of a word and of its character n-grams, marked at both ends."""
-    marked = b"<" + word + b">"
-    parts = [marked]
+def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of words and of their character n-grams, marked at both ends, and whose each is."""
+    marked = [b"<" + w + b">" for w in words]
+    sizes = np.array([len(m) for m in marked], np.int64)
+    data = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
+    owner, ends = np.repeat(np.arange(len(words)), sizes), np.cumsum(sizes)
+    ids = [np.array([xxhash.xxh32_intdigest(m) for m in marked], np.int64) % BUCKETS]
+    of = [np.arange(len(words))]
     for n in range(SHORTEST, LONGEST + 1):
-        parts += [marked[i : i + n] for i in range(len(marked) - n + 1)]
-    return np.array([xxhash.xxh32_intdigest(p) for p in parts], np.int64) % BUCKETS
+        last = len(data) - n + 1
+        if last <= 0:
+            continue
+        value = np.full(last, n, np.uint64)
+        for i in range(n):
+            value = (value ^ data[i : last + i]) * _MIX
+            value ^= value >> _SHIFT
+        inside = np.arange(n, n + last) <= ends[owner[:last]]
+        ids.append((value[inside] % np.uint64(BUCKETS)).astype(np.int64))
+        of.append(owner[:last][inside])
+    return np.concatenate(ids), np.concatenate(of)
+
+
+def word_odds(words: list[bytes], odds: np.ndarray) -> list[float]:
+    """The mean over each word's buckets."""
+    ids, of = features(words)
+    return (np.bincount(of, odds[ids], len(words)) / np.bincount(of, minlength=len(words))).tolist()
 
 
 def fit(sample: pa.Table) -> tuple[np.ndarray, float]:
@@ -51,7 +74,10 @@ def fit(sample: pa.Table) -> tuple[np.ndarray, float]:
     for text in raw_texts(sample.column("__text").combine_chunks()):
         ids = np.array([index.setdefault(w, len(index)) for w in tokens(text)], np.int64)
         docs.append(np.unique(ids, return_counts=True))
-    of_word = [features(w) for w in index]
+    ids, of = features(list(index))
+    order = np.argsort(of, kind="stable")
+    ids, sizes_ = ids[order], np.bincount(of, minlength=len(index))
+    of_word = np.split(ids, np.cumsum(sizes_)[:-1]) if len(index) else []
     rng = np.random.default_rng(5)
     vectors = rng.uniform(-0.5, 0.5, (BUCKETS, DIMENSIONS)) / DIMENSIONS
     out, bias = np.zeros((DIMENSIONS, 2)), np.zeros(2)
@@ -115,13 +141,18 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], text_column: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         odds, bias = shipped.value
-        memory = Remembered(lambda word: float(odds[features(word)].mean()))
+        memory: dict[bytes, float] = {}
         for batch in small(batches, text_column):
-            out = []
-            for text in raw_texts(batch.column(text_column)):
-                words = tokens(text)
+            texts, out = [tokens(t) for t in raw_texts(batch.column(text_column))], []
+            fresh = list(set().union(*texts) - memory.keys())
+            if fresh:
+                if len(memory) + len(fresh) > REMEMBERED:
+                    memory.clear()
+                    fresh = list(set().union(*texts))
+                memory.update(zip(fresh, word_odds(fresh, odds)))
+            for words in texts:
                 mean = sum(map(memory.__getitem__, words)) / len(words) if words else 0.0
-                out.append(1 / (1 + np.exp(-np.clip(mean + bias, -30, 30))))
+                out.append(1 / (1 + math.exp(-min(max(mean + bias, -30.0), 30.0))))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, "score"])
 
     if "score" in docs.columns:
