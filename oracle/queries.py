@@ -132,6 +132,13 @@ _TESTS = {
 }
 
 
+def _seen(p: str) -> str:
+    """A tested value as text: decimals to six places, everything else as it is."""
+    kind = (V.ROUTE_PROPERTIES | V.CUSTOMER_PROPERTIES)[p][0]
+    c = _route_facts[p]
+    return _num(c) if kind == "decimal" else f"cast({c} as varchar)"
+
+
 def _traced(entity: str) -> str:
     parts = []
     for label, tests in _TESTS.items():
@@ -141,7 +148,7 @@ def _traced(entity: str) -> str:
             p, op, bound = test.split()
             parts.append(
                 f"select '{entity}' as entity_type, entity_id, label, '{p}' as metric, '{op}' as op, "
-                f"{quoted(bound.strip(chr(39)))} as threshold, cast({_route_facts[p]} as varchar) as value, "
+                f"{quoted(bound.strip(chr(39)))} as threshold, {_seen(p)} as value, "
                 f"{_route_facts[p]} {op} {bound} as ok "
                 f"from {entity}_labels join {entity}_metrics on {entity}_id = entity_id "
                 f"where label = '{label}'"
