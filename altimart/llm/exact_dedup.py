@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -69,9 +71,12 @@ def exact_duplicates(
     id_column: str = "doc_id",
     text_column: str = "text",
     capacity: int = CAPACITY,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """One row per document: id, keep_id, group_size, kept, text_sha256, bucket, chain.
 
+    Columns named in ``carried`` follow, as each row has them.
+
     1. Texts without blanks get a 64-bit hash key.  Copies are combined by key and by the text
        itself, so bytes are compared; Spark combines them in each input partition first and a text
        with a third of all rows is shuffled once per partition.
@@ -86,7 +91,8 @@ def exact_duplicates(
     """
     bare = without_blanks(F.col(text_column))
     length = F.length(F.coalesce(F.col(text_column), F.lit("")))
-    rows = docs.select(F.col(id_column).cast("long").alias("__id"), length.alias("length"), bare.alias("bare"))
+    along = [F.col(c).alias(f"__with_{c}") for c in carried]
+    rows = docs.select(F.col(id_column).cast("long").alias("__id"), length.alias("length"), bare.alias("bare"), *along)
     keyed = rows.withColumn("key", F.xxhash64("bare"))
     texts = keyed.groupBy("key", "bare").agg(
         F.count(F.lit(1)).alias("group_size"), F.max(_choice(F.col("length"), F.col("__id"))).alias("choice")
@@ -105,7 +111,10 @@ def exact_duplicates(
         .select("key", "text_sha256", "group_size", _chosen(F.col("choice")).alias("keep_id"), "bucket", "depth", "chain")
     )
     narrow = cut(
-        keyed.select("__id", "length", "key", F.sha2(F.col("bare").cast("binary"), 256).alias("text_sha256"))
+        keyed.select(
+            "__id", "length", "key", F.sha2(F.col("bare").cast("binary"), 256).alias("text_sha256"),
+            *[f"__with_{c}" for c in carried],
+        )
     )
     found = spread_join(narrow, index, ["key", "text_sha256"], F.struct("__id", "length"), "inner")
     same = W.partitionBy("key", "__id", "text_sha256").orderBy(F.desc("length"))
@@ -118,4 +127,5 @@ def exact_duplicates(
         "text_sha256",
         "bucket",
         "chain",
+        *[F.col(f"__with_{c}").alias(c) for c in carried],
     )

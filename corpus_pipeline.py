@@ -2,8 +2,8 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame.  It works on all rows its predecessor
 kept; ``run`` and whoever else applies STAGES write its result as Parquet and read it as the next
-stage's docs.  All but the last return the columns of ``documents``.  Rows are told apart by doc_id;
-a row with a NULL doc_id is never dropped as a copy or as contaminated.
+stage's docs.  All but the last return the columns of ``documents``.  Exact copies are told apart row
+by row, whatever their ids; the two stages after it go by doc_id and never drop a row without one.
 """
 
 from __future__ import annotations
@@ -11,14 +11,38 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from altimart.llm import bpe, decontaminate, exact_dedup, langid, ngram_join
-from altimart.llm.common import shared_folder, table
+from altimart.llm.common import cut, shared_folder, table
 
 #: A document whose language is surer than this stays.
 SURE = 0.5
+#: The column of a row's digest.
+ROW = "__row"
+
+
+def digest(columns: list[str]) -> Column:
+    """SHA-256 of a whole row: rows share it only if they are equal in every column."""
+    parts = []
+    for name in columns:
+        value = F.col(f"`{name}`").cast("string").cast("binary")
+        size = F.concat(F.octet_length(value).cast("string"), F.lit(":")).cast("binary")
+        parts.append(F.coalesce(F.concat(size, value), F.lit("-").cast("binary")))
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
+def only(docs: DataFrame, contents: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose digest is ``kept``, one of each set of equal rows.
+
+    ``contents`` has one row (ROW, n, kept) per digest; n counts the rows that have it.  Equal rows
+    are combined before they are shuffled.
+    """
+    rows = docs.withColumn(ROW, digest(docs.columns))
+    single = rows.join(contents.where("not kept or n > 1").select(ROW), ROW, "left_anti")
+    several = rows.join(contents.where("kept and n > 1").select(ROW), ROW, "left_semi")
+    return single.select(*docs.columns).unionByName(several.select(*docs.columns).distinct())
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,8 +55,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the longest original of texts equal but for white space, then the smallest id."""
-    rows = exact_dedup.exact_duplicates(docs)
-    return docs.join(rows.where(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    # of rows with that id and length any, but the same one on every run
+    rows = docs.select("doc_id", "text", F.length("text").alias("length"), digest(docs.columns).alias(ROW))
+    found = exact_dedup.exact_duplicates(rows, carried=["length", ROW])
+    wins = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    rank = F.when(wins, F.struct(F.coalesce("length", F.lit(0)).alias("length"), ROW)).alias("rank")
+    contents = cut(found.groupBy("text_sha256", rank, ROW).agg(F.count(F.lit(1)).alias("n")))
+    best = contents.groupBy("text_sha256").agg(F.max("rank")[ROW].alias(ROW)).select(ROW, F.lit(True).alias("kept"))
+    return only(docs, contents.join(best, ROW, "left").select(ROW, "n", F.coalesce("kept", F.lit(False)).alias("kept")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

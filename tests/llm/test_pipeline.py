@@ -59,3 +59,18 @@ def test_tokens(stages):
 
 def test_run(spark, stages):
     assert {r.doc_id for r in corpus_pipeline.run(spark, TINY).collect()} == {r.doc_id for r in stages[-1][-1]}
+
+
+def documents(spark, rows):
+    made = [(i, t, "en", "web", None if t is None else len(t)) for i, t in rows]
+    return spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def test_exact_copies_go_row_by_row(spark):
+    rows = [(5, "x y"), (5, "x y"), (5, "x y")]  # a repeated row
+    rows += [(7, "one copy"), (8, "one copy"), (7, "one copy"), (9, "onecopy")]  # the kept id repeated
+    rows += [(2, "shared text"), (3, "shared text"), (3, "a text of its own")]  # one id, two texts
+    rows += [(4, "a b"), (4, "a  b"), (None, "no id"), (None, "no id"), (None, None), (11, None), (12, "")]
+    kept = corpus_pipeline.drop_exact_copies(spark, documents(spark, rows), TINY)
+    want = [(5, "x y"), (7, "one copy"), (2, "shared text"), (3, "a text of its own"), (4, "a  b"), (None, "no id"), (11, None)]
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=str) == sorted(want, key=str)
