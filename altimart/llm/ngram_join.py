@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from altimart.llm.common import cut, spread_join
 from altimart.llm.components import components
@@ -116,7 +117,12 @@ def _lowered(text: bytes | None) -> list[bytes]:
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
-    """(grp, id, n, sig): the size of each document's set and a 128-bit digest of it; no shuffle."""
+    """(grp, id, n, sig): the size of each document's set and a 128-bit digest of it; no shuffle.
+
+    Other columns than id, text and grp stay.
+    """
+    more = [f for f in docs.schema.fields if f.name not in ("grp", "id", "text")]
+    schema = T.StructType([*T.StructType.fromDDL("grp int, id long, n long, sig binary").fields, *more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = hash_memory()
@@ -127,11 +133,11 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
                 sizes.append(len(tokens))
                 digests.append(xxhash.xxh3_128_digest(tokens.tobytes()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("grp"), batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary())],
-                ["grp", "id", "n", "sig"],
+                [batch.column("grp"), batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), *[batch.column(f.name) for f in more]],
+                ["grp", "id", "n", "sig", *[f.name for f in more]],
             )
 
-    return docs.mapInArrow(run, "grp int, id long, n long, sig binary")
+    return docs.mapInArrow(run, schema)
 
 
 def _indexed(texts: DataFrame, nodes: DataFrame, owners: int, width: int, percent: int) -> DataFrame:
@@ -232,9 +238,13 @@ def alike(
     text_column: str = "text",
     width: int = 4,
     percent: int = 85,
+    carried: str | None = None,
 ) -> DataFrame:
     """Per document: id, n_shingles, component_id, the smallest id reachable by links.
 
+    With ``carried``, that column follows as each row has it, and ``component``, a number of the
+    component that does not depend on ids; it is NULL for an empty set.
+
     A document's set holds its distinct ``width``-word shingles, of lower-cased (A-Z) words between
     ASCII white space; with fewer words, the whole sequence is the one element.  Two documents link
     when 100 * intersection >= percent * union.  Without words, NULL or empty, the set is empty and
@@ -254,8 +264,10 @@ def alike(
        compared in full.  So no two nodes are left apart that link; links inside a component are not
        listed one by one.
     """
-    texts = grouped(docs, id_column, text_column, groups_for(docs, text_column))
-    sets = cut(_sets(texts, width))
+    groups = groups_for(docs, text_column)
+    texts = grouped(docs, id_column, text_column, groups)
+    along = [F.col(carried).alias("carried")] if carried else []
+    sets = cut(_sets(grouped(docs, id_column, text_column, groups, *along), width))
     nodes = cut(
         sets.where("n > 0").groupBy("sig").agg(F.min("grp").alias("grp"), F.min("id").alias("least"))
         .withColumn("node", F.monotonically_increasing_id())
@@ -293,9 +305,10 @@ def alike(
     labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
     ids = spread_join(labelled.select("sig", "label"), smallest, ["label"], F.col("sig"), "inner")
-    done = spread_join(sets, ids.select("sig", "component_id"), ["sig"], F.struct("id", "grp"), "left")
+    done = spread_join(sets, ids.select("sig", "component_id", "label"), ["sig"], F.struct("id", "grp", *["carried"] * bool(carried)), "left")
     return done.select(
         F.col("id").alias(id_column),
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "id").alias("component_id"),
+        *([F.col("carried").alias(carried), F.col("label").alias("component")] if carried else []),
     )

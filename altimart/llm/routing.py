@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from altimart.llm.common import total_of
@@ -33,13 +33,14 @@ def groups_for(docs: DataFrame, text_column: str, group_bytes: int = GROUP_BYTES
     return max(owners_for(docs), total_of(docs, F.sum(F.octet_length(text_column))) // group_bytes)
 
 
-def grouped(docs: DataFrame, id_column: str, text_column: str, groups: int) -> DataFrame:
-    """(grp, id, text); rows with equal ids may fall into different groups."""
+def grouped(docs: DataFrame, id_column: str, text_column: str, groups: int, *more: Column) -> DataFrame:
+    """(grp, id, text) and ``more``; rows with equal ids may fall into different groups."""
     dice = F.xxhash64(F.col(id_column), F.octet_length(text_column))
     return docs.select(
         F.pmod(dice, F.lit(groups)).cast("int").alias("grp"),
         F.col(id_column).cast("long").alias("id"),
         F.col(text_column).alias("text"),
+        *more,
     )
 
 

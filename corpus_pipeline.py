@@ -2,8 +2,9 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame.  It works on all rows its predecessor
 kept; ``run`` and whoever else applies STAGES write its result as Parquet and read it as the next
-stage's docs.  All but the last return the columns of ``documents``.  Exact copies are told apart row
-by row, whatever their ids; the two stages after it go by doc_id and never drop a row without one.
+stage's docs.  All but the last return the columns of ``documents``.  Copies and contaminated texts are
+told apart row by row, by a digest of the row, so rows without an id or with a repeated one are judged
+like others.
 """
 
 from __future__ import annotations
@@ -66,16 +67,27 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest id of each component at a Jaccard similarity of 0.8 of five-word shingles."""
-    rows = ngram_join.alike(docs, width=5, percent=80)
-    copies = rows.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
+    """Keeps the smallest id of each component at a Jaccard similarity of 0.8 of five-word shingles.
+
+    A row without an id stays only where no row of its component has one.
+    """
+    rows = docs.select("doc_id", "text", digest(docs.columns).alias(ROW))
+    found = ngram_join.alike(rows, width=5, percent=80, carried=ROW)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW).alias("rank")
+    contents = cut(found.groupBy("component", rank, ROW).agg(F.count(F.lit(1)).alias("n")))
+    best = contents.where("component is not null").groupBy("component").agg(F.min("rank")[ROW].alias(ROW))
+    judged = contents.join(best.select(ROW, F.lit(True).alias("best")), ROW, "left")
+    # texts without words are alike to none, so all of them stay
+    n = F.when(F.col("component").isNull(), 1).otherwise(F.col("n")).alias("n")
+    kept = (F.col("component").isNull() | F.col("best").isNotNull()).alias("kept")
+    return only(docs, judged.select(ROW, n, kept))
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold at least 80 % of the five-word shingles of a benchmark item."""
-    found = decontaminate.contained_items(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.withColumn(ROW, digest(docs.columns))
+    found = decontaminate.contained_items(rows.select(ROW, "text"), table(spark, sf_dir, "benchmark"), id_column=ROW)
+    return rows.join(found.select(ROW).distinct(), ROW, "left_anti").select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

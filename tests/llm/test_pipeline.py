@@ -74,3 +74,16 @@ def test_exact_copies_go_row_by_row(spark):
     kept = corpus_pipeline.drop_exact_copies(spark, documents(spark, rows), TINY)
     want = [(5, "x y"), (7, "one copy"), (2, "shared text"), (3, "a text of its own"), (4, "a  b"), (None, "no id"), (11, None)]
     assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=str) == sorted(want, key=str)
+
+
+def test_rows_without_an_id_are_judged_like_others(spark, tables):
+    item = tables.execute("select text from benchmark order by item_id limit 1").fetchone()[0]
+    base, other, third = ([f"{c}{i}" for i in range(60)] for c in "abc")
+    near = [(None, " ".join(base)), (None, " ".join([*base, "end"])), (None, " ".join([*base, "end"]))]
+    near += [(None, " ".join(other)), (6, " ".join([*other, "end"])), (6, " ".join(third)), (None, "?"), (None, "!")]
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, documents(spark, near), TINY).collect()]
+    assert len(kept) == 4 + 1 and {near[4], near[5], near[6], near[7]} < set(kept)
+    clean = [(None, " ".join(third)), (8, " ".join(other))]
+    held = [(None, f"before {item} after"), (8, f"{item} at the start"), *clean]
+    left = corpus_pipeline.decontaminate_benchmark(spark, documents(spark, held), TINY).collect()
+    assert sorted([(r.doc_id, r.text) for r in left], key=str) == sorted(clean, key=str)
