@@ -8,16 +8,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from altimart.llm.fitting import sampled, with_texts
+from altimart.llm.common import cut
+from altimart.llm.fitting import with_texts
 from altimart.llm.text import Remembered, small
 
 UNKNOWN = "und"
-#: Labelled documents learnt from; words and n-grams kept: the bounds of the broadcast model.
-SAMPLE, WORDS, GRAMS = 6000, 100_000, 40_000
+#: Labelled documents learnt from per language, about; words and n-grams kept, with the counts of
+#: every language: the bounds of the broadcast model.
+SAMPLE, WORDS, GRAMS = 2000, 150_000, 60_000
 LONGEST = 5
 #: Words after which more words make the score no surer.
 ENOUGH = 25
@@ -63,36 +67,52 @@ def _counts(docs: DataFrame, of_text: bool) -> DataFrame:
     return each.groupBy("lang", "item").agg(F.sum("n").alias("n"))
 
 
+def _keys(items: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(i) for i in items], np.uint64)
+
+
+def _found(sorted_keys: np.ndarray, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each item, whether it is known, and its place if so."""
+    keys = _keys(items)
+    if not len(sorted_keys):
+        return np.zeros(len(keys), bool), np.zeros(len(keys), int)
+    place = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return sorted_keys[place] == keys, place
+
+
 class Model:
-    """Per-language log frequencies of words and n-grams."""
-
-    def __init__(self, word_rows: list, gram_rows: list):
-        self.langs = sorted({r["lang"] for r in word_rows})
-        self.words, self.word_logs = self._logs(word_rows, np.ones(len(self.langs)), lambda item: 0)
-        self.grams, self.gram_logs = self._logs(gram_rows, None, len)
-
-    def _logs(self, rows: list, prior, kind) -> tuple[dict[str, int], np.ndarray]:
-        index = {item: i for i, item in enumerate(sorted({r["item"] for r in rows}))}
-        counts = np.zeros((len(index), len(self.langs)))
-        column = {lang: i for i, lang in enumerate(self.langs)}
-        for r in rows:
-            counts[index[r["item"]], column[r["lang"]]] += r["n"]
-        kinds = np.array([kind(item) for item in index], int)
-        logs = np.zeros_like(counts)
+    """Per-language log frequencies of words and n-grams, in arrays sorted by the items' hashes."""
+
+    def __init__(self, words: pa.Table, grams: pa.Table):
+        self.langs = sorted(set(words.column("lang").unique().to_pylist()))
+        self.words, self.word_logs = self._logs(words, False)
+        self.grams, self.gram_logs = self._logs(grams, True)
+
+    def _logs(self, rows: pa.Table, by_length: bool) -> tuple[np.ndarray, np.ndarray]:
+        coded = rows.column("item").combine_chunks().dictionary_encode()
+        items = coded.dictionary.to_pylist()
+        column = pc.index_in(rows.column("lang"), pa.array(self.langs, pa.string())).to_numpy()
+        counts = np.zeros((len(items), len(self.langs)))
+        np.add.at(counts, (coded.indices.to_numpy(), column), rows.column("n").to_numpy())
+        kinds = np.array([len(item) if by_length else 0 for item in items], int)
+        logs = np.zeros(counts.shape, np.float32)
         for k in set(kinds):  # n-grams compete with those of their length
             of = counts[kinds == k]
             logs[kinds == k] = np.log((of + 0.5) / (of.sum(0) + 0.5 * len(of)))
-        return index, logs
+        keys = _keys(items)
+        order = np.argsort(keys)
+        return keys[order], logs[order]
 
     def of_word(self, word: str) -> np.ndarray:
         """Log frequency per language; of an unseen word, the mean over its longest known n-grams."""
-        row = self.words.get(word)
-        if row is not None:
-            return self.word_logs[row]
-        for n in range(LONGEST, 0, -1):
-            known = [self.grams[g] for g in grams(word, n) if g in self.grams]
-            if known:
-                return self.gram_logs[known].mean(0)
+        known, place = _found(self.words, [word])
+        if known.any():
+            return self.word_logs[place[0]].astype(float)
+        parts = [(n, g) for n in range(LONGEST, 0, -1) for g in grams(word, n)]
+        known, place = _found(self.grams, [g for _, g in parts])
+        if known.any():
+            longest = parts[int(known.argmax())][0]
+            return self.gram_logs[place[known & np.array([n == longest for n, _ in parts])]].mean(0, dtype=float)
         return np.zeros(len(self.langs))
 
     def predict(self, text: str | None, memory: Remembered) -> tuple[str, float]:
@@ -109,15 +129,35 @@ def train(
     docs: DataFrame, trusted: Column, text_column: str = "text", lang_column: str = "lang",
     id_column: str = "doc_id",
 ) -> Model:
-    """A model of the labelled rows for which ``trusted`` holds, from a bounded sample of them."""
+    """A model of the labelled rows for which ``trusted`` holds, from a bounded sample of each language."""
     labelled = docs.where(trusted & F.col(lang_column).isNotNull())
-    rows = sampled(labelled.select(id_column, F.col(lang_column).alias("lang")), id_column, SAMPLE)
+    rows = _sampled(labelled.select(id_column, F.col(lang_column).alias("lang")), id_column)
     texts = with_texts(docs, rows.distinct(), id_column, text_column).select("lang", "__text")
-    counted = _counts(texts.repartition(24), True).where("n > 1")
-    kept = counted.orderBy(F.desc("n"), "lang", "item").limit(WORDS)
-    parts = _counts(kept.repartition(24), False).where("n > 1")
+    words_ = cut(_most_telling(_counts(texts.repartition(24), True), WORDS))
     # two lists of bounded length
-    return Model(kept.collect(), parts.orderBy(F.desc("n"), "lang", "item").limit(GRAMS).collect())
+    return Model(words_.toArrow(), _most_telling(_counts(words_.repartition(24), False), GRAMS).toArrow())
+
+
+def _sampled(rows: DataFrame, id_column: str) -> DataFrame:
+    """(id, lang): about ``SAMPLE`` rows of each language by a hash of the id, all where it has fewer."""
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("__of"))  # a row per language
+    die = F.pmod(F.xxhash64(id_column, F.lit(17)), F.lit(1 << 30)) / F.lit(1 << 30)
+    return rows.join(F.broadcast(sizes), "lang").where(die * F.col("__of") < SAMPLE).select(id_column, "lang")
+
+
+def _most_telling(counted: DataFrame, at_most: int) -> DataFrame:
+    """All languages' counts of the items that are most frequent within some language.
+
+    Items are ranked by their largest share of a language's total, so a language with few labelled
+    rows keeps its items beside one with many; items seen once are left out.
+    """
+    counted = cut(counted)
+    totals = counted.groupBy("lang").agg(F.sum("n").alias("total"))
+    ranked = counted.join(F.broadcast(totals), "lang").groupBy("item").agg(
+        F.sum("n").alias("seen"), F.max(F.col("n") / F.col("total")).alias("share")
+    )
+    kept = ranked.where("seen > 1").orderBy(F.desc("share"), "item").limit(at_most)
+    return counted.join(kept.select("item"), "item").select("lang", "item", "n")
 
 
 def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
@@ -130,7 +170,7 @@ def identify(docs: DataFrame, model: Model, text_column: str = "text") -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shipped.value
-        memory = Remembered(known.of_word, 50_000)
+        memory = Remembered(known.of_word, 200_000)
         for batch in small(batches, text_column, 1 << 20):
             texts = batch.column(text_column).to_pylist()
             found = [known.predict(t, memory) for t in texts]

@@ -242,6 +242,25 @@ def test_language(spark):
     assert {r.lang_pred for r in langid.identify(frame_, nothing).collect()} == {"und"}
 
 
+def test_rare_languages_keep_their_words(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 40)
+    monkeypatch.setattr(langid, "WORDS", 30)
+    monkeypatch.setattr(langid, "GRAMS", 300)
+    rng = random.Random(6)
+    common, rare = [f"ab{chr(97 + i)}{chr(97 + k)}" for i in range(5) for k in range(5)], ["xylo", "xyst", "aboa"]
+    rows = [(i, " ".join(rng.choices(common, k=40)), "en") for i in range(2000)]
+    rows += [(i, " ".join(rare + common[:1]), "fr") for i in range(2000, 2005)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sizes = dict(langid._sampled(docs.select("doc_id", "lang"), "doc_id").groupBy("lang").count().collect())
+    assert 15 < sizes["en"] < 80 and sizes["fr"] == 5
+    model = langid.train(docs, F.lit(True))
+    assert model.langs == ["en", "fr"] and len(model.words) <= 30 and len(model.grams) <= 300
+    assert model.predict("xylo aboa", langid.Remembered(model.of_word))[0] == "fr"
+    assert model.predict("xylon", langid.Remembered(model.of_word))[0] == "fr"
+    # the word of both languages has the counts of both
+    assert np.exp(model.of_word(common[0]))[1] == pytest.approx(5.5 / (20 + 0.5 * len(model.words)))
+
+
 def test_classifiers_on_blank_texts_and_without_labels(spark, docs, rows, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     scored = quality.score(docs, quality.train(docs, labels)).collect()
