@@ -273,6 +273,14 @@ def test_classifiers_on_blank_texts_and_without_labels(spark, docs, rows, empty)
     assert toxicity.score(docs, chain, ["toxic"]).where("p_toxic between 0 and 1").count() == len(rows)
 
 
+def test_linear_model_is_fitted_to_the_end():
+    rng = np.random.default_rng(3)
+    labels = rng.integers(0, 2, 400)
+    docs = [np.array([k, 2 + (k ^ 1) if rng.random() < 0.02 else 2 + k]) for k in labels]
+    p = toxicity.Linear(docs, np.zeros((400, 0)), labels.astype(float)).probability(docs, np.zeros((400, 0)))
+    assert -np.log(np.where(labels == 1, p, 1 - p)).mean() < 0.02
+
+
 def test_chain_feeds_out_of_fold_probabilities():
     rng = np.random.default_rng(0)
     first = rng.integers(0, 2, 300)
