@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from altimart.llm import bpe, decontaminate, exact_dedup, langid, lm, ngram_join, quality, sharding, substring, toxicity
+from altimart.llm import (
+    bpe,
+    decontaminate,
+    exact_dedup,
+    langid,
+    lm,
+    ngram_join,
+    quality,
+    secret_scan,
+    sharding,
+    substring,
+    toxicity,
+)
 from altimart.llm.common import remainder, table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -114,6 +126,17 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    done = secret_scan.secret_spans(table(spark, folder, "documents").select("doc_id", "text"))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    return done.select(
+        "doc_id",
+        *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(secret_scan.joined(of("assign", "access", "hex")).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.joined(F.col("spans")).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
@@ -125,6 +148,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
+    "op11_secret_scan": op11_secret_scan,
 }
 
 SQL = {
@@ -235,4 +259,47 @@ SQL = {
                sha256(bare) as text_sha256
         from bare
     """,
+    "op11_secret_scan": r"""
+        with texts as (
+            select row_number() over () as r, doc_id, coalesce(text, '') as t from documents
+        ),
+        rules(place, kind, pattern, least) as (values
+            (0, 'assign', '(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 12),
+            (1, 'access', '(AKIA[A-Z0-9]+)', 18),
+            (2, 'hex', '([0-9a-f]+)', 16),
+            (3, 'forge', '(gh[pousr]_[A-Za-z0-9]{20,})', 0),
+            (4, 'chat', '(xox[abprs]-[A-Za-z0-9-]{10,})', 0),
+            (5, 'payment', '([rs]k_(?:live|test)_[A-Za-z0-9]{16,})', 0),
+            (6, 'map', '(AIza[A-Za-z0-9_-]{30,})', 0),
+            (7, 'web', '(eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+)', 0),
+            (8, 'pem', '(-----BEGIN [A-Z ]*PRIVATE KEY-----)', 0),
+            (9, 'mail', '([a-z]{2,12}://[A-Za-z0-9._-]+:[^\x20\x09-\x0D/@:]{6,}@[A-Za-z0-9.-]+)', 0)
+        ),
+        found as (
+            select r, place, kind, least, unnest(range(1, len(m) + 1)) as i, unnest(m) as m, unnest(g) as g,
+                   unnest(gaps[1:len(m)]) as gap
+            from (
+                select r, place, kind, least, regexp_extract_all(t, pattern, 0) as m, regexp_extract_all(t, pattern, 1) as g,
+                       regexp_split_to_array(t, pattern) as gaps
+                from texts, rules
+            )
+        ),
+        placed as (
+            select *, sum(length(gap) + length(m)) over (partition by r, place order by i) as stop from found
+        ),
+        spans as (
+            select r, place, kind, cast(stop - length(m) as bigint) as start, kind || ':' || cast(stop - length(m) as bigint) || ':' || cast(stop as bigint) as span
+            from placed where length(g) >= least
+        ),
+        listed as (
+            select r, count(*) filter (where place = 0) as n_assign, count(*) filter (where place = 1) as n_access,
+                   count(*) filter (where place = 2) as n_hex,
+                   string_agg(span, ',' order by start, place) filter (where place < 3) as base,
+                   string_agg(span, ',' order by start, place) as spans
+            from spans group by r
+        )
+        select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+               sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+        from texts left join listed using (r)
+    """,
 }
