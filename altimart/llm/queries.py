@@ -16,6 +16,7 @@ from altimart.llm import (
     quality,
     secret_scan,
     sharding,
+    spelling,
     substring,
     toxicity,
 )
@@ -137,6 +138,10 @@ def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"), every=31)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
@@ -149,6 +154,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_language_id": op10_language_id,
     "op11_secret_scan": op11_secret_scan,
+    "op12_spelling": op12_spelling,
 }
 
 SQL = {
@@ -302,4 +308,56 @@ SQL = {
                sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
         from texts left join listed using (r)
     """,
+    "op12_spelling": r"""
+        with recursive steps as (  -- crc32 of each byte value, by eight shifts
+            select list(list_reduce(list_prepend(b, range(8)),
+                        lambda c, i: if(c & 1 = 1, xor(c >> 1, 3988292384), c >> 1)) order by b) as step
+            from range(256) t(b)
+        ),
+        runs as (
+            select doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run
+            from documents
+        ),
+        counted as (
+            select run, count(*) as times, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || run)) as h
+            from runs where length(run) >= 7 group by doc_id, run
+        ),
+        hashed as (
+            select run, times, xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint),
+                       list_transform(range(len(h) // 2), lambda i: cast('0x' || h[2 * i + 1:2 * i + 2] as bigint))),
+                       lambda c, b: xor(c >> 8, step[xor(c, b) % 256 + 1]))) as h
+            from counted, steps
+        ),
+        vocabulary as (
+            select if(h % 31 = 0, run[1:h % length(run)] || run[h % length(run) + 2:], run) as word, cast(sum(times) as bigint) as n
+            from hashed group by 1 having length(word) >= 7 and sum(times) >= 2
+        ),
+        places as (select word, unnest(range(length(word))) as p from vocabulary),
+        shapes as (select word, word[1:p] || '*' || word[p + 2:] as star, word[1:p] || word[p + 2:] as less from places),
+        pairs as (
+            select a.word, b.word as other from shapes a join shapes b on a.star = b.star and a.word <> b.word
+            union
+            select word, less from shapes where less in (select word from vocabulary)
+            union
+            select less, word from shapes where less in (select word from vocabulary)
+        ),
+        near as (
+            select p.word, count(*) as n_near, arg_min(v.word, (-v.n, v.word)) as best, max(v.n) as best_n
+            from pairs p join vocabulary v on v.word = p.other group by p.word
+        ),
+        forms as (
+            select v.word, v.n, coalesce(n_near, 0) as n_near, if(best_n >= 10 * v.n, best, null) as form,
+                   if(best_n >= 10 * v.n, best_n, null) as form_n
+            from vocabulary v left join near using (word)
+        ),
+        chain(word, now) as (
+            select word, word from forms
+            union
+            select chain.word, form from chain join forms on now = forms.word where form is not null
+        ),
+        lasts as (
+            select chain.word, now as root from chain join forms on now = forms.word where forms.form is null
+        )
+        select word, form, root, n, n_near, form_n from forms join lasts using (word)
+    """,
 }
