@@ -14,6 +14,7 @@ from altimart.llm import (
     lm,
     ngram_join,
     quality,
+    resampling,
     secret_scan,
     sharding,
     spelling,
@@ -142,6 +143,10 @@ def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(table(spark, folder, "documents"), every=31)
 
 
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_decontamination": op2_decontamination,
@@ -155,6 +160,7 @@ QUERIES = {
     "op10_language_id": op10_language_id,
     "op11_secret_scan": op11_secret_scan,
     "op12_spelling": op12_spelling,
+    "op13_resampling": op13_resampling,
 }
 
 SQL = {
@@ -360,4 +366,47 @@ SQL = {
         )
         select word, form, root, n, n_near, form_n from forms join lasts using (word)
     """,
+    "op13_resampling": r"""
+        with steps as (  -- crc32 of each byte value, by eight shifts
+            select list(list_reduce(list_prepend(b, range(8)),
+                        lambda c, i: if(c & 1 = 1, xor(c >> 1, 3988292384), c >> 1)) order by b) as step
+            from range(256) t(b)
+        ),
+        words as (
+            select kind, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as word
+            from (select 'd' as kind, doc_id as id, text from documents union all select 'b', item_id, text from benchmark)
+        ),
+        counted as (select kind, id, word, count(*) as n from words group by all),
+        hexed as (select word, hex(encode(word)) as h from (select distinct word from counted)),
+        hashed as (
+            select word, xor(4294967295, list_reduce(list_prepend(cast(4294967295 as bigint),
+                       list_transform(range(len(h) // 2), lambda i: cast('0x' || h[2 * i + 1:2 * i + 2] as bigint))),
+                       lambda c, b: xor(c >> 8, step[xor(c, b) % 256 + 1]))) % 10000 as bucket
+            from hexed, steps
+        ),
+        sums as (
+            select bucket, coalesce(sum(n) filter (where kind = 'd'), 0) as s, coalesce(sum(n) filter (where kind = 'b'), 0) as t
+            from counted join hashed using (word) group by bucket
+        ),
+        gains as (
+            select bucket, cast(floor(1000 * ln((t + 1)::double * (sum(s) over () + 10000)::double
+                       / ((s + 1)::double * (sum(t) over () + 10000)::double))) as bigint) as gain
+            from sums
+        ),
+        weighed as (
+            select id, sum(n) as n_features, sum(n * gain) as weight
+            from counted join hashed using (word) join gains using (bucket) where kind = 'd' group by id
+        ),
+        scored as (
+            select doc_id, cast(coalesce(n_features, 0) as bigint) as n_features, cast(coalesce(weight, 0) as bigint) as weight,
+                   cast(coalesce(weight, 0) + floor(-1000 * ln(-ln((cast('0x' || sha256('2024:' || doc_id)[1:8] as bigint) + 0.5::double) / 4294967296::double))) as bigint) as score
+            from documents left join weighed on id = doc_id
+        ),
+        ranked as (
+            select doc_id, row_number() over (order by score desc, doc_id) as place, count(*) over () as n
+            from scored where n_features >= 20
+        )
+        select doc_id, n_features, weight, score, if(place <= 10 * n // 100, place, null) as rank
+        from scored left join ranked using (doc_id)
+    """,
 }
