@@ -16,7 +16,13 @@ from altimart.llm.text import small
 
 #: Texts above this many characters are cut into pieces of at least this length before encoding.
 PIECE = 1 << 16
-_EDGE = re.compile(r"(?<=\S)(?=\s)")
+#: Blank runs from this length on are taken apart here: the library's engine steps back over a run one
+#: character at a time and gives up at a million.
+RUN = 1 << 12
+# The white space of the splitting pattern (Unicode White_Space).
+BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_EDGE = re.compile(f"(?<=[^{BLANK}])(?=[{BLANK}])")
+_RUN = re.compile(f"[{BLANK}]{{{RUN},}}")
 
 
 def pieces(text: str, length: int = PIECE) -> list[str]:
@@ -36,6 +42,34 @@ def pieces(text: str, length: int = PIECE) -> list[str]:
     return [*out, text[start:]]
 
 
+def parts(text: str, last: bool) -> Iterator[tuple[str, bool]]:
+    """A piece in order as (part, whether it is one match of the pattern).
+
+    The pattern takes a blank run as one match where it ends the text (``last``); before a
+    non-space it leaves the run's last blank, which begins what follows.  Long runs are cut there.
+    """
+    start = 0
+    for run in _RUN.finditer(text):
+        end = run.end() if run.end() == len(text) and last else run.end() - 1
+        if run.start() > start:
+            yield text[start : run.start()], False
+        yield text[run.start() : end], True
+        start = end
+    if start < len(text):
+        yield text[start:], False
+
+
+def token_ids(tokenizer: tiktoken.Encoding, text: str) -> list[np.ndarray]:
+    """The ids of a text of any length, in some arrays."""
+    out, cut = [], pieces(text)
+    for n, piece in enumerate(cut):
+        # a piece that is not the last is followed by a blank, so a run cannot end it
+        for part, one in parts(piece, n == len(cut) - 1):
+            ids = tokenizer._encode_single_piece(part) if one else tokenizer.encode_ordinary(part)
+            out.append(np.array(ids, np.int32))
+    return out
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -52,10 +86,13 @@ def _with(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
 def encode(
     docs: DataFrame, ranks_path: str, pattern: str, text_column: str = "text", ids_column: str = "ids"
 ) -> DataFrame:
-    """All columns and the token ids of the text, ``array<int>``; NULL text: no ids.
+    """All columns and the token ids of the text, ``array<int>``; NULL or empty text: no ids.
 
-    No special tokens: their strings are ordinary text.  The rank file is read on the driver and
-    broadcast; its size is that of one vocabulary.  One narrow pass, nothing is shuffled.
+    ``pattern`` is one that takes white space apart as described in ``pieces`` and ``parts``.  No special
+    tokens: their strings are ordinary text.  Texts of any length, long runs of one character included.
+    Repeated rows get equal ids; an empty table gives no rows.  A column named like the result is an
+    error.  The rank file is read on the driver and broadcast; its size is that of one vocabulary.  One
+    narrow pass, nothing is shuffled.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
@@ -64,7 +101,7 @@ def encode(
         for batch in small(batches, text_column):
             ids, sizes = [np.zeros(0, np.int32)], [0]
             for text in batch.column(text_column).to_pylist():
-                own = [np.array(tokenizer.encode_ordinary(p), np.int32) for p in pieces(text or "")]
+                own = token_ids(tokenizer, text or "")
                 ids += own
                 sizes.append(sum(map(len, own)))
             ends = np.cumsum(sizes, dtype=np.int32)
@@ -79,7 +116,8 @@ def decode(
 ) -> DataFrame:
     """All columns and the raw bytes of the ids; any id sequence has bytes, valid text or not.
 
-    NULL ids give no bytes; an id outside the vocabulary is an error.
+    NULL ids give no bytes; an id outside the vocabulary is an error.  Repeated rows give equal
+    bytes, an empty table no rows; a column named like the result is an error.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
