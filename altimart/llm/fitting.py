@@ -11,14 +11,20 @@ from pyspark.sql import functions as F
 
 
 def sampled(rows: DataFrame, id_column: str, at_most: int) -> DataFrame:
-    """At most ``at_most`` rows' ids and labels, in the order of a hash of the id."""
-    return rows.orderBy(F.xxhash64(id_column, F.lit(17)), id_column).limit(at_most)
+    """At most ``at_most`` different rows of ids and labels, in the order of a hash of the id."""
+    return rows.distinct().orderBy(F.xxhash64(id_column, F.lit(17)), *rows.columns).limit(at_most)
 
 
 def with_texts(docs: DataFrame, sample: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """The sample with its whole texts; its ids, bounded by the sample size, are broadcast."""
+    """The sample with its whole texts; its ids, bounded by the sample size, are broadcast.
+
+    An id on many rows gives one text, that of the smallest digest, so there are no more rows than
+    in the sample.
+    """
     texts = docs.select(id_column, F.col(text_column).alias("__text"))
-    return texts.join(F.broadcast(sample), id_column)
+    digest = F.coalesce(F.sha2(F.col("__text").cast("binary"), 256), F.lit(""))
+    found = texts.join(F.broadcast(sample), id_column).groupBy(*sample.columns)
+    return found.agg(F.min(F.struct(digest.alias("digest"), "__text"))["__text"].alias("__text"))
 
 
 def fit_in_task(sample: DataFrame, fit: Callable[[pa.Table], object]) -> object:

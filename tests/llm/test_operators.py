@@ -1,7 +1,9 @@
 """Operators on small tables with nulls, blanks, repeats, ties, long texts and clashing columns."""
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -12,6 +14,7 @@ from altimart.llm import (
     components,
     decontaminate,
     exact_dedup,
+    fitting,
     langid,
     lm,
     ngram_join,
@@ -219,6 +222,40 @@ def test_pieces_are_whole_and_cut_before_space():
     assert bpe.pieces("x" * 50, 7) == ["x" * 50]
 
 
+def _tokenizer():
+    import public_tokenizers
+
+    return bpe.encoding(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+
+
+def test_long_runs_are_encoded_as_by_the_library():
+    tokenizer = _tokenizer()
+    runs = [c * 6000 for c in (" ", "\n", "a", "1", "!", "é", "\u3000", "\x1c", "\t")] + [" \n" * 3000, "\n" * 5000 + " "]
+    texts = [a + run + b for run in runs for a in ("", "x", "x ", "!") for b in ("", "y", "\ny", "'s", "\x1cq")]
+    texts += ["ab \x1c!" * 30_000, "\x85 \x1d" * 40_000, " " * 5000 + "a" + " " * 5000 + "b" + "\n" * 5000]
+    for text in texts:
+        assert np.concatenate(bpe.token_ids(tokenizer, text)).tolist() == tokenizer.encode_ordinary(text)
+
+
+def test_texts_beyond_what_the_library_takes(spark):
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    n = 2_000_000
+    texts = [" " * n, "\n" * n, "a" * n, "x" + " " * n + "y", "\u3000" * n + "z"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(2)
+    done = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    equal = F.col("decoded") == F.col("text").cast("binary")
+    assert {r.equal for r in done.select(equal.alias("equal")).collect()} == {True}
+
+
+def test_bpe_of_empty_tables(empty):
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    assert bpe.decode(bpe.encode(empty, ranks, public_tokenizers.PATTERN), ranks).count() == 0
+
+
 def test_bpe_round_trip(docs, rows):
     import public_tokenizers
 
@@ -244,8 +281,6 @@ def test_language(spark):
 
 def test_rare_languages_keep_their_words(spark, monkeypatch):
     monkeypatch.setattr(langid, "SAMPLE", 40)
-    monkeypatch.setattr(langid, "WORDS", 30)
-    monkeypatch.setattr(langid, "GRAMS", 300)
     rng = random.Random(6)
     common, rare = [f"ab{chr(97 + i)}{chr(97 + k)}" for i in range(5) for k in range(5)], ["xylo", "xyst", "aboa"]
     rows = [(i, " ".join(rng.choices(common, k=40)), "en") for i in range(2000)]
@@ -254,11 +289,68 @@ def test_rare_languages_keep_their_words(spark, monkeypatch):
     sizes = dict(langid._sampled(docs.select("doc_id", "lang"), "doc_id").groupBy("lang").count().collect())
     assert 15 < sizes["en"] < 80 and sizes["fr"] == 5
     model = langid.train(docs, F.lit(True))
-    assert model.langs == ["en", "fr"] and len(model.words) <= 30 and len(model.grams) <= 300
-    assert model.predict("xylo aboa", langid.Remembered(model.of_word))[0] == "fr"
-    assert model.predict("xylon", langid.Remembered(model.of_word))[0] == "fr"
+    assert model.langs == ["en", "fr"] and len(model.words) == len(common) + len(rare)
+    assert langid.Scorer(model).predict(["xylo aboa", "xylon"])[0] == ["fr", "fr"]
     # the word of both languages has the counts of both
-    assert np.exp(model.of_word(common[0]))[1] == pytest.approx(5.5 / (20 + 0.5 * len(model.words)))
+    assert np.exp(model.of_words(common[:1])[0])[1] == pytest.approx(5.5 / (20 + 0.5 * len(model.words)))
+
+
+def test_language_scores_match_a_plain_loop(spark):
+    """Counting, backing off and adding up again, word by word and n-gram by n-gram."""
+    rng = random.Random(8)
+    letters = {"en": "abcdé", "fr": "cdefß", "und?": "日本語ab"}
+    vocabulary = {lang: ["".join(rng.choices(of, k=rng.randrange(1, 8))) for _ in range(40)] for lang, of in letters.items()}
+    rows = [(i, lang, " ".join(rng.choices(vocabulary[lang], k=12))) for i, lang in enumerate(list(letters) * 30)]
+    docs = spark.createDataFrame([(i, t, lang) for i, lang, t in rows], "doc_id long, text string, lang string")
+    model = langid.train(docs, F.lit(True))
+    langs = sorted(letters)
+
+    def log_frequencies(items):  # {lang: Counter of items} of one kind
+        distinct = set().union(*items.values())
+        return {g: [math.log((items[lang][g] + 0.5) / (sum(items[lang].values()) + 0.5 * len(distinct))) for lang in langs] for g in distinct}
+
+    found = {lang: Counter(w for _, of, t in rows if of == lang for w in t.split()) for lang in langs}
+    known = log_frequencies(found)
+    parts = {n: log_frequencies({lang: sum((Counter({g: k * c for g, c in Counter(langid.grams(w, n)).items()}) for w, k in found[lang].items()), Counter()) for lang in langs}) for n in range(1, 6)}
+
+    def of_word(word):
+        if word in known:
+            return known[word]
+        for n in range(5, 0, -1):
+            hits = [parts[n][g] for g in langid.grams(word, n) if g in parts[n]]
+            if hits:
+                return [sum(h[k] for h in hits) / len(hits) for k in range(len(langs))]
+        return [0.0] * len(langs)
+
+    texts = [" ".join("".join(rng.choices("abcdéfß日本zq", k=rng.randrange(1, 9))) for _ in range(rng.randrange(1, 30))) for _ in range(300)]
+    texts += ["½", "² ① Ⅷ", "a½b", "5", None, "", "Ω", "A" * 100_000, "ab " * 50_000]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(asked, model).collect()}
+    for i, text in enumerate(texts):
+        words = "".join(c if c.isalpha() else " " for c in (text or "").lower()).split()
+        if not words:
+            assert got[i] == ("und", 0.0)
+            continue
+        total = [sum(v) for v in zip(*map(of_word, words))]
+        share = [math.exp(t - max(total)) for t in total]
+        assert got[i][1] == pytest.approx(max(share) / sum(share), rel=1e-4)
+        if sorted(total)[-1] - sorted(total)[-2] > 1e-3:
+            assert got[i][0] == langs[total.index(max(total))]
+
+
+def test_equal_language_scores_go_to_the_first(spark):
+    docs = spark.createDataFrame([(1, "same words", "zz"), (2, "same words", "aa")], "doc_id long, text string, lang string")
+    found = langid.identify(docs.drop("lang"), langid.train(docs, F.lit(True))).collect()
+    assert {(r.lang_pred, r.score) for r in found} == {("aa", 0.5)}
+
+
+def test_a_repeated_id_is_one_sampled_text(spark):
+    many = [(7, f"copy {i}") for i in range(3000)] + [(8, "a"), (9, "b")]
+    docs = spark.createDataFrame(many, "doc_id long, text string")
+    sample = spark.createDataFrame([(7, 1), (8, 0), (9, 1)], "doc_id long, label int")
+    assert fitting.with_texts(docs, sample, "doc_id", "text").count() == 3
+    twice = sample.unionByName(sample)
+    assert fitting.sampled(twice, "doc_id", 10).count() == 3
 
 
 def test_classifiers_on_blank_texts_and_without_labels(spark, docs, rows, empty):
