@@ -1,93 +1,69 @@
-"""Left joins and per-group totals that survive hot keys.
-
-A shuffle join sends every row of a key to one task, so a key with a third of
-all rows makes one task do a third of the work.  ``lookup_join`` avoids that,
-by the same plan at every size:
-
-1. ``heavy_keys`` counts rows per key (map-side combined, key columns only) and
-   keeps those above ``rows_per_task``, by default a million; of more than 65536
-   such keys the heaviest, which bounds the broadcast.  (From there on, 65 billion
-   rows, no other key holds over one 65536th of all rows.)  The list is a part of
-   the query: composing it runs nothing.
-2. Left rows of a heavy key are spread over as many salts as it has tasks' worth
-   of rows.  Rows with a NULL key, which match nothing, are always spread.
-3. Right rows of a heavy key are repeated once per salt.
-
-Every left row meets every matching right row exactly once, so the result is
-that of the plain left join.
+"""Left joins and per-group totals that survive hot keys, by Spark's adaptive skew join.
+
+A shuffle join sends every row of a key to one task.  Adaptive execution looks at the sizes of the
+shuffled partitions before it joins them and splits one that is far above the median by the tasks that
+wrote it; the matching part of the other side is read once per split.  Rows without a key are split like
+any other.  No key is counted beforehand and composing a join runs nothing.
+
+It can only do so where both sides of the join come straight from a shuffle of its own.  A side that is
+already partitioned by the key, such as totals per key, does not.  ``lookup_join`` therefore joins on
+the key and its hash: a partitioning by the key alone does not do for that, so both sides are shuffled.
+The looked-up side has one row per key, or few, which makes that cheap; a small one is broadcast.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ROWS_SETTING = "spark.altimart.skew.rowsPerTask"
-ROWS_PER_TASK = 1_000_000
-MOST_KEYS = 1 << 16
-NULL_SALTS = 1 << 10
+#: What the joins of this library count on.  The sizes are Spark's own defaults, stated here because
+#: they decide when a key is hot: a partition is split from 256 MB and five times the median on, into
+#: parts of the advisory size.
+SETTINGS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5.0",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    # split even where a later step on the same key then has to shuffle again
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
 
+_TAG = "__key_hash"
 
-def rows_per_task(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get(ROWS_SETTING, str(ROWS_PER_TASK)))
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Sets ``SETTINGS`` where the session has none of its own."""
+    for name, value in SETTINGS.items():
+        if not spark.conf.isModifiable(name):
+            raise ValueError(f"{name} cannot be set here")
+        if name not in _own(spark):
+            spark.conf.set(name, value)
+    return spark
 
-def heavy_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys above the limit and how many tasks' worth of rows each has; lazy.
 
-    NULL keys are left out: they are spread without being counted.
-    """
-    limit, n = rows_per_task(rows), F.col("__rows")
-    counts = rows.select(*keys).dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    heavy = counts.where(n > limit).orderBy(n.desc(), *keys).limit(MOST_KEYS)
-    return heavy.select(*keys, F.ceil(n / limit).cast("int").alias("__fanout"))
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame | Sequence[DataFrame],
-    keys: Sequence[str],
-    spread_by: Sequence[str],
-    count_from: DataFrame | None = None,
-) -> DataFrame:
-    """``left`` left-joined with one or several right sides on equally named columns.
-
-    ``spread_by`` names left columns that tell rows of one key apart.
-    ``count_from`` is a cheaper table with the same keys and rows as ``left``
-    to count keys on.  Several right sides share one shuffle of ``left``.
-    """
-    keys = list(keys)
-    rights = [right] if isinstance(right, DataFrame) else list(right)
-    heavy = F.broadcast(heavy_keys(left if count_from is None else count_from, keys))
-
-    dice = F.xxhash64(*[F.col(c) for c in spread_by], F.spark_partition_id())
-    some_null = reduce(or_, [F.col(k).isNull() for k in keys])
-    left_salt = (
-        F.when(some_null, F.pmod(dice, F.lit(NULL_SALTS)))
-        .when(F.col("__fanout") > 1, F.pmod(dice, F.col("__fanout").cast("long")))
-        .otherwise(F.lit(0))
-    )
-    salts = F.sequence(F.lit(0), F.coalesce(F.col("__fanout"), F.lit(1)) - 1)
-    salted = left.join(heavy, keys, "left").withColumn("__salt", left_salt.cast("int"))
-    out = salted.drop("__fanout")
-    for r in rights:
-        repeated = r.join(heavy, keys, "left").withColumn("__salt", F.explode(salts))
-        out = out.join(repeated.drop("__fanout"), [*keys, "__salt"], "left")
-    return out.drop("__salt")
-
-
-def with_group_totals(
-    df: DataFrame, key: str, totals: dict[str, Column], spread_by: Sequence[str]
-) -> DataFrame:
+def _own(spark: SparkSession) -> set[str]:
+    return {name for name in SETTINGS if spark.sparkContext.getConf().contains(name)}
+
+
+def lookup_join(left: DataFrame, right: DataFrame | Sequence[DataFrame], keys: str | Sequence[str]) -> DataFrame:
+    """``left`` left-joined with one or several right sides on equally named columns."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    tag = F.xxhash64(*keys)
+    out = left.withColumn(_TAG, tag)
+    for side in [right] if isinstance(right, DataFrame) else right:
+        out = out.join(side.withColumn(_TAG, tag), [*keys, _TAG], "left")
+    return out.drop(_TAG)
+
+
+def with_group_totals(df: DataFrame, key: str, totals: dict[str, Column]) -> DataFrame:
     """Each row with aggregates over all rows of its key (a window without order).
 
-    A window would sort each whole group in one task.  Here the group is reduced
-    map-side first and the one-row-per-key result is joined back.  Rows with a
-    NULL key belong to no group: callers drop them first.
+    A window would sort each whole group in one task, which nothing can split.  Here the group is
+    reduced map-side first and the one-row-per-key result is joined back, where a hot key is split.
+    Rows with a NULL key belong to no group: callers drop them first.
     """
     per_key = df.groupBy(key).agg(*[c.alias(name) for name, c in totals.items()])
-    return lookup_join(df, per_key, [key], spread_by)
+    return lookup_join(df, per_key, key)

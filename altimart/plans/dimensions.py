@@ -80,7 +80,7 @@ def dim_routes(routes: DataFrame, airports: DataFrame, competitors: DataFrame) -
 
     df = routes
     for role in ("origin", "destination"):
-        df = lookup_join(df, airport_as(role), [f"{role}_airport_code"], ["route_id"])
+        df = lookup_join(df, airport_as(role), f"{role}_airport_code")
     df = df.join(competitor_totals(competitors), "route_id", "left")
     rivals = F.coalesce(col("nb_competitors"), F.lit(0))
     return df.select(

@@ -104,10 +104,9 @@ def fct_flights(
     geography = routes.select(
         "route_id", "distance_km", col("origin_airport_code").alias("airport_code")
     )
-    df = lookup_join(flights, geography, ["route_id"], ["flight_id"])
-    df = lookup_join(df, weather, ["airport_code", "flight_date"], ["flight_id"])
     df = (
-        df.join(costs, "flight_cost_key", "left")
+        lookup_join(lookup_join(flights, geography, "route_id"), weather, ["airport_code", "flight_date"])
+        .join(costs, "flight_cost_key", "left")
         .join(bookings_per_flight(bookings).drop("total_revenue_usd"), "flight_id", "left")
         .join(cargo_per_flight(cargo), "flight_id", "left")
     )
@@ -239,11 +238,8 @@ def fct_bookings(
         "customer_id", *profile, col("country").alias("customer_country")
     )
     df = bookings.join(ancillary_per_booking(ancillary), "booking_id", "left")
-    df = lookup_join(df, flight, ["flight_id"], ["booking_id"], count_from=bookings)
-    df = lookup_join(
-        df, [customer, booking_history(bookings)], ["customer_id"], ["booking_id"],
-        count_from=bookings,
-    )
+    df = lookup_join(df, flight, "flight_id")
+    df = lookup_join(df, [customer, booking_history(bookings)], "customer_id")
 
     items, past = _zero("nb_ancillary_items"), _zero("total_past_bookings")
     idle = days_between(col("last_booking_date"), as_of_date(as_of))
@@ -341,11 +337,8 @@ def fct_tickets(tickets: DataFrame, flights: DataFrame, customers: DataFrame) ->
         flag(F.contains(text, F.lit("retard"))).alias("__says_delay"),
         flag(F.contains(text, F.lit("annulé"))).alias("__says_cancelled"),
     ).drop("__text")
-    df = lookup_join(tagged, flight, ["flight_id"], ["ticket_id"], count_from=tickets)
-    df = lookup_join(
-        df, customers.select("customer_id", *profile), ["customer_id"], ["ticket_id"],
-        count_from=tickets,
-    )
+    df = lookup_join(tagged, flight, "flight_id")
+    df = lookup_join(df, customers.select("customer_id", *profile), "customer_id")
     return df.select(
         "ticket_id",
         "customer_id",

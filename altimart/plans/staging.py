@@ -367,7 +367,6 @@ def competitor_context(
                 "min_competitor_fare_on_route": F.min(fare),
                 "max_competitor_fare_on_route": F.max(fare),
             },
-            spread_by=["market_id", "competitor_name"],
         )
     rows = rows.where("_keep")
     return _pass(
@@ -490,7 +489,6 @@ def loyalty_activity(
                 "customer_activity_count": F.count(F.lit(1)),
                 "customer_flight_miles_total": F.sum(F.when(flown, miles).otherwise(F.lit(0))),
             },
-            spread_by=["activity_id"],
         )
     rows = rows.where("_keep")
     return _pass(

@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import SparkSession
 
+from altimart.operators.skew import SETTINGS
+
 
 def local_session(cores: int | None = None) -> SparkSession:
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
@@ -13,7 +15,7 @@ def local_session(cores: int | None = None) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("altimart")
         .config("spark.sql.shuffle.partitions", str(cores))
-        .config("spark.sql.adaptive.enabled", "true")
+        .config(map=SETTINGS)
         # single-file test tables arrive as one task; a shuffle join spreads the work over cores
         .config("spark.sql.autoBroadcastJoinThreshold", "1MB")
         # sizes measured at run time decide: broadcast small sides, hash instead of sort where
