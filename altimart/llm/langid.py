@@ -23,6 +23,8 @@ UNKNOWN = "und"
 #: every word and n-gram of these.
 SAMPLE = 2000
 LONGEST = 5
+#: Added to each count.  A word met once must say more than how much was learnt of each language.
+SMOOTH = 0.05
 #: Words whose log frequencies a task remembers.
 REMEMBERED = 200_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -115,7 +117,7 @@ class Model:
         logs = np.zeros(counts.shape, np.float32)
         for k in set(kinds.tolist()):  # n-grams compete with those of their length
             of = counts[kinds == k]
-            logs[kinds == k] = np.log((of + 0.5) / (of.sum(0) + 0.5 * len(of)))
+            logs[kinds == k] = np.log((of + SMOOTH) / (of.sum(0) + SMOOTH * len(of)))
         keys = keys_of(items)
         order = np.argsort(keys)
         return keys[order], logs[order]

@@ -186,6 +186,33 @@ def test_exact_duplicates(docs, rows):
     assert sorted((r.doc_id, r.keep_id, r.group_size) for r in got) == want
 
 
+def test_results_come_through_the_directory(spark, docs, rows, monkeypatch):
+    """Without the directory's slots nothing is found; with half of them only what their buckets hold."""
+    want = {(r.doc_id, r.text_sha256, r.keep_id) for r in exact_dedup.exact_duplicates(docs, capacity=4).collect()}
+    whole = exact_dedup.directory
+    monkeypatch.setattr(exact_dedup, "directory", lambda *a, **k: whole(*a, **k).where("false"))
+    assert exact_dedup.exact_duplicates(docs, capacity=4).isEmpty()
+    monkeypatch.setattr(exact_dedup, "directory", lambda *a, **k: whole(*a, **k).where("slot % 2 = 0"))
+    half = exact_dedup.exact_duplicates(docs, capacity=4).collect()
+    assert 0 < len(half) < len(rows) and {(r.doc_id, r.text_sha256, r.keep_id) for r in half} < want
+
+
+def test_texts_with_one_key_are_told_apart_by_their_bytes(spark):
+    texts = ["b", "a", "b", "a", "a", "c", "b"]
+    keyed = spark.createDataFrame([(7, t, k) for k, t in enumerate(texts)], "key long, bare string, n int")
+    keyed = keyed.select("key", "bare", F.col("n").cast("decimal(38,0)").alias("choice"))
+    index, slots = exact_dedup.build_index(keyed)
+    got = [(r.chain, r.group_size, int(r.choice)) for r in index.orderBy("chain").collect()]
+    assert got == [(1, 3, 4), (2, 3, 6), (3, 1, 5)]
+
+
+def test_exact_duplicates_of_a_repeated_row(spark):
+    rows = [(5, "x y")] * 400 + [(4, "xy")] * 3 + [(6, None)] * 2 + [(None, "zz"), (None, "z z")]
+    got = exact_dedup.exact_duplicates(frame(spark, rows), carried=["text"]).collect()
+    assert sorted((r.doc_id or 0, r.text, r.keep_id) for r in got if r.kept) == [(0, "z z", None), (5, "x y", 5), (6, None, 6)]
+    assert {(r.doc_id, r.group_size) for r in got} == {(5, 403), (4, 403), (6, 2), (None, 2)}
+
+
 def test_directory_splits_overfull_buckets(spark):
     keys = spark.range(500).select(F.xxhash64("id").alias("key"))
     slots = exact_dedup.directory(keys, capacity=20)
@@ -292,7 +319,7 @@ def test_rare_languages_keep_their_words(spark, monkeypatch):
     assert model.langs == ["en", "fr"] and len(model.words) == len(common) + len(rare)
     assert langid.Scorer(model).predict(["xylo aboa", "xylon"])[0] == ["fr", "fr"]
     # the word of both languages has the counts of both
-    assert np.exp(model.of_words(common[:1])[0])[1] == pytest.approx(5.5 / (20 + 0.5 * len(model.words)))
+    assert np.exp(model.of_words(common[:1])[0])[1] == pytest.approx((5 + langid.SMOOTH) / (20 + langid.SMOOTH * len(model.words)))
 
 
 def test_language_scores_match_a_plain_loop(spark):
@@ -307,7 +334,7 @@ def test_language_scores_match_a_plain_loop(spark):
 
     def log_frequencies(items):  # {lang: Counter of items} of one kind
         distinct = set().union(*items.values())
-        return {g: [math.log((items[lang][g] + 0.5) / (sum(items[lang].values()) + 0.5 * len(distinct))) for lang in langs] for g in distinct}
+        return {g: [math.log((items[lang][g] + langid.SMOOTH) / (sum(items[lang].values()) + langid.SMOOTH * len(distinct))) for lang in langs] for g in distinct}
 
     found = {lang: Counter(w for _, of, t in rows if of == lang for w in t.split()) for lang in langs}
     known = log_frequencies(found)
