@@ -147,6 +147,12 @@ BASE_CLASSES = {  # class: label
     "Airport": "Aéroport",
     "Airline": "Compagnie aérienne",
 }
+BASE_COMMENTS = {  # class: comment
+    "Route": "Équivalent de la table main_marts.dim_routes.",
+    "Customer": "Équivalent de la table main_marts.dim_customers.",
+    "Airport": "Classe de contexte. Permet hasOrigin et hasDestination.",
+    "Airline": "Classe de contexte. Permet hasCompetitor.",
+}
 CLASS_TEXTS = {  # inferred class: label
     "GrowthOpportunity": "Route à fort potentiel de croissance",
     "StrategicUnderperformer": "Route stratégique sous-performante",

@@ -31,11 +31,25 @@ def classes(links: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFra
         near = both.join(labels.withColumnsRenamed({"node": "b"}), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         seen = labels.join(near, "node")
         hooked = seen.groupBy(F.col("label").alias("node")).agg(F.min("near").alias("hooked"))
-        lower = keep(
-            seen.join(hooked, "node", "left").select("node", "label", F.least("label", "near", "hooked").alias("low"))
-        )
+        lower = seen.join(hooked, "node", "left").select("node", "label", F.least("label", "near", "hooked").alias("low"))
         above = lower.select(F.col("node").alias("low"), F.col("low").alias("lowest"))
         moved = keep(lower.join(above, "low").select("node", "label", F.least("low", "lowest").alias("new")))
         labels = moved.select("node", F.col("new").alias("label"))
         if moved.where("new < label").isEmpty():
             return labels
+
+
+def reached(start: DataFrame, steps: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(a, b): ``start``, and whatever follows from it along ``steps`` (a, b), each pair once.
+
+    Semi-naive: a round joins only the pairs that the round before found, and ends when it finds none.
+    Cycles end too.  Each round's pairs are fixed by ``keep``.
+    """
+    pair, onward = ["a", "b"], steps.select(F.col("a").alias("b"), F.col("b").alias("next")).distinct()
+    known = new = keep(start.select(*pair).distinct())
+    while True:
+        found = new.join(onward, "b").select("a", F.col("next").alias("b")).distinct()
+        new = keep(found.join(known, pair, "left_anti"))
+        if new.isEmpty():
+            return known
+        known = known.unionByName(new)

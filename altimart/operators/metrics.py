@@ -34,6 +34,35 @@ class MetricDef:
         raise ValueError(f"unknown metric kind {self.kind!r}")
 
 
+def evaluate_grains(
+    models: Mapping[str, DataFrame],
+    metrics: Sequence[MetricDef],
+    grains: Sequence[Sequence[str]],
+    where: Column | None = None,
+) -> DataFrame:
+    """Metrics of one model at several grains, by grouping sets: the model is read once.
+
+    One row per grain and combination of its dimensions.  ``grain`` names the dimensions of a row's
+    grain, joined by ``+`` (empty: over everything); those of other grains are NULL in it.
+    """
+    if len({m.model for m in metrics}) != 1:
+        raise ValueError("metrics evaluated together must share their model")
+    df = models[metrics[0].model]
+    if where is not None:
+        df = df.where(where)
+    names = sorted({name for grain in grains for name in grain})
+    if not names:
+        return evaluate(models, metrics, (), where).select(F.lit("").alias("grain"), *[m.name for m in metrics])
+    sets = [[F.col(name) for name in grain] for grain in grains]
+    grouped = df.groupingSets(sets, *names).agg(
+        F.grouping_id(*names).alias("__left_out"), *[m.aggregate().alias(m.name) for m in metrics]
+    )
+    # a bit of the grouping id is set for each dimension that is not part of the grain
+    last = len(names) - 1
+    part = [F.when(F.col("__left_out").bitwiseAND(1 << (last - i)) == 0, F.lit(name)) for i, name in enumerate(names)]
+    return grouped.select(F.concat_ws("+", *part).alias("grain"), *names, *[m.name for m in metrics])
+
+
 def evaluate(
     models: Mapping[str, DataFrame],
     metrics: Sequence[MetricDef],

@@ -7,13 +7,14 @@ set: ``union_graphs`` removes duplicates.  ``dtype`` of a text with a language i
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from altimart.fixed_values import RDF_TYPE, XSD
+from altimart.fixed_values import RDF_TYPE, RDFS, XSD
+from altimart.operators import closure
 
 col, lit = F.col, F.lit
 COLUMNS = ("s", "p", "o", "dtype", "is_iri")
@@ -153,3 +154,56 @@ def same_as(graph: DataFrame, mapping: DataFrame) -> DataFrame:
         col("local").alias("s"), *COLUMNS[1:]
     )
     return union_graphs(graph.select(*COLUMNS), borrowed)
+
+
+def same_as_closure(graph: DataFrame, links: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The graph with every fact on one node of a class of equal nodes on all of them.
+
+    ``links`` are pairs (local, external) that name one thing; they may form chains and cycles, and any
+    side may have the facts.  Facts of a class are brought together once, under its smallest node, and
+    dealt out from there.  Use ``canonical`` for classes too large to repeat their facts in.
+    """
+    classes = closure.classes(links.select(col("local").alias("a"), col("external").alias("b")), keep)
+    gathered = _on_label(graph, classes)
+    dealt = gathered.join(classes, "label").select(col("node").alias("s"), *COLUMNS[1:])
+    return union_graphs(graph.select(*COLUMNS), dealt)
+
+
+def canonical(graph: DataFrame, links: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The graph with each node of a class of equal nodes replaced by the smallest, as subject and as
+    target of links; nothing is repeated."""
+    classes = closure.classes(links.select(col("local").alias("a"), col("external").alias("b")), keep)
+    subject = classes.withColumnsRenamed({"node": "s", "label": "__s"})
+    target = classes.withColumnsRenamed({"node": "o", "label": "__o"}).withColumn("is_iri", lit(True))
+    named = graph.join(subject, "s", "left").join(target, ["o", "is_iri"], "left")
+    return union_graphs(
+        named.select(F.coalesce("__s", "s").alias("s"), "p", F.coalesce("__o", "o").alias("o"), "dtype", "is_iri")
+    )
+
+
+def _on_label(graph: DataFrame, classes: DataFrame) -> DataFrame:
+    return graph.join(classes.withColumnRenamed("node", "s"), "s").select("label", *COLUMNS[1:]).distinct()
+
+
+def entailed(graph: DataFrame, schema: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The graph with the memberships that a schema implies.
+
+    A subject with a property is in the property's domain, the target of a link in its range, and a
+    member of a class is one of every class above it, however many levels.  ``schema`` is a graph with
+    ``subClassOf``, ``domain`` and ``range``; what is above each of its classes is found first, by a
+    semi-naive fixpoint over the few schema rows, so the facts are joined with it once.
+    """
+    def of(p: str) -> DataFrame:
+        return schema.where(col("p") == RDFS + p).select(col("s").alias("a"), col("o").alias("b"))
+
+    sub = of("subClassOf")
+    above = closure.reached(sub, sub, keep)
+    links = graph.where(col("p") != RDF_TYPE)
+    by_subject = links.join(of("domain").withColumnsRenamed({"a": "p", "b": "kind"}), "p").select("s", "kind")
+    by_target = links.where("is_iri").join(of("range").withColumnsRenamed({"a": "p", "b": "kind"}), "p").select(col("o").alias("s"), "kind")
+    direct = graph.where(col("p") == RDF_TYPE).select("s", col("o").alias("kind")).unionByName(by_subject).unionByName(by_target).distinct()
+    higher = direct.join(above.withColumnsRenamed({"a": "kind", "b": "base"}), "kind").select("s", col("base").alias("kind"))
+    members = direct.unionByName(higher).select(
+        "s", lit(RDF_TYPE).alias("p"), col("kind").alias("o"), lit(None).cast("string").alias("dtype"), lit(True).alias("is_iri")
+    )
+    return union_graphs(graph.select(*COLUMNS), members)

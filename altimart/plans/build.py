@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from altimart.operators.triples import union_graphs
 from altimart.plans import decisions, dimensions, facts, graph, staging
-from altimart.sources.sinks import materialised, write_model
+from altimart.sources.sinks import materialised, write_bucketed, write_model
 
 # written by ``publish``; staging models stay views
 MART_TABLES = (
@@ -25,6 +25,19 @@ MART_TABLES = (
     "decision_layer",
 )
 
+# the key by which a published mart is clustered where buckets are asked for
+CLUSTERED_BY = {
+    "dim_routes": "route_id",
+    "dim_customers": "customer_id",
+    "fct_flights": "flight_id",
+    "fct_bookings": "customer_id",
+    "fct_tickets": "customer_id",
+    "decision_layer": "entity_id",
+}
+
+# shared graphs are read by patterns that name predicates: a folder each
+LAYOUTS = {"graph": (("p",), ("p", "s")), "classified_graph": (("p",), ("p", "s"))}
+
 
 class Marts(Mapping[str, DataFrame]):
     def __init__(
@@ -46,7 +59,7 @@ class Marts(Mapping[str, DataFrame]):
         if name not in self._models:
             df = self._compose(name)
             if name in self.tables:
-                df = materialised(df, name)
+                df = materialised(df, name, *LAYOUTS.get(name, ()))
             self._models[name] = df
         return self._models[name]
 
@@ -70,11 +83,22 @@ class Marts(Mapping[str, DataFrame]):
         model = staging.MODELS[sheet]
         return model(self.sheets[sheet], as_of=self.as_of, strict=self.strict, totals=False)
 
-    def publish(self, folder: str) -> dict[str, DataFrame]:
-        """Full refresh of every mart below a folder; later marts read the written earlier ones."""
-        for name in MART_TABLES:
-            self._models[name] = write_model(self._compose(name), f"{folder}/{name}")
-        return {name: self._models[name] for name in MART_TABLES}
+    def publish(
+        self, folder: str, buckets: int | None = None, prefix: str = "", names: Iterable[str] = MART_TABLES
+    ) -> dict[str, DataFrame]:
+        """Full refresh of marts below a folder; later marts read the written earlier ones.
+
+        With ``buckets`` each mart is a catalog table, named with ``prefix``, in so many buckets of its
+        key in ``CLUSTERED_BY``: what joins or groups customers, or flights, then shuffles nothing.
+        """
+        wanted = [name for name in MART_TABLES if name in set(names)]
+        for name in wanted:
+            model, path = self._compose(name), f"{folder}/{name}"
+            if buckets is None:
+                self._models[name] = write_model(model, path)
+            else:
+                self._models[name] = write_bucketed(model, f"{prefix}{name}", path, CLUSTERED_BY[name], buckets)
+        return {name: self._models[name] for name in wanted}
 
 
 _BUILDERS = {

@@ -23,7 +23,7 @@ from altimart.functions.exact import (
     rounded_mean,
     sum_if,
 )
-from altimart.functions.tagging import has_any, keyword_category
+from altimart.functions.keywords import Keywords
 from altimart.operators.skew import lookup_join
 
 col = F.col
@@ -323,20 +323,24 @@ def fct_tickets(tickets: DataFrame, flights: DataFrame, customers: DataFrame) ->
         "urgency_level",
     )
     # tags are computed once per ticket, before the rows are shuffled
-    text = col("__text")
+    late, cancelled = ("retard",), ("annulé",)
+    words_ = Keywords(
+        late, cancelled, *V.COMPLAINT_KEYWORDS.values(), *[words for _, words in V.PRIMARY_COMPLAINT]
+    )
+    found = col("__found")
     tagged = tickets.select(
         "ticket_id", "customer_id", "flight_id", *ticket_columns,
-        F.lower("customer_comments").alias("__text"),
+        words_.found(F.lower("customer_comments")).alias("__found"),
     ).select(
         "*",
         *[
-            flag(has_any(text, words)).alias(f"has_{topic}_keyword")
+            flag(words_.any(found, words)).alias(f"has_{topic}_keyword")
             for topic, words in V.COMPLAINT_KEYWORDS.items()
         ],
-        keyword_category(text, V.PRIMARY_COMPLAINT).alias("primary_complaint_category"),
-        flag(F.contains(text, F.lit("retard"))).alias("__says_delay"),
-        flag(F.contains(text, F.lit("annulé"))).alias("__says_cancelled"),
-    ).drop("__text")
+        words_.category(found, V.PRIMARY_COMPLAINT).alias("primary_complaint_category"),
+        flag(words_.any(found, late)).alias("__says_delay"),
+        flag(words_.any(found, cancelled)).alias("__says_cancelled"),
+    ).drop("__found")
     df = lookup_join(tagged, flight, "flight_id")
     df = lookup_join(df, customers.select("customer_id", *profile), "customer_id")
     return df.select(

@@ -156,6 +156,7 @@ def schema_triples(spark: SparkSession, ns: str = NAMESPACE) -> DataFrame:
     for name, text in V.BASE_CLASSES.items():
         link(ns + name, kind, V.OWL + "Class")
         said(ns + name, text)
+        rows.append((ns + name, V.RDFS + "comment", V.BASE_COMMENTS[name], "@fr", False))
     for base, properties, rules, default in ENTITIES.values():
         for label in [*(r.name for r in rules), default]:
             link(ns + label, kind, V.OWL + "Class")

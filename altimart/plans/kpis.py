@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from altimart.operators.metrics import MetricDef, evaluate
+from altimart.operators.metrics import MetricDef, evaluate, evaluate_grains
 
 # FIXED VALUES: name, model, kind, measure
 KPIS = {
@@ -54,3 +54,19 @@ def overview(models: Mapping[str, DataFrame]) -> DataFrame:
         pairs = [F.struct(F.lit(m.name).alias("metric"), F.col(m.name).alias("value")) for m in defs]
         parts.append(evaluate(models, defs).select(F.inline(F.array(*pairs))))
     return reduce(DataFrame.unionByName, parts)
+
+
+def at_grains(models: Mapping[str, DataFrame], grains: Mapping[str, Sequence[Sequence[str]]]) -> DataFrame:
+    """Every KPI of the named models at each of their grains: one aggregate per model.
+
+    Rows (grain, member, metric, value); ``member`` is the text of a one-dimensional grain's value.
+    """
+    parts = []
+    for model, wanted in grains.items():
+        defs = [m for m in KPIS.values() if m.model == model]
+        rows = evaluate_grains(models, defs, wanted)
+        names = sorted({name for grain in wanted for name in grain})
+        member = F.coalesce(*[F.col(n).cast("string") for n in names]) if names else F.lit(None).cast("string")
+        pairs = [F.struct(F.lit(m.name).alias("metric"), F.col(m.name).cast("double").alias("value")) for m in defs]
+        parts.append(rows.select("grain", member.alias("member"), F.inline(F.array(*pairs))))
+    return reduce(DataFrame.unionByName, parts)

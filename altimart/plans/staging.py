@@ -15,6 +15,7 @@ from altimart import fixed_values as V
 from altimart.functions.clean import Raw, blank_to_null, flag
 from altimart.functions.dates import as_of_date, days_between, minute_boundaries, year_boundaries
 from altimart.functions.exact import exact_mean, exact_sum, percent, rounded
+from altimart.functions.keywords import Keywords
 from altimart.functions.tagging import (
     band_below,
     band_from,
@@ -27,6 +28,7 @@ from altimart.functions.tagging import (
 from altimart.operators.skew import with_group_totals
 
 col = F.col
+_CRITICAL = Keywords(V.CRITICAL_KEYWORDS)
 
 
 def _pass(df: DataFrame, first: dict[str, Column], then: dict[str, Column]) -> DataFrame:
@@ -301,7 +303,7 @@ def customer_service_tickets(raw: DataFrame, as_of=None, strict: bool = False) -
             "is_sla_breached": flag(days > 3) & resolved,
             "is_delay_related": flag(F.contains(col("_category"), F.lit("retard"))),
             "is_cancellation_related": flag(F.contains(col("_category"), F.lit("annulation"))),
-            "has_critical_keywords": flag(has_any(col("_comment"), V.CRITICAL_KEYWORDS)),
+            "has_critical_keywords": flag(_CRITICAL.any(_CRITICAL.found(col("_comment")), V.CRITICAL_KEYWORDS)),
             "is_id_missing": F.lit(False),
             "is_fk_missing": F.lit(False),
             "is_sentiment_invalid": _outside(score, -1, 1),

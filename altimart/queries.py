@@ -6,15 +6,17 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from altimart import fixed_values as V
 from altimart.operators import triples
 from altimart.plans import decisions, dimensions, facts, graph, kpis, staging, tools
 from altimart.plans.build import Marts
 from altimart.sources.fixtures import RawSheets
-from altimart.sources.readers import read_ntriples, read_sheet
-from altimart.sources.sinks import json_rows, materialised, ntriples_lines, shared_folder, write_ntriples
+from altimart.sources.graphs import write_by_predicate, write_subject_index
+from altimart.sources.readers import read_ntriples, read_sheet, register_views
+from altimart.sources.sinks import json_rows, kept, materialised, ntriples_lines, scratch, write_ntriples
 
 AS_OF = dt.date(2001, 6, 30)  # the driver's tables end in 2001
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,7 +95,7 @@ def _sheet(name: str, fmt: str) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         m = marts(spark, folder)
-        path = f"{shared_folder(spark)}/sheets-{uuid.uuid4().hex}/{name}.{fmt}"
+        path = f"{scratch(spark, 'sheets')}/{name}.{fmt}"
         m.sheets[name].write.options(header=True).format(fmt).save(path)
         return staging.MODELS[name](read_sheet(spark, name, path, fmt), as_of=AS_OF)
 
@@ -102,7 +104,7 @@ def _sheet(name: str, fmt: str) -> Query:
 
 def _triples_read_back(m: Marts) -> DataFrame:
     facts_ = m["route_triples"]
-    path = f"{shared_folder(facts_.sparkSession)}/triples-{uuid.uuid4().hex}"
+    path = scratch(facts_.sparkSession, "triples")
     write_ntriples(facts_, path)
     return read_ntriples(facts_.sparkSession, path)
 
@@ -127,6 +129,64 @@ def _same_as(m: Marts) -> DataFrame:
     return triples.same_as(facts_, mapping)
 
 
+def _same_as_closure(m: Marts) -> DataFrame:
+    """Every customer under two more names, in a cycle of three links."""
+    def named(prefix: str) -> Column:
+        return F.concat(F.lit(m.namespace + prefix), "customer_id")
+
+    steps = [("ext2-", "ext-"), ("ext-", ""), ("", "ext2-")]
+    pairs = F.array(*[F.struct(named(a).alias("local"), named(b).alias("external")) for a, b in steps])
+    links = m["stg_customers"].where("customer_id is not null").select(F.inline(pairs))
+    return triples.same_as_closure(m["customer_triples"], links, kept)
+
+
+def _members(m: Marts) -> DataFrame:
+    """Members of each class that the schema implies from untyped facts on routes and their labels."""
+    facts_ = triples.union_graphs(m["route_triples"], m["competitor_triples"]).where(F.col("p") != V.RDF_TYPE)
+    labels = graph.inferred(m["route_triples"], "route", m.namespace)
+    spark = facts_.sparkSession
+    whole = triples.entailed(triples.union_graphs(facts_, labels), graph.schema_triples(spark, m.namespace), kept)
+    typed = whole.where(F.col("p") == V.RDF_TYPE)
+    return typed.groupBy(triples.local_name(F.col("o")).alias("class")).agg(F.count(F.lit(1)).alias("members"))
+
+
+def _bucketed_customer_metrics(m: Marts) -> DataFrame:
+    """The graph's customer figures from marts in buckets of customers."""
+    spark = m["stg_customers"].sparkSession
+    names = ("dim_customers", "fct_bookings", "fct_tickets")
+    done = m.publish(scratch(spark, "marts"), buckets=8, prefix=f"run_{uuid.uuid4().hex}_", names=names)
+    return graph.customer_metrics(*[done[name] for name in names])
+
+
+def _by_predicate(m: Marts) -> DataFrame:
+    """A star pattern over a graph laid out by predicate."""
+    spark = m["stg_routes"].sparkSession
+    stored = write_by_predicate(m["route_triples"], scratch(spark, "predicates"))
+    wanted = {name: (m.namespace + name, V.ROUTE_PROPERTIES[name][0]) for name in ("hasLoadFactorPct", "hasNbCompetitors")}
+    rows = triples.star(stored, m.namespace + "Route", wanted)
+    return rows.select(triples.local_name(F.col("s")).alias("route_id"), *wanted)
+
+
+def _about_one(m: Marts) -> DataFrame:
+    """All facts on one customer, from a graph in ranges of subjects."""
+    index = write_subject_index(m["customer_triples"], scratch(m["stg_customers"].sparkSession, "subjects"))
+    return index.about(m.namespace + "C3")
+
+
+def _view(m: Marts) -> DataFrame:
+    """A staging model published as a view and asked by SQL."""
+    name = f"routes_{uuid.uuid4().hex}"
+    register_views({name: m["stg_routes"]})
+    return m["stg_routes"].sparkSession.sql(f"select route_id, route_type, distance_km from {name}")
+
+
+GRAINS = {
+    "fct_flights": [[], ["route_id"]],
+    "fct_bookings": [[], ["customer_segment"]],
+    "fct_tickets": [[], ["route_id"]],
+    "dim_customers": [[], ["customer_segment"]],
+}
+
 _FLAGS = decisions.FLAG_COLUMNS
 _AGGREGATES: dict[str, Callable[[Marts], DataFrame]] = {
     "competitors_per_route": lambda m: dimensions.competitor_totals(m.rows_only("competitor_context")),
@@ -185,6 +245,7 @@ QUERIES: dict[str, Query] = {
         for name, d in kpis.KPIS.items()
     },
     "kpi_overview": _over(kpis.overview, SHARED),
+    "kpi_grains": _over(lambda m: kpis.at_grains(m, GRAINS), SHARED),
     "q_get_global_kpis": _over(tools.get_global_kpis),
     "q_get_route_performance": _over(tools.get_route_performance),
     "q_get_routes_budget_recommendation": _over(tools.get_routes_budget_recommendation, SHARED),
@@ -236,6 +297,11 @@ QUERIES: dict[str, Query] = {
     "graph_explain": _over(_explain, SHARED_GRAPH),
     "graph_explain_trace": _over(_trace, SHARED_GRAPH),
     "graph_same_as": _over(_same_as, (*SHARED, "customer_triples")),
+    "graph_same_as_closure": _over(_same_as_closure, (*SHARED, "customer_triples")),
+    "graph_triples": _model("graph", SHARED),
+    "graph_members": _over(_members, (*SHARED, "route_triples")),
+    "graph_by_predicate": _over(_by_predicate, SHARED),
+    "graph_about_one": _over(_about_one, SHARED),
     "graph_explain_metrics": _over(_raw_metrics, SHARED_GRAPH),
     "graph_explain_labels": _over(_owl_labels, SHARED_GRAPH),
     "graph_explain_one": _over(
@@ -266,6 +332,8 @@ QUERIES: dict[str, Query] = {
     "sheet_bookings_csv": _sheet("bookings", "csv"),
     "sheet_flights_json": _sheet("flights", "json"),
     "table_dim_routes": _over(lambda m: materialised(m["dim_routes"], "dim_routes")),
+    "table_bucketed_customer_metrics": _over(_bucketed_customer_metrics, SHARED),
+    "view_stg_routes": _over(_view),
     "sink_json_rows": _over(
         lambda m: json_rows(m["stg_routes"].select("route_id", "route_type", "distance_km"))
     ),

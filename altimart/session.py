@@ -16,6 +16,7 @@ def local_session(cores: int | None = None) -> SparkSession:
         .appName("altimart")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config(map=SETTINGS)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         # single-file test tables arrive as one task; a shuffle join spreads the work over cores
         .config("spark.sql.autoBroadcastJoinThreshold", "1MB")
         # sizes measured at run time decide: broadcast small sides, hash instead of sort where

@@ -7,14 +7,20 @@ import functools
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_model(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), files_by: Sequence[str] = ()
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    files_by: Sequence[str] = (),
+    options: Mapping[str, str] = {},
 ) -> DataFrame:
     """Full refresh of a model as parquet; returns the written table.
 
@@ -23,11 +29,77 @@ def write_model(
     """
     if files_by:
         df = df.repartitionByRange(*files_by)
-    writer = df.write.mode("overwrite")
+    beside = f"{path}.new-{uuid.uuid4().hex}"
+    writer = df.write.options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    try:
+        writer.parquet(beside)
+    except BaseException:
+        remove(df.sparkSession, beside)
+        raise
+    _switch(df.sparkSession, beside, path)
+    return df.sparkSession.read.schema(_schema(df, partition_by)).parquet(path)
+
+
+def _schema(df: DataFrame, partition_by: Sequence[str]) -> T.StructType:
+    """Columns as they come back: partition columns last, all of them nullable."""
+    inside = [f for f in df.schema.fields if f.name not in partition_by]
+    kinds = {f.name: f for f in df.schema.fields}
+    return T.StructType([T.StructField(f.name, f.dataType) for f in [*inside, *[kinds[p] for p in partition_by]]])
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and a maker of paths on it."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """A folder and all in it; nothing where there is none."""
+    files, make = _files(spark, path)
+    files.delete(make(path), True)
+
+
+def _switch(spark: SparkSession, new: str, path: str) -> None:
+    """``new`` takes the place of ``path``, by two renames: a table is there before and after, whole.
+
+    If the second rename fails the old table is put back.
+    """
+    files, make = _files(spark, path)
+    old = f"{path}.old-{uuid.uuid4().hex}"
+    had = files.exists(make(path))
+    if had and not files.rename(make(path), make(old)):
+        raise OSError(f"cannot move {path} away; {new} holds the new table")
+    if not files.rename(make(new), make(path)):
+        if had:
+            files.rename(make(old), make(path))
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        files.delete(make(old), True)
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int) -> DataFrame:
+    """Full refresh of a model as a catalog table clustered and sorted by a key; returns the table.
+
+    Joins and groupings by the key read buckets side by side: tables with equally many buckets of the
+    same key meet without an exchange.  A row is in the bucket of its key, so a hot key makes a large
+    bucket; use it for keys such as customers whose largest share is bounded, and ``write_model`` with
+    ``lookup_join`` otherwise.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.bucketBy(buckets, key).sortBy(key).mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def register_bucketed(spark: SparkSession, name: str, path: str, schema: T.StructType, key: str, buckets: int) -> DataFrame:
+    """A table of ``write_bucketed`` made known to a session with another catalog."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(
+        f"create table if not exists {name} ({columns}) using parquet"
+        f" clustered by (`{key}`) sorted by (`{key}`) into {buckets} buckets location '{path}'"
+    )
+    return spark.table(name)
 
 
 def shared_folder(spark: SparkSession) -> str | None:
@@ -51,15 +123,54 @@ def _local_folder() -> str:
     return folder
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
-    """The same rows read back from a written table: cuts lineage, shares work.
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the application's folder below the shared one; the folder goes when the driver ends.
 
     On a cluster that names no shared folder this is an error.
     """
-    folder = shared_folder(df.sparkSession)
+    folder = shared_folder(spark)
     if folder is None:
-        raise ValueError(f"set spark.checkpoint.dir: table {name} needs a folder that all executors share")
-    return write_model(df, f"{folder}/{name}-{uuid.uuid4().hex}")
+        raise ValueError(f"set spark.checkpoint.dir: {name} needs a folder that all executors share")
+    own = f"{folder}/altimart-{spark.sparkContext.applicationId}"
+    _removed_at_exit(spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
+
+
+_RUN_FOLDERS: set[str] = set()
+
+
+def _removed_at_exit(spark: SparkSession, folder: str) -> None:
+    """Handlers run last in, first out: this one before the driver's JVM is shut down."""
+    if folder not in _RUN_FOLDERS:
+        _RUN_FOLDERS.add(folder)
+        files, make = _files(spark, folder)
+        atexit.register(lambda: files.delete(make(folder), True))
+
+
+def materialised(df: DataFrame, name: str, partition_by: Sequence[str] = (), files_by: Sequence[str] = ()) -> DataFrame:
+    """The same rows read back from a written table: cuts lineage, shares work."""
+    path = scratch(df.sparkSession, name)
+    return write_model(df, path, partition_by, files_by).select(*df.columns)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The same rows from a checkpoint in the shared folder: cuts lineage, for loops and small frames.
+
+    Spark removes a checkpoint when nothing refers to it any more, where the session has
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` set.  The rows are held on the executors' disks
+    until the checkpoint is written, so they are computed once and their real size is known.
+    """
+    spark, context = df.sparkSession, df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = shared_folder(spark)
+        if folder is None:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        context.setCheckpointDir(folder)
+    held = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        return held.select("*").checkpoint(eager=True)
+    finally:
+        held.unpersist()
 
 
 def _escaped(c: Column) -> Column:

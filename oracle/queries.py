@@ -6,7 +6,7 @@ import re
 
 from altimart import fixed_values as V
 from altimart.plans.kpis import KPIS
-from oracle.models import DECISIONS, GRAPH, MARTS, NS, STAGING
+from oracle.models import _G, DECISIONS, GRAPH, MARTS, NS, STAGING
 from oracle.sheets import RAW
 from oracle.sql import mean, n_if, quoted, rnd, share, total
 
@@ -46,6 +46,69 @@ def _overview() -> str:
     return " union all ".join(parts)
 
 
+def _grains() -> str:
+    parts = []
+    for m in KPIS.values():
+        by = KPI_GRAIN[m.model]
+        parts.append(f"select '{by}' as grain, {by} as member, '{m.name}' as metric, {m.name}::double as value from ({_kpi(m.name, by)})")
+        parts.append(f"select '' as grain, null as member, '{m.name}' as metric, {m.name}::double as value from ({_kpi(m.name, '1 as one')})")
+    return " union all ".join(parts)
+
+
+# FIXED VALUES: the schema, written out here apart from the library's lists
+_CLASSES = {
+    "Route": "Route aérienne", "Customer": "Client", "Airport": "Aéroport", "Airline": "Compagnie aérienne",
+}
+_COMMENTS = {
+    "Route": "Équivalent de la table main_marts.dim_routes.",
+    "Customer": "Équivalent de la table main_marts.dim_customers.",
+    "Airport": "Classe de contexte. Permet hasOrigin et hasDestination.",
+    "Airline": "Classe de contexte. Permet hasCompetitor.",
+}
+
+
+def _schema() -> str:
+    rdfs, owl = "http://www.w3.org/2000/01/rdf-schema#", "http://www.w3.org/2002/07/owl#"
+    rows = []
+
+    def link(s, p, o):
+        rows.append((NS + s, p, o, None, True))
+
+    def text(s, p, o):
+        rows.append((NS + s, rdfs + p, o, "@fr", False))
+
+    for name in _CLASSES:
+        link(name, V.RDF_TYPE, owl + "Class")
+        text(name, "label", _CLASSES[name])
+        text(name, "comment", _COMMENTS[name])
+    inferred = {"Route": [*list(_G)[:5], "StableRoute"], "Customer": [*list(_G)[5:], "StableCustomer"]}
+    for base, names in inferred.items():
+        for name in names:
+            link(name, V.RDF_TYPE, owl + "Class")
+            link(name, rdfs + "subClassOf", NS + base)
+            text(name, "label", V.CLASS_TEXTS[name])
+    for base, properties in (("Route", V.ROUTE_PROPERTIES), ("Customer", V.CUSTOMER_PROPERTIES)):
+        for name, (xsd, _) in properties.items():
+            link(name, V.RDF_TYPE, owl + "DatatypeProperty")
+            link(name, rdfs + "domain", NS + base)
+            link(name, rdfs + "range", V.XSD + xsd)
+    for name, base, target in (
+        ("hasOrigin", "Route", "Airport"), ("hasDestination", "Route", "Airport"), ("hasCompetitor", "Route", "Airline"),
+    ):
+        link(name, V.RDF_TYPE, owl + "ObjectProperty")
+        link(name, rdfs + "domain", NS + base)
+        link(name, rdfs + "range", NS + target)
+    for a, b in (
+        ("HighValueAtRisk", "StableCustomer"), ("GrowthOpportunity", "DemandUnprofitable"),
+        ("GrowthOpportunity", "StrategicUnderperformer"),
+    ):
+        link(a, owl + "disjointWith", NS + b)
+    values = ", ".join(
+        f"({quoted(s)}, {quoted(p)}, {quoted(o)}, {'null' if d is None else quoted(d)}, {str(i).lower()})" for s, p, o, d, i in rows
+    )
+    return f"select * from (values {values}) as t(s, p, o, dtype, is_iri)"
+
+
 KPI_GRAIN = {
     "fct_flights": "route_id",
     "fct_bookings": "customer_segment",
@@ -240,6 +303,7 @@ from stg_bookings where booking_status <> 'cancelled' group by all""",
     "customer_labels": "select customer_id, ontology_label from customer_decisions",
     **{f"kpi_{name}": _kpi(name, KPI_GRAIN[m.model]) for name, m in KPIS.items()},
     "kpi_overview": _overview(),
+    "kpi_grains": _grains(),
     "q_get_global_kpis": f"""
 select {rnd(total("total_revenue_usd"), 2)} as total_revenue, {rnd(mean("load_factor_pct"), 2)} as avg_load_factor,
   {rnd(mean("flight_margin_pct"), 2)} as avg_margin, count(flight_id) as nb_flights from fct_flights""",
@@ -306,6 +370,26 @@ select a.entity_id, a.label as class_1, b.label as class_2 from {_both_labels} a
     "graph_same_as": f"""
 select * from customer_triples union
 select '{NS}' || 'ext-' || substr(s, {len(NS) + 1}) as s, p, o, dtype, is_iri from customer_triples""",
+    "graph_same_as_closure": " union ".join(
+        ["select * from customer_triples"]
+        + [
+            f"select '{NS}{prefix}' || substr(s, {len(NS) + 1}) as s, p, o, dtype, is_iri from customer_triples"
+            for prefix in ("ext-", "ext2-")
+        ]
+    ),
+    "graph_triples": f"select * from ({_schema()}) union select * from route_triples union select * from customer_triples",
+    "graph_members": f"""
+select class, count(distinct s) as members from (
+  select 'Route' as class, s from route_triples union all select 'Route', s from competitor_triples where p = '{NS}hasCompetitor'
+  union all select 'Route', '{NS}' || entity_id from route_labels union all select label, '{NS}' || entity_id from route_labels
+  union all select 'Airport', o from route_triples where p in ('{NS}hasOrigin', '{NS}hasDestination')
+  union all select 'Airline', o from competitor_triples where p = '{NS}hasCompetitor'
+) where s not in (select o from route_triples where p in ('{NS}hasOrigin', '{NS}hasDestination')) or class = 'Airport'
+group by class""",
+    "graph_by_predicate": """
+select route_id, cast(cast(avg_load_factor_pct as decimal(38,6)) as double) as "hasLoadFactorPct",
+  cast(nb_competitors as bigint) as "hasNbCompetitors" from route_metrics where route_id is not null""",
+    "graph_about_one": f"select * from customer_triples where s = '{NS}C3'",
     "graph_explain_metrics": " union all ".join(_metric_rows(e) for e in ("route", "customer")),
     "graph_explain_labels": f"""
 select case when label in ({_route_names}) then 'route' else 'customer' end as entity_type, entity_id, label,
@@ -338,6 +422,8 @@ order by sentiment nulls last, entity_id limit 3""",
     "sheet_bookings_csv": "select * from stg_bookings",
     "sheet_flights_json": "select * from stg_flights",
     "table_dim_routes": "select * from dim_routes",
+    "table_bucketed_customer_metrics": "select * from customer_metrics",
+    "view_stg_routes": "select route_id, route_type, distance_km from stg_routes",
     "sink_json_rows": """
 select cast(to_json({'route_id': route_id, 'route_type': route_type, 'distance_km': distance_km}) as varchar) as json
 from stg_routes""",
