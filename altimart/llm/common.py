@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,11 +34,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows from a checkpoint in the shared folder."""
+    """The same rows from a checkpoint in the shared folder.
+
+    Spark computes a frame once to look at it and again to write its checkpoint.  It is held on the
+    executors' disks in between, so the second time reads what the first one made; should an executor
+    be lost, that part is computed again.  The checkpoint then knows its real size, where it would
+    otherwise have the product of the sizes of all that was ever joined into it.
+    """
     folder, context = shared_folder(df.sparkSession), df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        return held.select("*").checkpoint(eager=True)
+    finally:
+        held.unpersist()
 
 
 def total_of(df: DataFrame, value: Column) -> int:
@@ -73,3 +84,13 @@ def spread_join(
     dealt = left.join(hot, keys, "left").withColumn("__salt", F.pmod(F.xxhash64(dice), salts).cast("int"))
     repeated = right.join(hot, keys, "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     return dealt.drop("__salts").join(repeated.drop("__salts"), [*keys, "__salt"], how).drop("__salt")
+
+
+def split_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """The inner join of two frames that may both have many rows of a key.
+
+    It is on the keys and their hash, so that both sides are shuffled for it, whatever they are
+    partitioned by; adaptive execution then splits a hot key, which it does for no other join.
+    """
+    tag = F.xxhash64(*keys)
+    return left.withColumn("__tag", tag).join(right.withColumn("__tag", tag), [*keys, "__tag"]).drop("__tag")

@@ -3,26 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from altimart.llm.common import cut
+from altimart.operators.closure import classes
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) of every linked node; the label is the smallest node of its component.
-
-    ``links`` has columns a and b.  In each round a node takes the smallest label among its own and
-    its neighbours', then the label of its label, which halves distances; rounds end when no label
-    changes.  Minima are combined before they are shuffled.  Labels are cut to the checkpoint
-    folder each round; one number a round comes to the driver.
-    """
-    both = cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")))
-    while True:
-        near = both.join(labels.withColumnsRenamed({"node": "b"}), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        lower = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
-        above = labels.select(F.col("node").alias("low"), F.col("label").alias("lowest"))
-        moved = cut(lower.join(above, "low").select("node", "label", F.least("low", "lowest").alias("new")))
-        labels = moved.select("node", F.col("new").alias("label"))
-        if moved.where("new < label").isEmpty():
-            return labels
+    """(node, label) of every linked node; the label is the smallest node of its component."""
+    return classes(links, cut)
