@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from altimart.llm.common import cut, spread_join
+from altimart.llm.common import SHARES, cut, spread_join, total_of
 
 #: Deleted before texts are compared: space and the characters from tab to carriage return.
 BLANKS = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
@@ -66,6 +66,45 @@ def _chosen(choice: Column) -> Column:
     return F.when(rank > 0, (F.lit(_LAST).cast(_ID) - rank + 1).cast("long"))
 
 
+def bucket_of(rows: DataFrame, slots: DataFrame) -> DataFrame:
+    """``rows`` with the bucket that the directory names for their key: its first slot.
+
+    The directory has at most 2**20 slots, whatever the data, and is broadcast.  A key without a slot
+    has no bucket and its row is lost.
+    """
+    first = F.expr(f"shiftleft(shiftright(slot, {BITS} - depth), {BITS} - depth)")
+    named = slots.select("slot", first.alias("bucket"))
+    return rows.withColumn("slot", _slot(BITS)).join(F.broadcast(named), "slot").drop("slot")
+
+
+def build_index(keyed: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, DataFrame]:
+    """The index (bucket, key, chain, text_sha256, group_size, choice) and its directory.
+
+    Rows of ``keyed`` are (key, bare, choice).  The directory is built from the distinct keys.  Each
+    bucket goes to the task that owns it, which walks its rows in the order of key and text: a row
+    whose bytes are those of the row before is a copy, another one is the next entry of the key's chain.
+    A key with more than 1/2048 of all rows, and there are fewer than 2048 of these, is combined in each
+    input partition first, so its owner gets a row for each text of it.
+    """
+    counts = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")))
+    slots = directory(counts, capacity)
+    total = total_of(counts, F.sum("n"))
+    hot = F.broadcast(counts.where((F.col("n") * SHARES > total) & (F.col("n") > 1)).select("key"))
+    one = keyed.join(hot, "key", "left_anti").select("key", "bare", F.lit(1).cast("long").alias("n"), "choice")
+    many = keyed.join(hot, "key", "left_semi").groupBy("key", "bare").agg(
+        F.count(F.lit(1)).alias("n"), F.max("choice").alias("choice")
+    )
+    digest = F.sha2(F.col("bare").cast("binary"), 256).alias("text_sha256")
+    owned = bucket_of(one.unionByName(many.select("key", "bare", "n", "choice")), slots).repartition("bucket")
+    walk = W.partitionBy("bucket", "key").orderBy("bare")
+    other = ~F.col("bare").eqNullSafe(F.lag("bare").over(walk))
+    placed = owned.withColumn("other", other.cast("int")).withColumn("chain", F.sum("other").over(walk.rowsBetween(W.unboundedPreceding, 0)))
+    index = placed.groupBy("bucket", "key", "chain", digest).agg(
+        F.sum("n").alias("group_size"), F.max("choice").alias("choice")
+    )
+    return cut(index), slots
+
+
 def exact_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -77,53 +116,40 @@ def exact_duplicates(
 
     Columns named in ``carried`` follow, as each row has them.
 
-    1. Texts without blanks get a 64-bit hash key.  Copies are combined by key and by the text
-       itself, so bytes are compared; Spark combines them in each input partition first and a text
-       with a third of all rows is shuffled once per partition.
-    2. The distinct texts are entered in an extendible-hash index (see ``directory``) which goes to
-       the shared checkpoint folder.  Each owner task holds a range of keys; different texts with
-       one key are numbered along its chain.
-    3. Ids, keys and digests of all documents, no texts, look their entry up; hot keys are spread.
+    1. Texts without blanks get a 64-bit hash key.  The distinct keys make the directory of an
+       extendible-hash index (see ``directory``).
+    2. Texts go to the owners of the buckets that the directory names.  An owner compares bytes along
+       the chain of each key; the entries, one for each different text with its size and the row that
+       stays, go to the shared checkpoint folder (see ``build_index``).
+    3. Ids, keys and digests of all documents, no texts, ask the directory for their bucket and find
+       their entry along the chain there; hot keys are spread.
 
     The longest original text (code points), then the smallest id, stays.  NULL counts as empty;
     texts of blanks only equal the empty text.  A NULL id never wins over an id.  Of rows with equal
-    ids and texts one is kept.  An empty table gives no rows.
+    ids and texts one is kept.  Texts of any length are compared whole.  An empty table gives no rows.
     """
     bare = without_blanks(F.col(text_column))
     length = F.length(F.coalesce(F.col(text_column), F.lit("")))
     along = [F.col(c).alias(f"__with_{c}") for c in carried]
     rows = docs.select(F.col(id_column).cast("long").alias("__id"), length.alias("length"), bare.alias("bare"), *along)
-    keyed = rows.withColumn("key", F.xxhash64("bare"))
-    texts = keyed.groupBy("key", "bare").agg(
-        F.count(F.lit(1)).alias("group_size"), F.max(_choice(F.col("length"), F.col("__id"))).alias("choice")
-    )
-    entries = cut(
-        texts.select("key", F.sha2(F.col("bare").cast("binary"), 256).alias("text_sha256"), "group_size", "choice")
-    )
-    slots = directory(entries, capacity)
-    chain = F.row_number().over(W.partitionBy("key").orderBy("text_sha256"))
-    index = cut(
-        entries.withColumn("slot", _slot(BITS))
-        .join(slots, "slot")
-        .repartitionByRange("key")
-        .withColumn("chain", chain)
-        .withColumn("bucket", F.expr(f"shiftright(slot, {BITS} - depth)"))
-        .select("key", "text_sha256", "group_size", _chosen(F.col("choice")).alias("keep_id"), "bucket", "depth", "chain")
-    )
-    narrow = cut(
-        keyed.select(
-            "__id", "length", "key", F.sha2(F.col("bare").cast("binary"), 256).alias("text_sha256"),
-            *[f"__with_{c}" for c in carried],
-        )
+    keyed = rows.withColumn("key", F.xxhash64("bare")).withColumn("choice", _choice(F.col("length"), F.col("__id")))
+    index, slots = build_index(keyed.select("key", "bare", "choice"), capacity)
+
+    narrow = keyed.select(
+        "__id", "choice", "key", F.sha2(F.col("bare").cast("binary"), 256).alias("digest"),
+        *[f"__with_{c}" for c in carried],
     )
-    found = spread_join(narrow, index, ["key", "text_sha256"], F.struct("__id", "length"), "inner")
-    same = W.partitionBy("key", "__id", "text_sha256").orderBy(F.desc("length"))
-    first = F.row_number().over(same) == 1
-    return found.select(
+    narrow = cut(bucket_of(narrow, slots).withColumn("row", F.monotonically_increasing_id()))
+    entries = index.withColumnRenamed("choice", "best")
+    found = spread_join(narrow, entries, ["bucket", "key"], F.col("row"), "inner").where("digest = text_sha256")
+    # rows may repeat in id and text: the first of those that could stay does
+    winners = found.where("choice = best").groupBy("bucket", "key", "chain").agg(F.min("row").alias("row"))
+    judged = found.join(winners.select("row", F.lit(True).alias("wins")), "row", "left")
+    return judged.select(
         F.col("__id").alias(id_column),
-        "keep_id",
+        _chosen(F.col("best")).alias("keep_id"),
         "group_size",
-        (F.col("__id").eqNullSafe(F.col("keep_id")) & first).alias("kept"),
+        F.coalesce("wins", F.lit(False)).alias("kept"),
         "text_sha256",
         "bucket",
         "chain",
