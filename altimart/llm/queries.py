@@ -216,14 +216,18 @@ SQL = {
             union all
             select item_id, 'i', regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') from benchmark
         ),
+        widths as (select id, least(len(w), 5) as k from words where kind = 'i' and len(w) > 0),
         shingles as (
-            select distinct id, kind, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) as s
-            from words
+            select distinct id, kind, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as s
+            from words join widths using (id) where kind = 'i'
+            union all
+            select distinct id, kind, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) as s
+            from words, (select distinct k from widths) where kind = 'd'
         ),
         sizes as (select id, count(*) as q from shingles where kind = 'i' group by id),
         shared as (
             select d.id as doc_id, i.id as item_id, count(*) as n
-            from shingles d join shingles i on d.s = i.s and d.kind = 'd' and i.kind = 'i'
+            from shingles d join shingles i on d.s = i.s and d.k = i.k and d.kind = 'd' and i.kind = 'i'
             group by 1, 2
         )
         select doc_id, item_id, q as n_item_shingles, n as n_shared, n / q as containment
