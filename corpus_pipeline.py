@@ -9,14 +9,13 @@ like others.
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from altimart.llm import bpe, decontaminate, exact_dedup, langid, ngram_join
-from altimart.llm.common import cut, shared_folder, table
+from altimart.llm.common import cut, table
+from altimart.sources.sinks import scratch
 
 #: A document whose language is surer than this stays.
 SURE = 0.5
@@ -24,6 +23,13 @@ SURE = 0.5
 ROW = "__row"
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with underscores in front until no column has it."""
+    while name in columns:
+        name = f"_{name}"
+    return name
+
+
 def digest(columns: list[str]) -> Column:
     """SHA-256 of a whole row: rows share it only if they are equal in every column."""
     parts = []
@@ -40,18 +46,20 @@ def only(docs: DataFrame, contents: DataFrame) -> DataFrame:
     ``contents`` has one row (ROW, n, kept) per digest; n counts the rows that have it.  Equal rows
     are combined before they are shuffled.
     """
-    rows = docs.withColumn(ROW, digest(docs.columns))
-    single = rows.join(contents.where("not kept or n > 1").select(ROW), ROW, "left_anti")
-    several = rows.join(contents.where("kept and n > 1").select(ROW), ROW, "left_semi")
+    row = unused(ROW, docs.columns)
+    rows, contents = docs.withColumn(row, digest(docs.columns)), contents.withColumnRenamed(ROW, row)
+    single = rows.join(contents.where("not kept or n > 1").select(row), row, "left_anti")
+    several = rows.join(contents.where("kept and n > 1").select(row), row, "left_semi")
     return single.select(*docs.columns).unionByName(several.select(*docs.columns).distinct())
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter and those in which no language has half of the score."""
     model = langid.train(docs, F.lit(True))
-    found = langid.identify(docs.withColumnRenamed("score", "__score"), model)
-    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= SURE))
-    return kept.drop("lang_pred", "score").withColumnRenamed("__score", "score")
+    names = {"lang_name": unused("lang_pred", docs.columns), "score_name": unused("score", docs.columns)}
+    found = langid.identify(docs, model, **names)
+    kept = found.where((F.col(names["lang_name"]) != langid.UNKNOWN) & (F.col(names["score_name"]) >= SURE))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -85,9 +93,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold at least 80 % of the five-word shingles of a benchmark item."""
-    rows = docs.withColumn(ROW, digest(docs.columns))
-    found = decontaminate.contained_items(rows.select(ROW, "text"), table(spark, sf_dir, "benchmark"), id_column=ROW)
-    return rows.join(found.select(ROW).distinct(), ROW, "left_anti").select(*docs.columns)
+    row = unused(ROW, docs.columns)
+    rows = docs.withColumn(row, digest(docs.columns))
+    found = decontaminate.contained_items(rows.select(row, "text"), table(spark, sf_dir, "benchmark"), id_column=row)
+    return rows.join(found.select(row).distinct(), row, "left_anti").select(*docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -115,9 +124,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STAGES applied to the documents in turn, each written to the shared folder and read again."""
+    """STAGES applied to the documents in turn, each written to the shared folder and read again.
+
+    The folder is the application's own and goes when its driver ends.
+    """
     docs = table(spark, sf_dir, "documents")
-    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch(spark, "pipeline")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
