@@ -3,8 +3,9 @@
 Money and percentages arrive as doubles.  Adding doubles in a different order
 (another partitioning, a retried task) changes the last digits, so aggregates
 add decimals and go back to a double once, at the end.  A double becomes the
-decimal that its shortest text shows.  No value is passed over: one that a
-type cannot hold (too large, NaN, infinite) raises an error.
+decimal that its shortest text shows, rounded to ten decimals: what is below
+5e-11 counts as 0.  One that a type cannot hold (too large, NaN, infinite)
+raises an error.
 """
 
 from __future__ import annotations

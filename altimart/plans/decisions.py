@@ -151,29 +151,35 @@ def customer_decisions(customers: DataFrame, bookings: DataFrame, as_of=None) ->
     )
 
 
-def decision_layer(route_rows: DataFrame, customer_rows: DataFrame) -> DataFrame:
-    """Routes and customers in one shape: entity, label, five flags, five metrics, advice."""
+def _aligned(df: DataFrame, kind: str, key: str, title: Column, metrics: list[str]) -> DataFrame:
+    return df.select(
+        F.lit(kind).alias("decision_entity_type"),
+        col(key).alias("entity_id"),
+        title.alias("entity_label"),
+        "ontology_label",
+        *FLAG_COLUMNS,
+        *[col(m).cast("double").alias(f"metric_{i}") for i, m in enumerate(metrics, 1)],
+        "recommendation",
+    )
 
-    def aligned(df: DataFrame, kind: str, key: str, title: Column, metrics: list[str]):
-        return df.select(
-            F.lit(kind).alias("decision_entity_type"),
-            col(key).alias("entity_id"),
-            title.alias("entity_label"),
-            "ontology_label",
-            *FLAG_COLUMNS,
-            *[col(m).cast("double").alias(f"metric_{i}") for i, m in enumerate(metrics, 1)],
-            "recommendation",
-        )
 
-    routes = aligned(
+def route_layer(route_rows: DataFrame) -> DataFrame:
+    return _aligned(
         route_rows, "route", "route_id", col("route_key"),
         ["avg_load_factor_pct", "avg_margin_pct", "delay_rate_pct", "avg_sentiment_score",
          "total_revenue_usd"],
     )
-    customers = aligned(
+
+
+def customer_layer(customer_rows: DataFrame) -> DataFrame:
+    return _aligned(
         customer_rows, "customer", "customer_id",
         F.concat("first_name", F.lit(" "), "last_name"),
         ["total_revenue_usd", "ancillary_attach_rate_pct", "days_since_last_flight",
          "avg_sentiment_score", "total_miles"],
     )
-    return routes.unionByName(customers)
+
+
+def decision_layer(route_rows: DataFrame, customer_rows: DataFrame) -> DataFrame:
+    """Routes and customers in one shape: entity, label, five flags, five metrics, advice."""
+    return route_layer(route_rows).unionByName(customer_layer(customer_rows))

@@ -101,11 +101,10 @@ def compare_routes(m: Models, route_id_1: str, route_id_2: str) -> DataFrame:
 
 def get_high_value_at_risk_customers(m: Models, limit: int | None = None) -> DataFrame:
     """Unhappiest first when limited."""
-    df = m["decision_layer"].where(
-        (col("decision_entity_type") == "customer")
-        & (col("ontology_label") == V.CUSTOMER_LABELS["HighValueAtRisk"])
-    ).select("entity_id", "entity_label", "ontology_label", col("metric_4").alias("sentiment"),
-             "recommendation")
+    label = V.CUSTOMER_LABELS["HighValueAtRisk"]
+    df = decisions.customer_layer(m["customer_decisions"]).where(col("ontology_label") == label).select(
+        "entity_id", "entity_label", "ontology_label", col("metric_4").alias("sentiment"), "recommendation"
+    )
     if limit is None:
         return df
     return df.orderBy(col("sentiment").asc_nulls_last(), "entity_id").limit(limit)

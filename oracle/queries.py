@@ -3,13 +3,40 @@
 from __future__ import annotations
 
 import re
+from typing import NamedTuple
 
 from altimart import fixed_values as V
-from altimart.plans.kpis import KPIS
 from oracle.models import _G, DECISIONS, GRAPH, MARTS, NS, STAGING
 from oracle.sheets import RAW
 from oracle.sql import mean, n_if, quoted, rnd, share, total
 
+class _Kpi(NamedTuple):
+    name: str
+    model: str
+    kind: str
+    measure: str
+
+
+# FIXED VALUES: the metrics, written out here apart from the library's list
+KPIS = {
+    k.name: k
+    for k in (
+        _Kpi("load_factor", "fct_flights", "mean", "load_factor_pct"),
+        _Kpi("route_margin", "fct_flights", "sum", "flight_margin_usd"),
+        _Kpi("route_margin_pct", "fct_flights", "mean", "flight_margin_pct"),
+        _Kpi("yield", "fct_flights", "mean", "yield_usd_per_km"),
+        _Kpi("delay_rate", "fct_flights", "share", "is_delayed"),
+        _Kpi("cancellation_rate", "fct_flights", "share", "is_cancelled"),
+        _Kpi("ancillary_attach_rate", "fct_bookings", "share", "has_ancillary_purchase"),
+        _Kpi("repeat_booking_rate", "fct_bookings", "share", "is_repeat_customer"),
+        _Kpi("customer_sentiment_score", "fct_tickets", "mean", "sentiment_score"),
+        _Kpi("clv_revenue", "fct_bookings", "sum", "total_revenue_usd"),
+        _Kpi("clv_score", "dim_customers", "mean", "customer_value_score"),
+        _Kpi("rask", "fct_flights", "mean", "rask"),
+        _Kpi("cask", "fct_flights", "mean", "cask"),
+        _Kpi("loyalty_engagement_score", "dim_customers", "mean", "total_miles"),
+    )
+}
 VIEWS = RAW | STAGING | MARTS | DECISIONS | GRAPH
 _NAMES = re.compile(r"\b(" + "|".join(sorted(VIEWS, key=len, reverse=True)) + r")\b")
 
