@@ -101,6 +101,21 @@ def test_ngram_join(docs, rows, width, percent, frequent, monkeypatch):
     assert got == brute_components(rows, width, percent)
 
 
+@pytest.mark.parametrize("block", [1024, 7])
+def test_one_signature_of_many_different_texts(spark, monkeypatch, block):
+    """A passage that many texts share, which are alike only in a few pairs far apart in the order."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "FREQUENT", 5)
+    rng = random.Random(12)
+    shared = [f"s{i}" for i in range(70)]
+    own = [[f"o{i}x{k}" for k in range(25)] for i in range(120)]
+    texts = [shared + o for o in own] + [shared + o[:-1] + ["z"] for o in own[:30]] + [shared] * 3
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = sorted(tuple(r) for r in ngram_join.alike(frame(spark, rows)).collect())
+    assert got == brute_components(rows, 4, 85)
+
+
 def test_signatures_are_shared_by_all_alike():
     rng = random.Random(1)
     for _ in range(300):
@@ -139,21 +154,26 @@ def test_containment(spark, docs, rows):
     long = rows[188][1].split()
     items = [(1, " ".join(long[500:520])), (2, " ".join(long[900:940]).upper().replace(" ", ", ")), (3, "too short"), (4, None), (None, rows[8][1])]
     items += [(5, " ".join(long[50:70] + ["q"] + long[71:90])), (6, " ".join(rng.sample(long, 30)))]
+    items += [(7, long[3]), (8, " ".join(long[10:12])), (9, " ".join(long[20:24])), (10, long[20] + " nowhere"), (11, "?!")]
     tests = spark.createDataFrame(items, "item_id long, text string")
     got = {tuple(r) for r in decontaminate.contained_items(docs, tests).select("doc_id", "item_id", "n_item_shingles", "n_shared").collect()}
 
-    def runs(text):
-        w = "".join(c if c.isalnum() else " " for c in (text or "").lower()).split()
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    def split(text):
+        return "".join(c if c.isalnum() else " " for c in (text or "").lower()).split()
+
+    def runs(text, k):
+        w = split(text)
+        return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
 
     want = {}
     for i, text in rows:
         for item, wanted in items:
-            q = runs(wanted)
-            both = len(q & runs(text))
+            k = min(5, len(split(wanted)))
+            q = runs(wanted, k) if k else set()
+            both = len(q & runs(text, k))
             if item is not None and q and 100 * both >= 80 * len(q):
                 want[i, item] = max(want.get((i, item), (0, 0)), (len(q), both))
-    assert got == {(*k, *v) for k, v in want.items()} and {k[1] for k in want} >= {1, 2, 5}
+    assert got == {(*k, *v) for k, v in want.items()} and {k[1] for k in want} >= {1, 2, 5, 7, 8, 9}
 
 
 def test_substring(docs, rows):

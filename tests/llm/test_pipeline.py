@@ -87,3 +87,16 @@ def test_rows_without_an_id_are_judged_like_others(spark, tables):
     held = [(None, f"before {item} after"), (8, f"{item} at the start"), *clean]
     left = corpus_pipeline.decontaminate_benchmark(spark, documents(spark, held), TINY).collect()
     assert sorted([(r.doc_id, r.text) for r in left], key=str) == sorted(clean, key=str)
+
+
+def test_columns_of_any_name_stay(spark):
+    """Columns named like what the stages add come through, with all rows of different texts."""
+    texts = ["the cat sat on the mat " + f"and number{k} words of its own here " * 3 for k in range(6)] + ["½"]
+    rows = [(k, t, "en", "web", len(t), 1, 2.0, "r", "w") for k, t in enumerate(texts)]
+    schema = "doc_id long, text string, lang string, source string, n_chars int, lang_pred int, score double, __row string, word string"
+    docs = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        if name != "near_dedup":
+            done = stage(spark, docs, TINY)
+            assert done.columns == docs.columns
+            assert {r.doc_id for r in done.collect()} == set(range(7)) - ({6} if name == "language" else set())
