@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from altimart.llm.common import cut, spread_join
+from altimart.llm.common import cut, split_join, spread_join
 from altimart.llm.components import components
 from altimart.llm.routing import grouped, groups_for, joined, owners_for, owners_of, table_of
 from altimart.llm.text import Remembered, hash_memory, shingle_set, small
@@ -21,11 +23,17 @@ FREQUENT = 24
 #: Sets below this size have too few tokens for combinations.
 SINGLES_BELOW = 32
 #: Tokens of a frequent class that a prefix holds, about: sets the number of classes by set size.
-PER_CLASS = 8
+PER_CLASS = 3
 #: Bits of the parity sketch of a set.
 SKETCH = 512
-#: First nodes that a node is compared with before components are formed, at most.
-FIRSTS = 8
+_WORDS = SKETCH // 64
+#: Every signature names some of its nodes: the first ones after flipping these bits of all.  A node is
+#: compared with at most so many of those that its signatures name.
+FLIPS = (0,)
+#: Words of the sketch by which nodes are sorted to compare neighbours.
+SORTED_WORDS = (0, 1, 3, 4, 6, 7)
+#: Nodes of one signature that meet in one task, at most.
+BLOCK = 1024
 #: Signatures before one that are looked at to tell whether a pair was met already.
 EARLIER = 8
 _MIX, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(31)
@@ -232,6 +240,56 @@ def _verified(pairs: DataFrame, index: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _differ() -> Column:
+    """Bits in which the sketches s and t of a row differ."""
+    return sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"t{i}"))) for i in range(_WORDS)), F.lit(0))
+
+
+def _closest(signed: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b: each node with the closest, by sketch, of the nodes that its signatures name.
+
+    The named nodes are dealt by hash to as many sides as a signature names, and the closest of each
+    side is taken, so a node gives a few pairs at most.  Pairs that the sketches rule out are left out.
+    Minima are combined before they are shuffled.
+    """
+    flipped = [F.min(F.col("node").bitwiseXOR(F.lit(f))).bitwiseXOR(F.lit(f)) for f in FLIPS]
+    some = signed.groupBy("sig").agg(F.array_distinct(F.array(*flipped)).alias("some"), F.count(F.lit(1)).alias("held"))
+    named = some.where("held > 1").select("sig", F.explode("some").alias("one"))
+    met = split_join(signed.select("sig", "node"), named, ["sig"])
+    met = met.where("node <> one").select("node", "one").distinct()
+    names = {"node": "one", "size": "other_size"} | {f"s{i}": f"t{i}" for i in range(_WORDS)}
+    both = met.join(sketches, "node").join(sketches.withColumnsRenamed(names), "one")
+    near = both.select("node", "one", "size", "other_size", _differ().alias("differ")).where(
+        F.col("differ") * (100 + percent) <= (F.col("size") + F.col("other_size")) * (100 - percent)
+    )
+    side = F.pmod(F.xxhash64("one"), F.lit(len(FLIPS)))
+    best = near.groupBy("node", side.alias("side")).agg(F.min(F.struct("differ", "one"))["one"].alias("one"))
+    return best.select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
+
+
+def _neighbours(sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of nodes next to each other when all are sorted by a word of their sketch.
+
+    Sets that differ in few tokens often agree in a whole word.  Each of a few words gives every node
+    one pair at most; pairs that the sketches rule out are left out.  The sort is by ranges, and nodes at
+    the two sides of a range's end are not paired: other words, and the comparison across components,
+    are there for them.
+    """
+    names = ["node", "size", *[f"s{i}" for i in range(_WORDS)]]
+    befores = ["one", "other_size", *[f"t{i}" for i in range(_WORDS)]]
+    found = []
+    for word in SORTED_WORDS:
+        order = [f"s{word}", "node"]
+        placed = sketches.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+        inside = W.partitionBy("part").orderBy(*order)
+        both = placed.select(*names, *[F.lag(n).over(inside).alias(b) for n, b in zip(names, befores)])
+        near = both.select("node", "one", "size", "other_size", _differ().alias("differ")).where(
+            F.col("differ") * (100 + percent) <= (F.col("size") + F.col("other_size")) * (100 - percent)
+        )
+        found.append(near.select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")))
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
 def alike(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -257,12 +315,14 @@ def alike(
        its own than a similar set may lack is done: it links with nothing.
     3. The others get ``signatures``: rare tokens one by one, frequent ones in pairs, and go to the
        checkpoint folder with their sets.
-    4. A node is compared with the first nodes of its signatures, of these with eight that it meets
-       most often; this forms most of the components.  Where a signature still has
-       nodes of different components, every pair across components is compared: those whose parity
-       sketches differ in more bits than alike sets may differ in tokens are out, the others are
-       compared in full.  So no two nodes are left apart that link; links inside a component are not
-       listed one by one.
+    4. Every signature names a few of its nodes, and a node is compared with the closest of those
+       that its signatures name, by parity sketch, and with its neighbours in the order of some words
+       of the sketch; this forms most of the components.  Where a
+       signature still has nodes of different components, every pair across components is compared:
+       those whose parity sketches differ in more bits than alike sets may differ in tokens are out,
+       the others are compared in full.  The nodes of a signature are split into blocks, and pairs of
+       blocks meet in different tasks.  So no two nodes are left apart that link; links inside a
+       component are not listed one by one.
     """
     groups = groups_for(docs, text_column)
     texts = grouped(docs, id_column, text_column, groups)
@@ -274,31 +334,25 @@ def alike(
     )
     index = cut(_indexed(texts, nodes, owners_for(docs), width, percent))
     signed = cut(index.select("node", "n", F.posexplode("sigs").alias("pos", "sig")))
-    first = signed.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last")
-    pairs = spread_join(signed.drop("pos"), first.drop("last"), ["sig"], F.col("node"), "inner").where("a < node")
-    met = pairs.groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("times"))
-    side = F.pmod(F.xxhash64("a"), F.lit(FIRSTS))
-    best = [F.max_by(F.when(side == k, F.col("a")), F.when(side == k, F.col("times"))) for k in range(FIRSTS)]
-    tried = met.groupBy("b").agg(F.array_compact(F.array(*best)).alias("a"))
-    tried = cut(tried.select(F.explode("a").alias("a"), "b"))
+    sketches = index.select("node", F.col("n").alias("size"), *[F.col("sketch")[i].alias(f"s{i}") for i in range(_WORDS)])
+    tried = cut(_closest(signed, sketches, percent).unionByName(_neighbours(sketches, percent)).distinct())
     links = cut(_verified(tried, index, percent))
 
-    labels = components(links)
-    placed = signed.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_ = placed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    words = SKETCH // 64
-    sketches = index.select("node", "sigs", *[F.col("sketch")[i].alias(f"s{i}") for i in range(words)])
-    left = spread_join(placed, open_.select("sig"), ["sig"], F.col("node"), "inner").join(sketches, "node")
+    placed = signed.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_ = placed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("held")).where("low < high")
+    blocks = F.ceil(F.col("held") / BLOCK)
+    left = split_join(placed, open_.select("sig", blocks.alias("blocks")), ["sig"])
+    left = left.join(sketches.drop("size"), "node").join(index.select("node", "sigs"), "node")
     # a pair is passed over where both nodes have one of their last few signatures before this one in
     # common: it is met there, or at a still earlier one, and never passed over at its first
     before = F.slice("sigs", F.greatest(F.col("pos") + 1 - EARLIER, F.lit(1)), F.least("pos", F.lit(EARLIER)))
     left = left.withColumn("before", before).drop("sigs", "pos")
-    names = {"node": "b", "n": "m", "label": "other", "before": "earlier"} | {f"s{i}": f"t{i}" for i in range(words)}
-    right = left.withColumnsRenamed(names)
-    differ = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"t{i}"))) for i in range(words)), F.lit(0))
-    near = differ * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
+    names = {"node": "b", "n": "m", "label": "other", "before": "earlier"} | {f"s{i}": f"t{i}" for i in range(_WORDS)}
+    right = left.withColumnsRenamed(names).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
+    left = left.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).drop("blocks")
+    near = _differ() * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
     new = ~F.arrays_overlap("before", "earlier")
-    across = left.join(right, "sig").where((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")) & near & new)
+    across = left.join(right, ["sig", "block"]).where((F.col("node") < F.col("b")) & (F.col("label") != F.col("other")) & near & new)
     rest = across.select(F.col("node").alias("a"), "b").distinct().join(tried, ["a", "b"], "left_anti")
     labels = components(links.unionByName(_verified(rest, index, percent)))
 

@@ -309,6 +309,9 @@ def test_bpe_round_trip(docs, rows):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     done = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks).collect()
     assert sorted((r.doc_id, bytes(r.decoded).decode()) for r in done) == sorted((i, t or "") for i, t in rows)
+    one_pass = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
+    assert one_pass.columns == [*docs.columns, "ids", "decoded"]
+    assert sorted(map(repr, one_pass.collect())) == sorted(map(repr, done))
     with pytest.raises(ValueError, match="exists"):
         bpe.encode(docs, ranks, public_tokenizers.PATTERN, ids_column="sig")
 
