@@ -9,11 +9,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import tiktoken
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from altimart.llm.text import small
 
+_IDS = T.ArrayType(T.IntegerType())
 #: Texts above this many characters are cut into pieces of at least this length before encoding.
 PIECE = 1 << 16
 #: Blank runs from this length on are taken apart here: the library's engine steps back over a run one
@@ -95,7 +97,11 @@ def encode(
     narrow pass, nothing is shuffled.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    run = _encoder(ranks, pattern, text_column, ids_column)
+    return docs.mapInArrow(run, _plus(docs.schema, ids_column, _IDS))
 
+
+def _encoder(ranks: Broadcast, pattern: str, text_column: str, ids_column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = encoding(ranks.value, pattern)
         for batch in small(batches, text_column):
@@ -108,7 +114,7 @@ def encode(
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
             yield _with(batch, ids_column, lists)
 
-    return docs.mapInArrow(run, _plus(docs, ids_column, T.ArrayType(T.IntegerType())))
+    return run
 
 
 def decode(
@@ -120,7 +126,21 @@ def decode(
     bytes, an empty table no rows; a column named like the result is an error.
     """
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    return docs.mapInArrow(_decoder(ranks, ids_column, bytes_column), _plus(docs.schema, bytes_column, T.BinaryType()))
+
+
+def round_trip(
+    docs: DataFrame, ranks_path: str, pattern: str, text_column: str = "text", ids_column: str = "ids",
+    bytes_column: str = "decoded",
+) -> DataFrame:
+    """``decode(encode(docs))`` in one pass by one Python worker a task, with one copy of the ranks."""
+    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    encode_, decode_ = _encoder(ranks, pattern, text_column, ids_column), _decoder(ranks, ids_column, bytes_column)
+    schema = _plus(_plus(docs.schema, ids_column, _IDS), bytes_column, T.BinaryType())
+    return docs.mapInArrow(lambda batches: decode_(encode_(batches)), schema)
+
 
+def _decoder(ranks: Broadcast, ids_column: str, bytes_column: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = {rank: token for token, rank in ranks.value.items()}.__getitem__
         for batch in small(batches, ids_column, 1 << 20):
@@ -128,10 +148,10 @@ def decode(
             out = [b"".join(map(tokens, ids or ())) for ids in lists.to_pylist()]
             yield _with(batch, bytes_column, pa.array(out, pa.binary()))
 
-    return docs.mapInArrow(run, _plus(docs, bytes_column, T.BinaryType()))
+    return run
 
 
-def _plus(docs: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    if name in docs.columns:
+def _plus(schema: T.StructType, name: str, kind: T.DataType) -> T.StructType:
+    if name in schema.names:
         raise ValueError(f"column {name!r} exists; give the result another name")
-    return T.StructType([*docs.schema.fields, T.StructField(name, kind)])
+    return T.StructType([*schema.fields, T.StructField(name, kind)])

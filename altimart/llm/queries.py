@@ -53,7 +53,7 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    done = bpe.decode(bpe.encode(docs, ranks, pattern).drop("text"), ranks)
+    done = bpe.round_trip(docs, ranks, pattern)
     words = F.concat_ws(" ", F.col("ids").cast("array<string>"))
     return done.select(
         "doc_id",
