@@ -102,9 +102,9 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, and whether their bytes are the text's again."""
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
     text = F.coalesce("text", F.lit("")).cast("binary")
-    return bpe.decode(encoded, ranks).select(
+    done = bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), ranks, public_tokenizers.PATTERN)
+    return done.select(
         "doc_id", "lang", "source", "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         (F.col("decoded") == text).alias("round_trip"),
