@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 #: multiplied by a whole COUNT without losing any.
 AMOUNT = "decimal(27,10)"
 COUNT = "decimal(10,0)"
+#: The sum of AMOUNTs, and an AMOUNT times a COUNT.
+TOTAL = "decimal(38,10)"
 #: What is rounded is read to eight decimals first, which drops the noise of double arithmetic.
 READ = "decimal(38,8)"
 

@@ -130,8 +130,17 @@ _BUILDERS = {
     "route_decisions": lambda m: decisions.route_decisions(
         m["dim_routes"], m["fct_flights"], m["fct_tickets"]
     ),
-    "customer_decisions": lambda m: decisions.customer_decisions(
-        m["dim_customers"], m["fct_bookings"], m.as_of
+    # fct_bookings added up per customer, without its rows
+    "customer_bookings": lambda m: facts.customer_bookings(
+        m["stg_bookings"],
+        m["fct_flights"],
+        m["dim_customers"],
+        m["stg_ancillary_details"],
+        m.as_of,
+    ),
+    "customer_performance": lambda m: decisions.performance_of(m["customer_bookings"], m.as_of),
+    "customer_decisions": lambda m: decisions.decided_customers(
+        m["dim_customers"], m["customer_performance"]
     ),
     "decision_layer": lambda m: decisions.decision_layer(
         m["route_decisions"], m["customer_decisions"]
@@ -139,8 +148,8 @@ _BUILDERS = {
     "route_metrics": lambda m: graph.route_metrics(
         m["dim_routes"], m["fct_flights"], m["fct_tickets"]
     ),
-    "customer_metrics": lambda m: graph.customer_metrics(
-        m["dim_customers"], m["fct_bookings"], m["fct_tickets"]
+    "customer_metrics": lambda m: graph.customer_figures(
+        m["dim_customers"], m["customer_bookings"], m["fct_tickets"]
     ),
     "route_triples": lambda m: graph.route_triples(m["route_metrics"], m.namespace),
     "customer_triples": lambda m: graph.customer_triples(m["customer_metrics"], m.namespace),

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from altimart import fixed_values as V
 from altimart.functions.dates import as_of_date, days_between
-from altimart.functions.exact import count_if, exact_sum, percent, rounded_mean
+from altimart.functions.exact import count_if, exact_sum, percent, rounded, rounded_mean
 from altimart.operators.rules import Rule, advice, first_label, flags, rule
+from altimart.plans.facts import bookings_per_customer
 
 col = F.col
 FLAG_COLUMNS = ("flag_1", "flag_2", "flag_3", "flag_4", "flag_5")
@@ -104,17 +105,24 @@ def route_sentiment(tickets: DataFrame) -> DataFrame:
 
 def customer_performance(bookings: DataFrame, as_of=None) -> DataFrame:
     """Distinct bookings are counted by (customer, booking) first, so a hot customer is spread."""
-    revenue, n = col("total_revenue_usd"), F.count(F.lit(1))
-    with_extras = count_if(col("has_ancillary_purchase"))
-    return bookings.groupBy("customer_id").agg(
-        F.count_distinct("booking_id").alias("total_bookings"),
-        exact_sum(revenue).alias("total_revenue_usd"),
-        rounded_mean(revenue, 2).alias("avg_revenue_per_booking"),
-        exact_sum(col("ancillary_revenue_usd")).alias("total_ancillary_usd"),
-        F.max("flight_date").alias("last_flight_date"),
-        days_between(F.max("flight_date"), as_of_date(as_of)).alias("days_since_last_flight"),
-        with_extras.alias("nb_bookings_with_ancillary"),
-        percent(with_extras, n).alias("ancillary_attach_rate_pct"),
+    names = ("nb_rows", "nb_distinct_bookings", "revenue", "nb_revenues", "ancillary_revenue",
+             "nb_with_ancillary", "last_flight_date")
+    return performance_of(bookings_per_customer(bookings, names), as_of)
+
+
+def performance_of(bought: DataFrame, as_of=None) -> DataFrame:
+    """Performance from the figures of ``bookings_per_customer``."""
+    revenue, extras = col("revenue").cast("double"), col("nb_with_ancillary")
+    return bought.select(
+        "customer_id",
+        col("nb_distinct_bookings").alias("total_bookings"),
+        revenue.alias("total_revenue_usd"),
+        rounded(F.try_divide(revenue, col("nb_revenues")), 2).alias("avg_revenue_per_booking"),
+        col("ancillary_revenue").cast("double").alias("total_ancillary_usd"),
+        "last_flight_date",
+        days_between(col("last_flight_date"), as_of_date(as_of)).alias("days_since_last_flight"),
+        extras.alias("nb_bookings_with_ancillary"),
+        percent(extras, col("nb_rows")).alias("ancillary_attach_rate_pct"),
     )
 
 
@@ -145,7 +153,11 @@ def route_decisions(routes: DataFrame, flights: DataFrame, tickets: DataFrame) -
 
 def customer_decisions(customers: DataFrame, bookings: DataFrame, as_of=None) -> DataFrame:
     """Every customer with behaviour, flags, label and recommendation."""
-    df = customers.join(customer_performance(bookings, as_of), "customer_id", "left")
+    return decided_customers(customers, customer_performance(bookings, as_of))
+
+
+def decided_customers(customers: DataFrame, performance: DataFrame) -> DataFrame:
+    df = customers.join(performance, "customer_id", "left")
     return _decided(
         df, CUSTOMER_FLAG_RULES, CUSTOMER_LABEL_RULES, V.CUSTOMER_LABELS, V.CUSTOMER_ADVICE
     )

@@ -8,13 +8,18 @@ left join would; ``one_per_key`` reduces them to one first.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from altimart import fixed_values as V
 from altimart.functions.clean import flag
 from altimart.functions.dates import as_of_date, date_key, days_between
 from altimart.functions.exact import (
+    AMOUNT,
+    COUNT,
+    TOTAL,
     amount,
     count_if,
     exact_sum,
@@ -289,6 +294,82 @@ def fct_bookings(
     )
 
 
+def bookings_per_customer(bookings: DataFrame, names: Sequence[str] = ()) -> DataFrame:
+    """Figures per customer of the rows of ``fct_bookings``, all or those named; sums are decimals."""
+    figures = {
+        "nb_rows": lambda: F.count(F.lit(1)),
+        "nb_bookings": lambda: F.count("booking_id"),
+        "nb_distinct_bookings": lambda: F.count_distinct("booking_id"),
+        "revenue": lambda: F.sum(amount(col("total_revenue_usd"))),
+        "nb_revenues": lambda: F.count("total_revenue_usd"),
+        "ancillary_revenue": lambda: F.sum(amount(col("ancillary_revenue_usd"))),
+        "nb_with_ancillary": lambda: count_if(col("has_ancillary_purchase")),
+        "last_flight_date": lambda: F.max("flight_date"),
+        "days_since_last_booking": lambda: F.max("days_since_last_booking"),
+    }
+    return bookings.groupBy("customer_id").agg(*[figures[name]().alias(name) for name in names or figures])
+
+
+def customer_bookings(
+    bookings: DataFrame, flights: DataFrame, customers: DataFrame, ancillary: DataFrame, as_of=None
+) -> DataFrame:
+    """``bookings_per_customer`` of the fact, which is not made.
+
+    Each booking learns first whether it has extras and whether it is the first of its id and customer,
+    both where the rows of its id are, so that ids go no further.  Only then does it meet its flight,
+    reduced to a date and the number of its records, and customers are looked up once they are added up.
+    A flight or a customer with several records counts a booking as often, as the joins of the fact do.
+    """
+    rows = bookings.select("booking_id", "customer_id", "flight_id", "total_revenue_usd", "ancillary_revenue_usd")
+    sold = ancillary.select("booking_id").where(col("booking_id").isNotNull()).distinct()
+    same = Window.partitionBy("booking_id", "customer_id").orderBy("flight_id")
+    known = col("booking_id").isNotNull()
+    rows = rows.join(sold.withColumn("__sold", F.lit(True)), "booking_id", "left").select(
+        "customer_id", "flight_id", "total_revenue_usd", "ancillary_revenue_usd",
+        col("__sold").isNotNull().alias("__sold"),
+        known.alias("__known"),
+        (known & (F.row_number().over(same) == 1)).alias("__first"),
+    )
+    flight = flights.groupBy("flight_id").agg(
+        F.count(F.lit(1)).alias("__times"), F.max("flight_date").alias("flight_date")
+    )
+    rows = lookup_join(rows, flight, "flight_id").withColumn("__times", F.coalesce("__times", F.lit(1)))
+    times = col("__times")
+
+    def counted(condition):
+        return F.sum(F.when(condition, times).otherwise(F.lit(0)))
+
+    def total(name: str):
+        value = amount(col(name)).cast(TOTAL)
+        return F.sum(F.when(times == 1, value).otherwise((amount(col(name)) * times.cast(COUNT)).cast(TOTAL)))
+
+    bought = rows.groupBy("customer_id").agg(
+        F.sum(times).alias("nb_rows"),
+        counted(col("__known")).alias("nb_bookings"),
+        F.count_if(col("__first")).alias("nb_distinct_bookings"),
+        total("total_revenue_usd").alias("revenue"),
+        counted(col("total_revenue_usd").isNotNull()).alias("nb_revenues"),
+        total("ancillary_revenue_usd").alias("ancillary_revenue"),
+        counted(col("__sold")).alias("nb_with_ancillary"),
+        F.max("flight_date").alias("last_flight_date"),
+    )
+    copies = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("__copies"))
+    history = booking_history(bookings).select("customer_id", "last_booking_date")
+    per_customer = bought.join(copies, "customer_id", "left").join(history, "customer_id", "left")
+    several = F.coalesce("__copies", F.lit(1))
+    return per_customer.select(
+        "customer_id",
+        *[(col(n) * several).alias(n) for n in ("nb_rows", "nb_bookings")],
+        "nb_distinct_bookings",
+        (col("revenue").cast(AMOUNT) * several.cast(COUNT)).alias("revenue"),
+        (col("nb_revenues") * several).alias("nb_revenues"),
+        (col("ancillary_revenue").cast(AMOUNT) * several.cast(COUNT)).alias("ancillary_revenue"),
+        (col("nb_with_ancillary") * several).alias("nb_with_ancillary"),
+        "last_flight_date",
+        days_between(col("last_booking_date"), as_of_date(as_of)).alias("days_since_last_booking"),
+    )
+
+
 def fct_tickets(tickets: DataFrame, flights: DataFrame, customers: DataFrame) -> DataFrame:
     """One row per ticket with complaint tags and a check against what the flight did."""
     flight = flights.select(

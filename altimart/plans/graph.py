@@ -11,6 +11,7 @@ from altimart import fixed_values as V
 from altimart.functions.exact import AMOUNT, COUNT, amount, count_if, percent, rounded
 from altimart.operators import triples as T
 from altimart.operators.rules import Rule, all_labels, rule, trace
+from altimart.plans.facts import bookings_per_customer
 
 col, lit = F.col, F.lit
 NAMESPACE = "urn:altimart:ontology#"
@@ -106,16 +107,17 @@ def customer_metrics(
     sides are reduced to one row per customer and multiplied instead; pairs are
     never built.  ``fanout_safe`` leaves the multiplication out.
     """
+    names = ("nb_rows", "nb_bookings", "revenue", "nb_with_ancillary", "days_since_last_booking")
+    return customer_figures(customers, bookings_per_customer(bookings, names), tickets, fanout_safe)
+
+
+def customer_figures(
+    customers: DataFrame, bought: DataFrame, tickets: DataFrame, fanout_safe: bool = False
+) -> DataFrame:
+    """``customer_metrics`` from the figures of ``bookings_per_customer``."""
     keys = ("customer_id", "is_high_value", "is_at_risk", "avg_sentiment_score", "total_miles",
             "is_loyalty_member", "customer_segment")
     people = customers.groupBy(*keys).agg(F.count(lit(1)).alias("__copies"))
-    bought = bookings.groupBy("customer_id").agg(
-        F.count(lit(1)).alias("__rows"),
-        F.count("booking_id").alias("__bookings"),
-        F.sum(amount(col("total_revenue_usd"))).alias("__revenue"),
-        count_if(col("has_ancillary_purchase")).alias("__with_extras"),
-        F.max("days_since_last_booking").alias("__idle"),
-    )
     wrote = tickets.groupBy("customer_id").agg(
         F.count(lit(1)).alias("__tickets"),
         count_if(col("urgency_level") == "critical").alias("__critical"),
@@ -125,8 +127,8 @@ def customer_metrics(
         by_ticket = by_booking = lit(1).cast("long")
     else:
         by_ticket = F.greatest(_nz(col("__tickets")), lit(1)) * col("__copies")
-        by_booking = F.greatest(_nz(col("__rows")), lit(1)) * col("__copies")
-    revenue = (col("__revenue").cast(AMOUNT) * by_ticket.cast(COUNT)).cast("double")
+        by_booking = F.greatest(_nz(col("nb_rows")), lit(1)) * col("__copies")
+    revenue = (col("revenue").cast(AMOUNT) * by_ticket.cast(COUNT)).cast("double")
     return df.select(
         "customer_id",
         "is_high_value",
@@ -135,10 +137,10 @@ def customer_metrics(
         _nz(col("total_miles")).alias("total_miles"),
         _nz(col("is_loyalty_member"), False).alias("is_loyalty_member"),
         _nz(col("customer_segment"), "standard").alias("customer_segment"),
-        (_nz(col("__bookings")) * by_ticket).alias("total_bookings"),
+        (_nz(col("nb_bookings")) * by_ticket).alias("total_bookings"),
         _nz(revenue, 0.0).alias("total_revenue"),
-        _nz(percent(col("__with_extras"), col("__bookings")), 0.0).alias("ancillary_attach_rate"),
-        _nz(col("__idle"), V.NEVER_FLEW_DAYS).alias("days_since_last_flight"),
+        _nz(percent(col("nb_with_ancillary"), col("nb_bookings")), 0.0).alias("ancillary_attach_rate"),
+        _nz(col("days_since_last_booking"), V.NEVER_FLEW_DAYS).alias("days_since_last_flight"),
         (_nz(col("__critical")) * by_booking).alias("critical_tickets"),
     )
 
