@@ -4,7 +4,7 @@ from conftest import TINY
 from pyspark.sql import functions as F
 
 from altimart.plans import facts
-from altimart.queries import AS_OF, marts
+from altimart.queries import AS_OF, FLIGHT_COLUMNS, SHARED_ENTITIES, marts
 
 
 def _rows(df):
@@ -47,3 +47,24 @@ def test_booking_ids_are_shuffled_to_their_extras_only(spark):
     assert "hashpartitioning(customer_id" in plan and ", booking_id" not in "".join(
         line.split("hashpartitioning")[1] for line in plan.splitlines() if "Exchange hashpartitioning" in line
     )
+
+
+def test_items_sold_are_joined_once_and_flights_written_narrow(spark):
+    m = marts(spark, TINY, SHARED_ENTITIES)
+    want = marts(spark, TINY)
+    assert tuple(m["fct_flights"].columns) == FLIGHT_COLUMNS
+    files = [f for name in ("stg_bookings", "stg_ancillary_details") for f in m[name].inputFiles()]
+    assert files and all("/sold-" in f for f in files)
+    assert _rows(m["customer_metrics"]) == _rows(want["customer_metrics"])
+    assert _rows(m["stg_ancillary_details"]) == _rows(want["stg_ancillary_details"])
+
+
+def test_the_bucketed_figures_write_one_row_a_customer(spark, tmp_path):
+    m = marts(spark, TINY)
+    done = m.publish(str(tmp_path), buckets=4, prefix="g_", names=["customer_bookings"])
+    try:
+        table = done["customer_bookings"]
+        assert table.count() == table.select("customer_id").distinct().count()
+        assert _rows(table) == _rows(marts(spark, TINY)["customer_bookings"])
+    finally:
+        spark.sql("drop table if exists g_customer_bookings")
