@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from altimart.llm.routing import grouped, groups_for, joined, owners_for, owners_of, packed, table_of
-from altimart.llm.text import hash_memory, runs, word_hashes
+from altimart.llm.text import hashed_words, runs, runs_at
 
 WINDOW = 13
 _SENT = pa.schema([("owner", pa.int32()), ("grp", pa.int32()), ("low", pa.binary()), ("kind", pa.binary())])
@@ -15,6 +15,7 @@ _FOUND = pa.schema([("grp", pa.int32()), ("owner", pa.int32()), ("low", pa.binar
 _RUNS = pa.schema([("owner", pa.int32()), ("grp", pa.int32()), ("run", pa.binary()), ("check", pa.binary()), ("first", pa.binary()), ("last", pa.binary())])
 _FIRST = pa.schema([("grp", pa.int32()), ("run", pa.binary()), ("first", pa.binary())])
 _NEVER, _ALWAYS = np.iinfo(np.int64).max, np.iinfo(np.int64).min
+_LAST = np.uint64((1 << 22) - 1)
 _BLOCK, _TWICE = 1, 2  # what a group says of a hash: it starts a block; several documents have it
 
 
@@ -29,6 +30,13 @@ def _low(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
 
 
+def _marks(hashes: np.ndarray) -> np.ndarray:
+    """Which last bits some hash has: most others are told from these by one look, without a search."""
+    marks = np.zeros(int(_LAST) + 1, bool)
+    marks[hashes & _LAST] = True
+    return marks
+
+
 def repeated_passages(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -60,17 +68,17 @@ def repeated_passages(
     texts = grouped(docs, id_column, text_column, groups_for(docs, text_column))
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
-        memory, all_, starts, doc_of = hash_memory(), [], [], []
+        all_, starts, doc_of = [], [], []
         for n, (_, words) in enumerate(_texts(table)):
             if len(words) >= window:
-                rolling = runs(word_hashes(words, memory), block)
+                rolling = runs(hashed_words(words), block)
                 mark = np.zeros(len(rolling), np.uint8)
                 mark[::block] = _BLOCK
                 all_.append(rolling), starts.append(mark), doc_of.append(np.full(len(rolling), n, np.int32))
         if not all_:
             return table_of([], _SENT)
         hashes, mark, doc = np.concatenate(all_), np.concatenate(starts), np.concatenate(doc_of)
-        order = np.argsort(hashes, kind="stable")
+        order = np.argsort(hashes)
         hashes, mark, doc = hashes[order], mark[order], doc[order]
         at = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
         mark = np.bitwise_or.reduceat(mark, at)
@@ -82,7 +90,7 @@ def repeated_passages(
     def find(key: tuple, table: pa.Table) -> pa.Table:
         low, row = joined(table.column("low"), np.uint32)
         mark, _ = joined(table.column("kind"), np.uint8)
-        order = np.argsort(low, kind="stable")
+        order = np.argsort(low)
         low, row, mark = low[order], row[order], mark[order]
         if not len(low):
             return table_of([], _FOUND)
@@ -105,24 +113,29 @@ def repeated_passages(
         owner = np.array(table.column("owner").to_pylist(), np.uint64)
         return np.unique(owner[row] << np.uint64(32) | low.astype(np.uint64))
 
-    def candidates(hashes: np.ndarray, found: np.ndarray) -> np.ndarray:
+    def candidates(hashes: np.ndarray, found: np.ndarray, marks: np.ndarray) -> np.ndarray:
         """Starts of the runs that hold an anchor."""
         rolling = runs(hashes, block)
-        names = owners_of(rolling, owners).astype(np.uint64) << np.uint64(32) | _low(rolling).astype(np.uint64)
+        look = np.flatnonzero(marks[rolling & _LAST])
+        some = rolling[look]
+        names = owners_of(some, owners).astype(np.uint64) << np.uint64(32) | _low(some).astype(np.uint64)
         place = np.minimum(np.searchsorted(found, names), len(found) - 1)
-        sums = np.concatenate([[0], np.cumsum(found[place] == names)])
+        anchored = np.zeros(len(rolling), bool)
+        anchored[look[found[place] == names]] = True
+        sums = np.concatenate([[0], np.cumsum(anchored)])
         span = window - block + 1
         return np.flatnonzero(sums[span:] > sums[:-span])
 
     def extend(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
-        found, memory = anchors(replies), hash_memory()
+        found = anchors(replies)
+        marks = _marks(found)
         run_, check_, id_ = [], [], []
         for i, words in _texts(table) if len(found) else ():
             if len(words) >= window and i is not None:
-                hashes = word_hashes(words, memory)
-                starts = candidates(hashes, found)
-                run_.append(runs(hashes, window)[starts])
-                check_.append(_low(runs(hashes[::-1], window)[::-1][starts]))
+                hashes = hashed_words(words)
+                starts = candidates(hashes, found, marks)
+                run_.append(runs_at(hashes, window, starts))
+                check_.append(_low(runs_at(hashes, window, starts, backwards=True)))
                 id_.append(np.full(len(starts), i, np.int64))
         if not run_:
             return table_of([], _RUNS)
@@ -167,13 +180,15 @@ def repeated_passages(
         run, _ = joined(replies.column("run"), np.uint64)
         least, _ = joined(replies.column("first"), np.int64)
         order = np.argsort(run, kind="stable")
-        run, least, memory, rows = run[order], least[order], hash_memory(), []
+        run, least, rows = run[order], least[order], []
+        marks = _marks(run)
         for i, words in _texts(table):
             spans, kept = [], words
             if len(run) and len(words) >= window and i is not None:
-                own = runs(word_hashes(words, memory), window)
-                place = np.minimum(np.searchsorted(run, own), len(run) - 1)
-                starts = np.flatnonzero((run[place] == own) & (least[place] < i))
+                own = runs(hashed_words(words), window)
+                look = np.flatnonzero(marks[own & _LAST])
+                place = np.minimum(np.searchsorted(run, own[look]), len(run) - 1)
+                starts = look[(run[place] == own[look]) & (least[place] < i)]
                 change = np.zeros(len(words) + 1, np.int32)
                 np.add.at(change, starts, 1)
                 np.add.at(change, starts + window, -1)

@@ -53,6 +53,11 @@ def word_hashes(words: list[bytes], remembered: Remembered) -> np.ndarray:
     return np.fromiter(map(remembered.__getitem__, words), np.uint64, len(words))
 
 
+def hashed_words(words: list[bytes]) -> np.ndarray:
+    """The same hashes without a memory: cheaper where many words are met once or twice."""
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
+
+
 def hash_memory() -> Remembered:
     return Remembered(xxhash.xxh3_64_intdigest)
 
@@ -69,6 +74,15 @@ def runs(hashes: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def runs_at(hashes: np.ndarray, width: int, starts: np.ndarray, backwards: bool = False) -> np.ndarray:
+    """``runs`` at some places only, or those of the entries read ``backwards``."""
+    out = np.full(len(starts), width, np.uint64)
+    for i in reversed(range(width)) if backwards else range(width):
+        out = (out ^ hashes[starts + i]) * _MIX
+        out ^= out >> _SHIFT
+    return out
+
+
 def shingle_set(words: list[bytes], width: int, remembered: Remembered) -> np.ndarray:
     """Sorted hashes of the distinct ``width``-word shingles; of fewer words, of all as one."""
     if not words:

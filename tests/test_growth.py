@@ -1,8 +1,10 @@
 """Reductions that keep a query's shuffles small, against the plain joins they stand for."""
 
+import numpy as np
 from conftest import TINY
 from pyspark.sql import functions as F
 
+from altimart.llm import text
 from altimart.plans import facts
 from altimart.queries import AS_OF, FLIGHT_COLUMNS, SHARED_ENTITIES, marts
 
@@ -68,3 +70,14 @@ def test_the_bucketed_figures_write_one_row_a_customer(spark, tmp_path):
         assert _rows(table) == _rows(marts(spark, TINY)["customer_bookings"])
     finally:
         spark.sql("drop table if exists g_customer_bookings")
+
+
+def test_hashes_without_memory_and_at_places_equal_the_plain_ones():
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.integers(97, 100, rng.integers(1, 40)).astype(np.uint8)) for _ in range(500)]
+    hashes = text.hashed_words(words)
+    assert hashes.tolist() == text.word_hashes(words, text.hash_memory()).tolist()
+    assert len(text.hashed_words([])) == 0
+    at = np.array([0, 3, 4, 200, 487])
+    assert text.runs_at(hashes, 13, at).tolist() == text.runs(hashes, 13)[at].tolist()
+    assert text.runs_at(hashes, 13, at, backwards=True).tolist() == text.runs(hashes[::-1], 13)[::-1][at].tolist()
