@@ -5,6 +5,7 @@ from conftest import TINY
 from pyspark.sql import functions as F
 
 from altimart.llm import text
+from altimart.operators.skew import lookup_join
 from altimart.plans import facts
 from altimart.queries import AS_OF, FLIGHT_COLUMNS, SHARED_ENTITIES, marts
 
@@ -81,3 +82,15 @@ def test_hashes_without_memory_and_at_places_equal_the_plain_ones():
     at = np.array([0, 3, 4, 200, 487])
     assert text.runs_at(hashes, 13, at).tolist() == text.runs(hashes, 13)[at].tolist()
     assert text.runs_at(hashes, 13, at, backwards=True).tolist() == text.runs(hashes[::-1], 13)[::-1][at].tolist()
+
+
+def test_a_lookup_carries_a_bit_and_no_whole_hash(spark):
+    left = spark.range(1000).withColumn("key", F.concat(F.lit("k"), F.col("id") % 50))
+    right = spark.range(40).select(F.concat(F.lit("k"), "id").alias("key"), F.col("id").alias("value"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lookup_join(left, right, "key")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("as tinyint) AS __key_hash") == 2 and out.where("value is null").count() == 200
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
