@@ -107,6 +107,17 @@ class Marts(Mapping[str, DataFrame]):
         return {name: self._models[name] for name in wanted}
 
 
+def _customer_bookings(m: Marts, repeated: DataFrame | None = None) -> DataFrame:
+    inputs = (m["stg_bookings"], m["fct_flights"], m["dim_customers"], m["stg_ancillary_details"])
+    return facts.customer_bookings(*inputs, m.as_of, repeated)
+
+
+def _bought(m: Marts) -> DataFrame:
+    """``customer_bookings`` as the graph reads it: the written model, else one without dates of flights."""
+    written = "customer_bookings" in m._models or "customer_bookings" in m.tables
+    return m["customer_bookings"] if written else _customer_bookings(m, m["repeated_flights"])
+
+
 _BUILDERS = {
     "dim_date": lambda m: dimensions.dim_date(m["stg_flights"].sparkSession),
     "dim_routes": lambda m: dimensions.dim_routes(
@@ -136,14 +147,9 @@ _BUILDERS = {
     "route_decisions": lambda m: decisions.route_decisions(
         m["dim_routes"], m["fct_flights"], m["fct_tickets"]
     ),
+    "repeated_flights": lambda m: facts.repeated_flights(m["fct_flights"]),
     # fct_bookings added up per customer, without its rows
-    "customer_bookings": lambda m: facts.customer_bookings(
-        m["stg_bookings"],
-        m["fct_flights"],
-        m["dim_customers"],
-        m["stg_ancillary_details"],
-        m.as_of,
-    ),
+    "customer_bookings": _customer_bookings,
     "customer_performance": lambda m: decisions.performance_of(m["customer_bookings"], m.as_of),
     "customer_decisions": lambda m: decisions.decided_customers(
         m["dim_customers"], m["customer_performance"]
@@ -155,7 +161,10 @@ _BUILDERS = {
         m["dim_routes"], m["fct_flights"], m["fct_tickets"]
     ),
     "customer_metrics": lambda m: graph.customer_figures(
-        m["dim_customers"], m["customer_bookings"], m["fct_tickets"]
+        m["dim_customers"], _bought(m), m["fct_tickets"]
+    ),
+    "customer_metrics_fanout_safe": lambda m: graph.customer_figures(
+        m["dim_customers"], _bought(m), m["fct_tickets"], fanout_safe=True
     ),
     "route_triples": lambda m: graph.route_triples(m["route_metrics"], m.namespace),
     "customer_triples": lambda m: graph.customer_triples(m["customer_metrics"], m.namespace),

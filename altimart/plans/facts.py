@@ -20,9 +20,11 @@ from altimart.functions.exact import (
     AMOUNT,
     COUNT,
     TOTAL,
+    added,
     amount,
     count_if,
     exact_sum,
+    exact_total,
     percent,
     rounded,
     rounded_mean,
@@ -310,8 +312,19 @@ def bookings_per_customer(bookings: DataFrame, names: Sequence[str] = ()) -> Dat
     return bookings.groupBy("customer_id").agg(*[figures[name]().alias(name) for name in names or figures])
 
 
+def repeated_flights(flights: DataFrame) -> DataFrame:
+    """(flight_id, __times): the flights with several records, and how many."""
+    times = flights.groupBy("flight_id").agg(F.count(F.lit(1)).alias("__times"))
+    return times.where(col("flight_id").isNotNull() & (col("__times") > 1))
+
+
 def customer_bookings(
-    bookings: DataFrame, flights: DataFrame, customers: DataFrame, ancillary: DataFrame, as_of=None
+    bookings: DataFrame,
+    flights: DataFrame,
+    customers: DataFrame,
+    ancillary: DataFrame,
+    as_of=None,
+    repeated: DataFrame | None = None,
 ) -> DataFrame:
     """``bookings_per_customer`` of the fact, which is not made.
 
@@ -319,20 +332,30 @@ def customer_bookings(
     both where the rows of its id are, so that ids go no further.  Only then does it meet its flight,
     reduced to a date and the number of its records, and customers are looked up once they are added up.
     A flight or a customer with several records counts a booking as often, as the joins of the fact do.
+    The date of the last booking that was not cancelled is found in the same pass.
+
+    With ``repeated``, the ``repeated_flights``, bookings meet only these, as no other flight changes
+    how often they count.  They are few or none; written beforehand, a small table is broadcast and
+    bookings are not dealt to flights.  There is no ``last_flight_date`` then.
     """
-    rows = bookings.select("booking_id", "customer_id", "flight_id", "total_revenue_usd", "ancillary_revenue_usd")
+    made = F.when(col("booking_status") != "cancelled", col("booking_date")).alias("__made")
+    rows = bookings.select(
+        "booking_id", "customer_id", "flight_id", "total_revenue_usd", "ancillary_revenue_usd", made
+    )
     sold = ancillary.select("booking_id").where(col("booking_id").isNotNull()).distinct()
     same = Window.partitionBy("booking_id", "customer_id").orderBy("flight_id")
     known = col("booking_id").isNotNull()
     rows = rows.join(sold.withColumn("__sold", F.lit(True)), "booking_id", "left").select(
-        "customer_id", "flight_id", "total_revenue_usd", "ancillary_revenue_usd",
+        "customer_id", "flight_id", "total_revenue_usd", "ancillary_revenue_usd", "__made",
         col("__sold").isNotNull().alias("__sold"),
         known.alias("__known"),
         (known & (F.row_number().over(same) == 1)).alias("__first"),
     )
-    flight = flights.groupBy("flight_id").agg(
-        F.count(F.lit(1)).alias("__times"), F.max("flight_date").alias("flight_date")
-    )
+    flight = repeated
+    if repeated is None:
+        flight = flights.groupBy("flight_id").agg(
+            F.count(F.lit(1)).alias("__times"), F.max("flight_date").alias("flight_date")
+        )
     rows = lookup_join(rows, flight, "flight_id").withColumn("__times", F.coalesce("__times", F.lit(1)))
     times = col("__times")
 
@@ -340,8 +363,10 @@ def customer_bookings(
         return F.sum(F.when(condition, times).otherwise(F.lit(0)))
 
     def total(name: str):
-        value = amount(col(name)).cast(TOTAL)
-        return F.sum(F.when(times == 1, value).otherwise((amount(col(name)) * times.cast(COUNT)).cast(TOTAL)))
+        once = exact_total(F.when(times == 1, col(name)))
+        # next to no booking has a flight with several records
+        again = F.sum(F.when(times > 1, (amount(col(name)) * times.cast(COUNT)).cast(TOTAL)))
+        return F.when(F.count(name) > 0, added(once, again))
 
     bought = rows.groupBy("customer_id").agg(
         F.sum(times).alias("nb_rows"),
@@ -351,11 +376,13 @@ def customer_bookings(
         counted(col("total_revenue_usd").isNotNull()).alias("nb_revenues"),
         total("ancillary_revenue_usd").alias("ancillary_revenue"),
         counted(col("__sold")).alias("nb_with_ancillary"),
-        F.max("flight_date").alias("last_flight_date"),
+        *([F.max("flight_date").alias("last_flight_date")] if repeated is None else []),
+        F.max("__made").alias("__made"),
     )
     copies = customers.groupBy("customer_id").agg(F.count(F.lit(1)).alias("__copies"))
-    history = booking_history(bookings).select("customer_id", "last_booking_date")
-    per_customer = bought.join(copies, "customer_id", "left").join(history, "customer_id", "left")
+    per_customer = bought.join(copies, "customer_id", "left")
+    # bookings without a customer are nobody's history
+    last_made = F.when(col("customer_id").isNotNull(), col("__made"))
     several = F.coalesce("__copies", F.lit(1))
     return per_customer.select(
         "customer_id",
@@ -365,8 +392,8 @@ def customer_bookings(
         (col("nb_revenues") * several).alias("nb_revenues"),
         (col("ancillary_revenue").cast(AMOUNT) * several.cast(COUNT)).alias("ancillary_revenue"),
         (col("nb_with_ancillary") * several).alias("nb_with_ancillary"),
-        "last_flight_date",
-        days_between(col("last_booking_date"), as_of_date(as_of)).alias("days_since_last_booking"),
+        *(["last_flight_date"] if repeated is None else []),
+        days_between(last_made, as_of_date(as_of)).alias("days_since_last_booking"),
     )
 
 

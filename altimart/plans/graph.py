@@ -218,12 +218,15 @@ def customer_triples(metrics: DataFrame, ns: str = NAMESPACE) -> DataFrame:
     return T.union_graphs(facts)
 
 
-def _star(graph: DataFrame, entity: str, ns: str, marks: bool = False) -> DataFrame:
-    """One row per entity: with ``marks`` its rules' classes, else all its classes."""
-    base, properties, rules, _ = ENTITIES[entity]
-    labels = {f"__is_{r.name}": ns + r.name for r in rules} if marks else {}
-    columns = {name: (ns + name, kind) for name, (kind, _) in properties.items()}
-    return T.star(graph, ns + base, columns, labels, None if marks else ns)
+def _columns(entity: str, ns: str) -> dict[str, tuple[str, str]]:
+    return {name: (ns + name, kind) for name, (kind, _) in ENTITIES[entity][1].items()}
+
+
+def _infer(rows: DataFrame, entity: str) -> DataFrame:
+    """``rows``, with a mark ``__is_<class>`` for each of the rules, and the labels these infer."""
+    _, _, rules, default = ENTITIES[entity]
+    settled = F.greatest(*[col(f"__is_{r.name}") for r in rules])
+    return rows.withColumn("labels", all_labels(rules, default, settled, need_all=True))
 
 
 def labelled(graph: DataFrame, entity: str, ns: str = NAMESPACE) -> DataFrame:
@@ -231,12 +234,35 @@ def labelled(graph: DataFrame, entity: str, ns: str = NAMESPACE) -> DataFrame:
 
     An entity that already carries one of the rules' classes gets no default.
     """
-    _, _, rules, default = ENTITIES[entity]
-    rows = _star(graph, entity, ns, marks=True)
-    marks = [col(f"__is_{r.name}") for r in rules]
-    settled = F.greatest(*marks)
-    rows = rows.withColumn("labels", all_labels(rules, default, settled, need_all=True))
-    return rows.drop(*[f"__is_{r.name}" for r in rules])
+    base, _, rules, _ = ENTITIES[entity]
+    marks = {f"__is_{r.name}": ns + r.name for r in rules}
+    return _infer(T.star(graph, ns + base, _columns(entity, ns), marks), entity).drop(*marks)
+
+
+def _marked(graph: DataFrame, entity: str, ns: str, infer: bool) -> DataFrame:
+    """One row per entity of a classified graph, with a mark for each class a rule or the default gives.
+
+    With ``infer`` the graph is not classified yet.  The rows are those of ``classify(graph)``, which is
+    not made: a subject is brought together once and gets its labels there.
+    """
+    base, _, rules, default = ENTITIES[entity]
+    marks = {f"__is_{n}": ns + n for n in [*(r.name for r in rules), default]}
+    rows = T.star(graph, ns + base, _columns(entity, ns), marks)
+    if not infer:
+        return rows
+    found = {m: col(m) | F.array_contains("labels", lit(m.removeprefix("__is_"))) for m in marks}
+    return _infer(rows, entity).withColumns(found).drop("labels")
+
+
+def _typed(graph: DataFrame, entity: str, ns: str, infer: bool) -> DataFrame:
+    """One row per entity of a classified graph, with all its classes; ``infer`` as for ``_marked``."""
+    base, _, rules, _ = ENTITIES[entity]
+    if not infer:
+        return T.star(graph, ns + base, _columns(entity, ns), types_in=ns)
+    marks = {f"__is_{r.name}": ns + r.name for r in rules}
+    rows = _infer(T.star(graph, ns + base, _columns(entity, ns), marks, ns), entity)
+    inferred_ = F.transform("labels", lambda label: F.concat(lit(ns), label))
+    return rows.withColumn("types", F.array_union("types", inferred_)).drop("labels", *marks)
 
 
 def inferred(graph: DataFrame, entity: str, ns: str = NAMESPACE) -> DataFrame:
@@ -257,9 +283,12 @@ def classify(
     return T.union_graphs(graph, *[inferred(graph, entity, ns) for entity in entities])
 
 
-def rule_counts(graph: DataFrame, ns: str = NAMESPACE) -> DataFrame:
-    """How many entities each rule labels, rules without a match included."""
-    def per_entity(entity: str) -> DataFrame:
+def rule_counts(graph: DataFrame, ns: str = NAMESPACE, customers: DataFrame | None = None) -> DataFrame:
+    """How many entities each rule labels, rules without a match included.
+
+    ``customers`` is a graph of the customers, where ``graph`` has only the routes.
+    """
+    def per_entity(graph: DataFrame, entity: str) -> DataFrame:
         _, _, rules, default = ENTITIES[entity]
         names = [*(r.name for r in rules), default]
         hits = [F.count_if(F.array_contains("labels", n)).alias(n) for n in names]
@@ -269,18 +298,19 @@ def rule_counts(graph: DataFrame, ns: str = NAMESPACE) -> DataFrame:
             .select(lit(entity).alias("entity_type"), F.inline(F.array(*pairs)))
         )
 
-    return per_entity("route").unionByName(per_entity("customer"))
+    return per_entity(graph, "route").unionByName(per_entity(graph if customers is None else customers, "customer"))
 
 
 def classified(
-    graph: DataFrame, entity: str, label: str | None = None, ns: str = NAMESPACE
+    graph: DataFrame, entity: str, label: str | None = None, ns: str = NAMESPACE, infer: bool = False
 ) -> DataFrame:
     """(entity, label) rows of a classified graph with the entity's properties.
 
-    Without ``label``: every class but the base class; with it: that class.
+    Without ``label``: every class but the base class; with it: that class.  With ``infer`` the graph
+    is not classified yet and the rows are those of ``classify(graph)``.
     """
     base = ENTITIES[entity][0]
-    rows = _star(graph, entity, ns).withColumn("rdf_class", F.explode("types"))
+    rows = _typed(graph, entity, ns, infer).withColumn("rdf_class", F.explode("types"))
     wanted = col("rdf_class") != ns + base if label is None else col("rdf_class") == ns + label
     return rows.where(wanted).select(
         T.local_name(col("s")).alias("entity_id"),
@@ -347,19 +377,18 @@ def _reason(r: Rule) -> Column:
 
 
 def explanations(
-    graph: DataFrame, entity: str, entity_id: str | None = None, ns: str = NAMESPACE
+    graph: DataFrame, entity: str, entity_id: str | None = None, ns: str = NAMESPACE, infer: bool = False
 ) -> DataFrame:
     """Why an entity of a classified graph has its labels; all entities without ``entity_id``.
 
     ``reasoning`` maps each label to its text, ``raw_metrics`` each property to
-    its text, ``trace`` lists every test of the labels' rules.
+    its text, ``trace`` lists every test of the labels' rules.  With ``infer`` the
+    graph is not classified yet and the rows are those of ``classify(graph)``.
     """
-    base, properties, rules, default = ENTITIES[entity]
+    _, properties, rules, default = ENTITIES[entity]
     if entity_id is not None:
         graph = graph.where(col("s") == ns + entity_id)
-    names = [*(r.name for r in rules), default]
-    columns = {name: (ns + name, kind) for name, (kind, _) in properties.items()}
-    rows = T.star(graph, ns + base, columns, {f"__is_{n}": ns + n for n in names})
+    rows = _marked(graph, entity, ns, infer)
 
     def per_label(make, base_case: Column) -> Column:
         cases = [F.when(col(f"__is_{r.name}"), make(r)) for r in rules]

@@ -139,9 +139,10 @@ def get_unstructured_insights(m: Models, category: str | None = None) -> DataFra
     )
 
 
-def get_owl_route_classification(g: DataFrame, ns: str = NAMESPACE) -> DataFrame:
+def get_owl_route_classification(g: DataFrame, ns: str = NAMESPACE, infer: bool = False) -> DataFrame:
+    """``infer`` here and below: the graph is not classified yet, labels are inferred on the way."""
     return (
-        graph.classified(g, "route", ns=ns)
+        graph.classified(g, "route", ns=ns, infer=infer)
         .where(col("hasRouteKey").isNotNull() & col("hasLoadFactorPct").isNotNull()
                & col("hasMarginPct").isNotNull())
         .select(
@@ -157,10 +158,10 @@ def get_owl_route_classification(g: DataFrame, ns: str = NAMESPACE) -> DataFrame
 
 
 def get_owl_customer_classification(
-    g: DataFrame, label: str | None = None, limit: int | None = None, ns: str = NAMESPACE
+    g: DataFrame, label: str | None = None, limit: int | None = None, ns: str = NAMESPACE, infer: bool = False
 ) -> DataFrame:
     df = (
-        graph.classified(g, "customer", label, ns)
+        graph.classified(g, "customer", label, ns, infer)
         .where(col("hasCustomerKey").isNotNull() & col("hasSentimentScore").isNotNull()
                & col("hasTotalMiles").isNotNull() & col("hasDaysSinceLastFlight").isNotNull())
         .select(
@@ -177,18 +178,18 @@ def get_owl_customer_classification(
 
 
 def explain_why_classified(
-    g: DataFrame, entity_id: str, entity_type: str = "route", ns: str = NAMESPACE
+    g: DataFrame, entity_id: str, entity_type: str = "route", ns: str = NAMESPACE, infer: bool = False
 ) -> DataFrame:
-    return graph.explanations(g, entity_type, entity_id, ns)
+    return graph.explanations(g, entity_type, entity_id, ns, infer)
 
 
-def _routes_vs_customers(g: DataFrame, ns: str, worst: int) -> DataFrame:
+def _routes_vs_customers(routes_of: DataFrame, customers_of: DataFrame, ns: str, worst: int, infer: bool) -> DataFrame:
     """Strategic underperformers beside the unhappiest high-value customers at risk."""
-    routes = graph.classified(g, "route", "StrategicUnderperformer", ns).where(
+    routes = graph.classified(routes_of, "route", "StrategicUnderperformer", ns, infer).where(
         col("hasRouteKey").isNotNull()
     )
     customers = (
-        graph.classified(g, "customer", "HighValueAtRisk", ns)
+        graph.classified(customers_of, "customer", "HighValueAtRisk", ns, infer)
         .where(col("hasSentimentScore").isNotNull() & col("hasDaysSinceLastFlight").isNotNull())
         .orderBy("hasSentimentScore", "entity_id")
         .limit(worst)
@@ -212,8 +213,14 @@ def _routes_vs_customers(g: DataFrame, ns: str, worst: int) -> DataFrame:
 
 
 def owl_cross_query(
-    g: DataFrame, question_type: str = "routes_vs_customers", ns: str = NAMESPACE, worst: int = 10
+    g: DataFrame,
+    question_type: str = "routes_vs_customers",
+    ns: str = NAMESPACE,
+    worst: int = 10,
+    customers: DataFrame | None = None,
+    infer: bool = False,
 ) -> DataFrame:
+    """``customers`` is a graph of the customers, where ``g`` has only the routes; ``infer``: not classified yet."""
     if question_type != "routes_vs_customers":
         raise ValueError(f"unknown question type {question_type!r}")
-    return _routes_vs_customers(g, ns, worst)
+    return _routes_vs_customers(g, g if customers is None else customers, ns, worst, infer)
