@@ -20,23 +20,25 @@ def classes(links: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFra
       are from the link), and
     * the label of its label replaces its label, which halves the depth of trees.
 
-    Rounds, a logarithm of the longest chain in practice, end when no label changes.  All minima are
-    combined before they are shuffled, so a node with a third of all links and a label of a third of
-    all nodes are reduced where they are.  One bit a round comes to the driver.
+    Rounds, a logarithm of the longest chain in practice, end when both ends of every link have one label,
+    which is seen before trees are hooked: classes whose smallest node is linked to all others take no
+    round at all.  All minima are combined before they are shuffled, so a node with a third of all links
+    and a label of a third of all nodes are reduced where they are.  One bit a round comes to the driver.
     """
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = keep(both.where("a is not null and b is not null").distinct())
     labels = keep(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")))
     while True:
-        near = both.join(labels.withColumnsRenamed({"node": "b"}), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        seen = labels.join(near, "node")
+        near = both.join(labels.withColumnsRenamed({"node": "b"}), "b").groupBy(F.col("a").alias("node")).agg(
+            F.min("label").alias("near"), F.max("label").alias("far")
+        )
+        seen = keep(labels.join(near, "node"))
+        if seen.where("near <> label or far <> label").isEmpty():
+            return labels
         hooked = seen.groupBy(F.col("label").alias("node")).agg(F.min("near").alias("hooked"))
-        lower = seen.join(hooked, "node", "left").select("node", "label", F.least("label", "near", "hooked").alias("low"))
+        lower = seen.join(hooked, "node", "left").select("node", F.least("label", "near", "hooked").alias("low"))
         above = lower.select(F.col("node").alias("low"), F.col("low").alias("lowest"))
-        moved = keep(lower.join(above, "low").select("node", "label", F.least("low", "lowest").alias("new")))
-        labels = moved.select("node", F.col("new").alias("label"))
-        if moved.where("new < label").isEmpty():
-            return labels
+        labels = keep(lower.join(above, "low").select("node", F.least("low", "lowest").alias("label")))
 
 
 def reached(start: DataFrame, steps: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -182,7 +182,9 @@ def canonical(graph: DataFrame, links: DataFrame, keep: Callable[[DataFrame], Da
 
 
 def _on_label(graph: DataFrame, classes: DataFrame) -> DataFrame:
-    return graph.join(classes.withColumnRenamed("node", "s"), "s").select("label", *COLUMNS[1:]).distinct()
+    # dealt by label: the facts of a class are told apart, and met by its nodes, where they are
+    found = graph.join(classes.withColumnRenamed("node", "s"), "s").select("label", *COLUMNS[1:])
+    return found.repartition("label").distinct()
 
 
 def entailed(graph: DataFrame, schema: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Labels inferred on the way, bookings that meet repeated flights only, sums of cents."""
+"""Labels inferred on the way, bookings that meet repeated flights only, sums of cents, closures of stars."""
 
 import random
 
@@ -6,6 +6,7 @@ from conftest import TINY
 from pyspark.sql import functions as F
 
 from altimart.functions import exact
+from altimart.operators import closure
 from altimart.operators import triples as T
 from altimart.plans import facts, graph, tools
 from altimart.queries import AS_OF, QUERIES, SHARED_ENTITIES, marts
@@ -75,3 +76,11 @@ def test_sums_and_rounding_without_decimals_equal_those_with(spark):
     totals = df.groupBy("g").agg(exact.exact_total(F.col("v")).alias("new"), F.sum(exact.amount(F.col("v"))).alias("old"))
     assert totals.where("not (new <=> old)").count() == 0
     assert df.where("v is null").agg(exact.exact_sum(F.col("v"))).first()[0] is None
+
+
+def test_a_class_around_its_smallest_node_takes_no_round(spark):
+    frames = []
+    links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "e"), ("e", "e")], "a string, b string")
+    found = closure.classes(links, lambda df: frames.append(1) or df.localCheckpoint())
+    assert sorted(map(tuple, found.collect())) == [("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "d")]
+    assert len(frames) == 3  # links, labels and one look at them
