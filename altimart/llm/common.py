@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 
 from pyspark import StorageLevel
@@ -51,6 +52,16 @@ def cut(df: DataFrame) -> DataFrame:
         held.unpersist()
 
 
+def let_go(spark: SparkSession) -> None:
+    """Shuffle files of frames that nothing refers to any more go now.
+
+    Spark removes them once the driver's JVM has collected such frames, which on a driver with memory
+    to spare is long after, while they take disk on every executor.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def total_of(df: DataFrame, value: Column) -> int:
     """One number over all rows; 0 for an empty table."""
     return df.agg(F.coalesce(value, F.lit(0)).alias("total")).first()["total"]

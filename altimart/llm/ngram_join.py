@@ -13,10 +13,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from altimart.llm.common import cut, split_join, spread_join
+from altimart.llm.common import cut, let_go, split_join, spread_join
 from altimart.llm.components import components
 from altimart.llm.routing import grouped, groups_for, joined, owners_for, owners_of, table_of
-from altimart.llm.text import Remembered, hash_memory, shingle_set, small
+from altimart.llm.text import Remembered, distinct, hash_memory, shingle_set, small
+from altimart.sources.sinks import materialised
 
 #: A token in more sets than this is frequent and is indexed in combinations of two.
 FREQUENT = 24
@@ -54,7 +55,7 @@ def _names(tokens: np.ndarray, owners: int) -> np.ndarray:
     Two tokens with one name only make a name look more frequent; results are verified.
     """
     low = tokens & np.uint64((1 << 24) - 1)
-    return np.unique(owners_of(tokens, owners).astype(np.uint64) << _BITS | low)
+    return distinct(owners_of(tokens, owners).astype(np.uint64) << _BITS | low)
 
 
 def _three_bytes(names: np.ndarray) -> bytes:
@@ -107,7 +108,7 @@ def signatures(names: np.ndarray, kinds: np.ndarray, n: int, percent: int) -> np
                 tokens = frequent[:end][of[:end] == c]
                 i, j = np.triu_indices(len(tokens), 1)
                 out.append(_mixed(tokens[i], tokens[j], np.uint64(band)))
-    return np.unique(np.concatenate(out))
+    return distinct(np.concatenate(out))
 
 
 def parity(tokens: np.ndarray) -> np.ndarray:
@@ -332,7 +333,10 @@ def alike(
         sets.where("n > 0").groupBy("sig").agg(F.min("grp").alias("grp"), F.min("id").alias("least"))
         .withColumn("node", F.monotonically_increasing_id())
     )
-    index = cut(_indexed(texts, nodes, owners_for(docs), width, percent))
+    let_go(docs.sparkSession)  # texts are about to be shuffled
+    # the largest frame by far: written once, where a checkpoint would lie beside the held rows it is made of
+    index = materialised(_indexed(texts, nodes, owners_for(docs), width, percent), "sets")
+    let_go(docs.sparkSession)  # and have been
     signed = cut(index.select("node", "n", F.posexplode("sigs").alias("pos", "sig")))
     sketches = index.select("node", F.col("n").alias("size"), *[F.col("sketch")[i].alias(f"s{i}") for i in range(_WORDS)])
     tried = cut(_closest(signed, sketches, percent).unionByName(_neighbours(sketches, percent)).distinct())

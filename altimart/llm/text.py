@@ -83,8 +83,18 @@ def runs_at(hashes: np.ndarray, width: int, starts: np.ndarray, backwards: bool
     return out
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """``np.unique`` of numbers by sorting them, which takes a tenth of the time of its hashing."""
+    if len(values) < 2:
+        return values.copy()
+    ordered = np.sort(values)
+    first = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return ordered[first]
+
+
 def shingle_set(words: list[bytes], width: int, remembered: Remembered) -> np.ndarray:
     """Sorted hashes of the distinct ``width``-word shingles; of fewer words, of all as one."""
     if not words:
         return np.zeros(0, np.uint64)
-    return np.unique(runs(word_hashes(words, remembered), min(width, len(words))))
+    return distinct(runs(word_hashes(words, remembered), min(width, len(words))))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from altimart.llm import bpe, decontaminate, exact_dedup, langid, ngram_join
-from altimart.llm.common import cut, table
+from altimart.llm.common import cut, let_go, table
 from altimart.sources.sinks import scratch
 
 #: A document whose language is surer than this stays.
@@ -70,6 +70,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     wins = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     rank = F.when(wins, F.struct(F.coalesce("length", F.lit(0)).alias("length"), ROW)).alias("rank")
     contents = cut(found.groupBy("text_sha256", rank, ROW).agg(F.count(F.lit(1)).alias("n")))
+    let_go(spark)
     best = contents.groupBy("text_sha256").agg(F.max("rank")[ROW].alias(ROW)).select(ROW, F.lit(True).alias("kept"))
     return only(docs, contents.join(best, ROW, "left").select(ROW, "n", F.coalesce("kept", F.lit(False)).alias("kept")))
 
@@ -83,6 +84,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     found = ngram_join.alike(rows, width=5, percent=80, carried=ROW)
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", ROW).alias("rank")
     contents = cut(found.groupBy("component", rank, ROW).agg(F.count(F.lit(1)).alias("n")))
+    let_go(spark)
     best = contents.where("component is not null").groupBy("component").agg(F.min("rank")[ROW].alias(ROW))
     judged = contents.join(best.select(ROW, F.lit(True).alias("best")), ROW, "left")
     # texts without words are alike to none, so all of them stay
