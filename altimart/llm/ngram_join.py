@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -272,23 +271,20 @@ def _neighbours(sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of nodes next to each other when all are sorted by a word of their sketch.
 
     Sets that differ in few tokens often agree in a whole word.  Each of a few words gives every node
-    one pair at most; pairs that the sketches rule out are left out.  The sort is by ranges, and nodes at
-    the two sides of a range's end are not paired: other words, and the comparison across components,
-    are there for them.
+    one pair at most; pairs that the sketches rule out are left out.  All words are sorted in one go, by
+    ranges, and nodes at the two sides of a range's end are not paired: other words, and the comparison
+    across components, are there for them.
     """
     names = ["node", "size", *[f"s{i}" for i in range(_WORDS)]]
     befores = ["one", "other_size", *[f"t{i}" for i in range(_WORDS)]]
-    found = []
-    for word in SORTED_WORDS:
-        order = [f"s{word}", "node"]
-        placed = sketches.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
-        inside = W.partitionBy("part").orderBy(*order)
-        both = placed.select(*names, *[F.lag(n).over(inside).alias(b) for n, b in zip(names, befores)])
-        near = both.select("node", "one", "size", "other_size", _differ().alias("differ")).where(
-            F.col("differ") * (100 + percent) <= (F.col("size") + F.col("other_size")) * (100 - percent)
-        )
-        found.append(near.select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")))
-    return reduce(DataFrame.unionByName, found).distinct()
+    words = F.array(*[F.struct(F.lit(w).alias("word"), F.col(f"s{w}").alias("value")) for w in SORTED_WORDS])
+    placed = sketches.select(*names, F.inline(words)).repartitionByRange("word", "value", "node")
+    inside = W.partitionBy("part", "word").orderBy("value", "node")
+    both = placed.withColumn("part", F.spark_partition_id()).select(
+        *names, *[F.lag(n).over(inside).alias(b) for n, b in zip(names, befores)]
+    )
+    near = both.where(_differ() * (100 + percent) <= (F.col("size") + F.col("other_size")) * (100 - percent))
+    return near.select(F.least("node", "one").alias("a"), F.greatest("node", "one").alias("b")).distinct()
 
 
 def alike(
@@ -341,6 +337,7 @@ def alike(
     sketches = index.select("node", F.col("n").alias("size"), *[F.col("sketch")[i].alias(f"s{i}") for i in range(_WORDS)])
     tried = cut(_closest(signed, sketches, percent).unionByName(_neighbours(sketches, percent)).distinct())
     links = cut(_verified(tried, index, percent))
+    let_go(docs.sparkSession)
 
     placed = signed.join(components(links), "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = placed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("held")).where("low < high")

@@ -4,7 +4,8 @@ import numpy as np
 from conftest import TINY
 from pyspark.sql import functions as F
 
-from altimart.llm import text
+from altimart.llm import ngram_join, text
+from altimart.llm.components import components
 from altimart.operators.skew import lookup_join
 from altimart.plans import facts
 from altimart.queries import AS_OF, FLIGHT_COLUMNS, SHARED_ENTITIES, marts
@@ -94,3 +95,27 @@ def test_a_lookup_carries_a_bit_and_no_whole_hash(spark):
         assert plan.count("as tinyint) AS __key_hash") == 2 and out.where("value is null").count() == 200
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
+
+
+def test_neighbours_of_all_words_are_sorted_in_one_go(spark, capsys):
+    rng = np.random.default_rng(5)
+    rows = [(i, 40, *(int(x) for x in rng.integers(0, 1 << 40, 8))) for i in range(30)]
+    rows += [(100 + i, 40, *(x ^ (1 << i if k == 2 else 0) for k, x in enumerate(rows[i][2:]))) for i in range(30)]
+    sketches = spark.createDataFrame(rows, "node long, size long, " + ", ".join(f"s{i} long" for i in range(8)))
+    found = ngram_join._neighbours(sketches, 85)
+    found.explain()
+    assert capsys.readouterr().out.count("Exchange rangepartitioning") == 1
+    pairs = {(r.a, r.b) for r in found.collect()}
+    # one bit of a word that is not sorted by: all other words agree, so the two are side by side in some order
+    assert {(i, 100 + i) for i in range(30)} <= pairs
+    assert ngram_join._neighbours(sketches.limit(0), 85).count() == 0
+
+
+def test_rounds_of_components_are_written_once(spark, monkeypatch):
+    def checkpoint(*_, **__):
+        raise AssertionError("a frame of a round takes two jobs")
+
+    links = spark.createDataFrame([(1, 2), (3, 2), (5, 4), (9, 5), (7, 7)], "a long, b long")
+    monkeypatch.setattr(type(links), "checkpoint", checkpoint)
+    got = {r.node: r.label for r in components(links).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 9: 4, 7: 7}
