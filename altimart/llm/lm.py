@@ -6,11 +6,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from altimart.llm.routing import groups_for, joined, owners_for, packed, table_of
-from altimart.llm.text import hash_memory, word_hashes
 
 #: Bytes of context of each predictor; the longest comes first in a gram of six bytes.
 ORDERS = (2, 3, 4, 5)
@@ -30,6 +30,10 @@ _ANSWER = pa.schema([("grp", pa.int32()), ("owner", pa.int32()), ("kind", pa.int
 _TRAINED = pa.schema([("sums", pa.list_(pa.float64()))])
 _MIX, _SHIFT = np.uint64(0x9E3779B97F4A7C15), np.uint64(29)
 _MASK = np.uint64(0xFF)
+_BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n of eight bytes
+_LONG = 64
+_SPREAD = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15))
 
 
 def _mixed(*parts) -> np.ndarray:
@@ -46,10 +50,9 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     A text is followed by one zero byte, its end, and preceded by five, its empty context.
     """
     lengths = np.array([len(t) + 1 for t in texts], np.int64)
-    data = np.frombuffer(b"".join(b"\0\0\0\0\0" + t + b"\0" for t in texts), np.uint8)
-    keys = np.zeros(len(data) - 5, np.uint64)
-    for i in range(6):
-        keys = keys << np.uint64(8) | data[i : len(data) - 5 + i]
+    data = b"\0\0\0\0\0" + b"\0\0\0\0\0\0".join(texts) + b"\0\0\0"
+    # eight bytes from each place on, the first one highest; the last two are dropped again
+    keys = np.ndarray(len(data) - 7, ">u8", data, strides=1).astype(np.uint64) >> np.uint64(16)
     inside = np.ones(len(keys), bool)
     ends = np.cumsum(lengths + 5)
     for i in range(1, 6):
@@ -57,6 +60,72 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return keys[inside], lengths
 
 
+def word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased (A-Z) words of each text, each text's followed by 0, its end, and how many.
+
+    Words are between ASCII white space.  They are hashed eight bytes at a time, all words at once; the
+    few long ones one by one.
+    """
+    data = b"\n" + b"\n".join(texts).lower() + b"\n" * 9
+    blank = _BLANK[np.frombuffer(data, np.uint8)]
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    sizes = np.flatnonzero(~blank[:-1] & blank[1:]) + 1 - starts
+    wide = np.ndarray(len(data) - 7, "<u8", data, strides=1).astype(np.uint64)
+    keys = _mixed(sizes.astype(np.uint64))
+    short = np.flatnonzero(sizes <= _LONG)
+    for at in range(0, _LONG, 8):
+        short = short[sizes[short] > at]
+        part = wide[starts[short] + at] & _FIRST[np.minimum(sizes[short] - at, 8)]
+        keys[short] = _mixed(keys[short], part)
+    for i in np.flatnonzero(sizes > _LONG).tolist():
+        keys[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + sizes[i]])
+    of = np.searchsorted(starts, np.cumsum([1, *[len(t) + 1 for t in texts]]))  # words before each text
+    return np.insert(keys, of[1:], np.uint64(0)), np.diff(of) + 1
+
+
+def tallied(keys: np.ndarray, use: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct grams, and of each how many have ``use``."""
+    both = keys << np.uint64(1) | use.astype(np.uint64)  # a gram has 48 bits
+    both.sort()
+    keys = both >> np.uint64(1)
+    firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[firsts], np.add.reduceat(both & np.uint64(1), firsts).astype(np.float64)
+
+
+class Known:
+    """The value of each of some distinct keys, for asking about these keys only.
+
+    A slot of a table that one key alone falls on needs no comparison: whoever comes to it is that key.
+    Keys that share a slot go to a second table by another hash, and what shares one there is searched for.
+    """
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, tables: int = 2):
+        """``keys`` are sorted; ``values`` are not NaN."""
+        self.keys, self.values, self.tables = keys, values, tables
+        if tables and len(keys):
+            self.shift = np.uint64(64 - (4 * len(keys)).bit_length())
+            slot, rows = self._slots(keys), np.arange(len(keys), dtype=np.int32)
+            last = np.zeros(1 << (64 - int(self.shift)), np.int32)
+            last[slot] = rows
+            self.table = np.full(len(last), np.nan, values.dtype)
+            self.table[slot] = values
+            self.table[slot[last[slot] != rows]] = np.nan
+            shared = np.isnan(self.table[slot])
+            self.others = Known(keys[shared], values[shared], tables - 1)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * _SPREAD[self.tables - 1] >> self.shift).astype(np.int64)
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        if not self.tables or not len(self.keys):
+            return self.values[np.searchsorted(self.keys, keys)]
+        out = self.table[self._slots(keys)]
+        open_ = np.flatnonzero(np.isnan(out))
+        if len(open_):
+            out[open_] = self.others.of(keys[open_])
+        return out
+
+
 class Predictors:
     """Log odds of each bit of the last byte of grams, per context order."""
 
@@ -175,7 +244,7 @@ def _documents(table: pa.Table):
             yield i, learnt, text.as_py() or b""
 
 
-def _slices(table: pa.Table, most: int = 2 << 20):
+def _slices(table: pa.Table, most: int = 1 << 20):
     """Documents in lists of about ``most`` bytes."""
     held, size = [], 0
     for doc in _documents(table):
@@ -188,18 +257,15 @@ def _slices(table: pa.Table, most: int = 2 << 20):
         yield held
 
 
-def _words(text: bytes, memory) -> np.ndarray:
-    """Hashes of the lower-cased words and, last, of the end."""
-    return np.append(word_hashes(text.lower().split(), memory), np.uint64(0))
-
-
 def _counted(pieces: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys of several lists, with their counts added up."""
-    if not pieces:
-        return np.zeros(0, np.uint64), np.zeros(0)
-    keys = np.concatenate([p[0] for p in pieces])
-    slot, found = pd.factorize(keys, sort=True)
-    return found, np.bincount(slot, np.concatenate([p[1] for p in pieces]), len(found))
+    keys = np.concatenate([np.zeros(0, np.uint64), *[p[0] for p in pieces]])
+    if not len(keys):
+        return keys, np.zeros(0)
+    order = np.argsort(keys, kind="stable")  # merges lists that are sorted already
+    keys = keys[order]
+    firsts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[firsts], np.add.reduceat(np.concatenate([p[1] for p in pieces])[order].astype(np.float64), firsts)
 
 
 def text_scores(
@@ -243,24 +309,21 @@ def text_scores(
     )
 
     def read(table: pa.Table) -> tuple[list, list[tuple[np.ndarray, np.ndarray]]]:
-        """A group's slices, and its distinct grams and words with their learnt counts.
+        """A group's words by slice, and its distinct grams and words with their learnt counts.
 
-        A slice: (id, learnt, bytes) per text; for grams and for words, how many each text has,
-        the place of each among the slice's distinct ones, and these.
+        Words of a slice: how many each text has, the place of each among the slice's distinct ones,
+        and these.
         """
-        memory, slices, found = hash_memory(), [], ([], [])
+        words, found = [], ([], [])
         for held in _slices(table):
-            use = np.array([d[1] for d in held], float)
-            words = [_words(d[2], memory) for d in held]
-            own = []
-            for kind, (keys, sizes) in enumerate(
-                (grams([d[2] for d in held]), (np.concatenate(words), np.array([len(w) for w in words])))
-            ):
-                slot, some = pd.factorize(keys)
-                found[kind].append((some, np.bincount(slot, np.repeat(use, sizes), len(some))))
-                own.append((sizes, slot.astype(np.int32), some))
-            slices.append(([(i, learnt_, len(text)) for i, learnt_, text in held], own))
-        return slices, [_counted(f) for f in found]
+            use, texts_ = np.array([d[1] for d in held], bool), [d[2] for d in held]
+            keys, sizes = grams(texts_)
+            found[_GRAM].append(tallied(keys, np.repeat(use, sizes)))
+            keys, sizes = word_keys(texts_)
+            slot, some = pd.factorize(keys)
+            found[_WORD].append((some, np.bincount(slot, np.repeat(use, sizes), len(some))))
+            words.append((sizes, slot.astype(np.int32), some))
+        return words, [_counted(f) for f in found]
 
     def send(key: tuple, table: pa.Table) -> pa.Table:
         rows, grp = [], key[0].as_py()
@@ -323,23 +386,25 @@ def text_scores(
             (kind, owner): values
             for owner, kind, values in zip(*[answers.column(c).to_pylist() for c in ("owner", "kind", "logs")])
         }
-        slices, distinct = read(table)
+        by_slice, distinct = read(table)
         values = []
         for kind, (keys, _) in enumerate(distinct):
             held = np.zeros(len(keys), (np.float32, np.int64)[kind])
             for owner, _, _, at in packed(0, _mixed(keys), owners, np.arange(len(keys))):
                 held[np.frombuffer(at, np.int64)] = np.frombuffer(given[kind, owner], held.dtype)
             values.append(held)
-        logs, counts = values[_GRAM].astype(np.float64), values[_WORD]
+        logs, counts = Known(distinct[_GRAM][0], values[_GRAM]), values[_WORD]
         rows = []
-        for texts_, ((lengths, gram, some), (sizes, word, words)) in slices:
-            each = logs[np.searchsorted(distinct[_GRAM][0], some)][gram]
-            count = counts[np.searchsorted(distinct[_WORD][0], words)][word]
+        for held, (sizes, word, words) in zip(_slices(table), by_slice):
+            gram, lengths = grams([d[2] for d in held])
+            each = logs.of(gram).astype(np.float64)
+            count = counts[np.searchsorted(distinct[_WORD][0], words)]
             starts, at = (np.concatenate([[0], np.cumsum(n)[:-1]]) for n in (lengths, sizes))
             columns = (
-                sizes, np.add.reduceat((count > 0).astype(np.int64), at),
-                np.add.reduceat(np.log10(count + 0.5), at), np.add.reduceat(each, starts),
+                sizes, np.add.reduceat((count > 0).astype(np.int64)[word], at),
+                np.add.reduceat(np.log10(count + 0.5)[word], at), np.add.reduceat(each, starts),
             )
+            texts_ = [(i, learnt_, len(text)) for i, learnt_, text in held]
             rows += [(*t, *values_) for t, values_ in zip(texts_, zip(*[c.tolist() for c in columns]))]
         return table_of(rows, out)
 

@@ -4,7 +4,7 @@ import numpy as np
 from conftest import TINY
 from pyspark.sql import functions as F
 
-from altimart.llm import ngram_join, text
+from altimart.llm import lm, ngram_join, text
 from altimart.llm.components import components
 from altimart.operators.skew import lookup_join
 from altimart.plans import facts
@@ -119,3 +119,33 @@ def test_rounds_of_components_are_written_once(spark, monkeypatch):
     monkeypatch.setattr(type(links), "checkpoint", checkpoint)
     got = {r.node: r.label for r in components(links).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 9: 4, 7: 7}
+
+
+def test_grams_are_counted_and_looked_up_without_hashing_each(monkeypatch):
+    texts = [b"the cat", b"", b"a" * 300, bytes(range(256)), b"the cat sat on the mat " * 40]
+    keys, sizes = lm.grams(texts)
+    use = np.repeat([True, False, True, False, True], sizes)
+    want, n = np.unique(keys, return_counts=True)
+    learnt = [int(use[keys == k].sum()) for k in want]
+
+    def factorize(*_, **__):
+        raise AssertionError("every byte's gram is hashed")
+
+    monkeypatch.setattr(lm.pd, "factorize", factorize)
+    got, counts = lm.tallied(keys, use)
+    assert (got == want).all() and counts.tolist() == learnt and n.sum() == len(keys)
+    for tables in (0, 1, 2):
+        values = np.arange(len(want), dtype=np.float32)
+        assert (lm.Known(want, values, tables).of(keys) == np.searchsorted(want, keys)).all()
+    monkeypatch.setattr(lm, "_SPREAD", (np.uint64(0), np.uint64(0)))  # all keys share one slot
+    assert (lm.Known(want, values).of(keys) == np.searchsorted(want, keys)).all()
+    assert len(lm.Known(want[:0], values[:0]).of(want[:0])) == 0
+
+
+def test_words_are_hashed_alike_wherever_they_stand():
+    texts = ["", " \t", "Word word\x0bwOrd", "x" * 64, "X" * 65 + "\n" + "x" * 65, "abcdefgh abcdefghi É é a\x1cb a\x00 a"]
+    keys, sizes = lm.word_keys([t.encode() for t in texts])
+    words = [w for t in texts for w in [*t.encode().lower().split(), None]]
+    assert sizes.tolist() == [len(t.encode().split()) + 1 for t in texts] and len(keys) == len(words)
+    assert all((k == m) == (v == w) for k, v in zip(keys.tolist(), words) for m, w in zip(keys.tolist(), words))
+    assert all((k == 0) == (w is None) for k, w in zip(keys.tolist(), words))
