@@ -1,5 +1,9 @@
 """Reductions that keep a query's shuffles small, against the plain joins they stand for."""
 
+import os
+import re
+import time
+
 import numpy as np
 from conftest import TINY
 from pyspark.sql import functions as F
@@ -7,8 +11,9 @@ from pyspark.sql import functions as F
 from altimart.llm import lm, ngram_join, text
 from altimart.llm.components import components
 from altimart.operators.skew import lookup_join
-from altimart.plans import facts
-from altimart.queries import AS_OF, FLIGHT_COLUMNS, SHARED_ENTITIES, marts
+from altimart.plans import build, facts
+from altimart.queries import AS_OF, FLIGHT_COLUMNS, QUERIES, SHARED_ENTITIES, marts
+from altimart.sources import sinks
 
 
 def _rows(df):
@@ -40,6 +45,70 @@ def test_customer_bookings_equal_the_fact_added_up(spark):
     assert got.columns == want.columns and _rows(got) == _rows(want)
 
 
+def _shuffles(spark) -> set[str]:
+    """The shuffles with files on disk."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+    return set(re.findall(r"shuffle_(\d+)_\d+_\d+\.data", files))
+
+
+def _left(spark, before: set[str]) -> set[str]:
+    """New shuffles that still have files, some time after they were let go."""
+    for _ in range(50):
+        if not _shuffles(spark) - before:
+            break
+        time.sleep(0.1)
+    return _shuffles(spark) - before
+
+
+def test_shuffle_files_go_once_a_table_is_written(spark, tmp_path):
+    frame = spark.range(1000).repartition(4, "id").groupBy(F.col("id") % 7).count()
+    before = _shuffles(spark)
+    frame.count()
+    assert _shuffles(spark) - before  # they stay after other jobs
+    before = _shuffles(spark)
+    table = sinks.write_model(frame, str(tmp_path / "t"))
+    assert _left(spark, before) == set()
+    assert _rows(table) == _rows(frame)
+
+
+def test_the_booking_fact_is_written_in_slices(spark, monkeypatch):
+    """Odd keys included; no slice finds shuffle files of another, and none is left."""
+    names = ("stg_bookings", "fct_flights", "dim_customers", "stg_ancillary_details")
+    m = marts(spark, TINY)
+    m._models.update(zip(names, _odd(marts(spark, TINY, names))))
+    want = m["fct_bookings"]
+    paths, found, calls, before = [], [], [], set()
+
+    def noted(df, path, *args, write=sinks.write_model, **options):
+        if not paths:
+            before.update(_shuffles(spark))
+        found.append(_left(spark, before))
+        paths.append(path)
+        return write(df, path, *args, **options)
+
+    monkeypatch.setattr(build, "SLICE_ROWS", 1000)
+    monkeypatch.setattr(sinks, "write_model", noted)
+    monkeypatch.setattr(build, "write_model", noted)
+    got = build.bookings_in_slices(m, lambda: calls.append(len(paths)))
+    slices = [p for p in paths if "/fct_bookings-" in p]
+    assert len(slices) > 4 and calls == [len(paths) - len(slices)] and not any(found)
+    assert not [f for p in paths if "/booked-" in p or "/booked_extras-" in p for f in os.listdir(p) if "slice" in f]
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.columns == want.columns and _rows(got) == _rows(want)
+
+
+def test_the_query_of_bookings_equals_its_sql_in_slices(spark, tables, monkeypatch):
+    from compare import differences
+
+    from __spark_entry__ import oracle_sql
+
+    monkeypatch.setattr(build, "SLICE_ROWS", 700)
+    df = QUERIES["fct_bookings"](spark, TINY)
+    # the items sold are not kept beside the fact
+    assert all("/fct_bookings-" in f for f in df.inputFiles())
+    assert differences(df, tables, oracle_sql()["fct_bookings"]) == []
+
+
 def test_booking_ids_are_shuffled_to_their_extras_only(spark):
     """Once for the bookings and once for the extras; neither flights nor customers meet them."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
